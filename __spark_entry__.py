@@ -136,6 +136,64 @@ def q_week_row_counts(spark, sf):
     return prepared(spark, sf).processed.groupBy("Semana").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+# --- file sources, store and streaming ingest ------------------------------
+
+_TYPED_SALES_SQL = ("SELECT Semana, Agencia_ID, Canal_ID, Ruta_SAK, Cliente_ID, Producto_ID, Venta_uni_hoy, "
+                    "CAST(CAST(Venta_hoy AS FLOAT) AS DOUBLE) AS Venta_hoy, Dev_uni_proxima, "
+                    "CAST(CAST(Dev_proxima AS FLOAT) AS DOUBLE) AS Dev_proxima, Demanda_uni_equil "
+                    "FROM demand_sales")
+
+
+def _sales_csv_dir(spark, sf, files: int = 4) -> str:
+    """demand_sales written as CSV files (derived from the driver tables)."""
+    from panelcast.session import scratch_path
+    path = scratch_path(spark, "sales-csv")
+    (fx.demand_sales(spark, sf).repartition(files)
+       .write.option("header", True).csv(path))
+    return path
+
+
+@register("csv_scan", SALES_SHAPE, D.with_ctes([], _TYPED_SALES_SQL))
+def q_csv_scan(spark, sf):
+    from panelcast.sources import files
+    return files.load_sales_csv(spark, _sales_csv_dir(spark, sf))
+
+
+def _store(spark, sf) -> str:
+    from panelcast.session import scratch_path
+    from panelcast.sources import files
+    path = scratch_path(spark, "store")
+    files.save_by_week(prepared(spark, sf).processed, path)
+    return path
+
+
+@register("store_roundtrip", PROCESSED_SHAPE, D.with_ctes([], "SELECT * FROM processed"))
+def q_store_roundtrip(spark, sf):
+    from panelcast.sources import files
+    path = _store(spark, sf)
+    weeks = files.available_weeks(spark, path)
+    return files.load_weeks(spark, path, weeks)
+
+
+@register("available_weeks", "Semana:i",
+          D.with_ctes([], "SELECT DISTINCT Semana FROM processed WHERE Semana BETWEEN 3 AND 11"))
+def q_available_weeks(spark, sf):
+    from panelcast.sources import files
+    weeks = files.available_weeks(spark, _store(spark, sf))
+    return spark.createDataFrame([(w,) for w in weeks], "Semana int")
+
+
+@register("ingest_stream", SALES_SHAPE, D.with_ctes([], _TYPED_SALES_SQL))
+def q_ingest_stream(spark, sf):
+    from panelcast.session import scratch_path
+    from panelcast.streaming import ingest
+    src = _sales_csv_dir(spark, sf)
+    store = scratch_path(spark, "ingest-store")
+    ingest.ingest_available(spark, src, store, scratch_path(spark, "ingest-ckpt"),
+                            files_per_batch=1, timeout_s=600)
+    return spark.read.parquet(store)
+
+
 # --- features ---------------------------------------------------------------
 
 @register("weekly_demand", "Cliente_ID:i, Producto_ID:i, Semana:i, Demanda_uni_equil:i",
