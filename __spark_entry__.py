@@ -558,6 +558,78 @@ def q_prediction_summary(spark, sf):
                    F.max(Y).alias("max_units"))
 
 
+# --- model (rows-only checks: boosting is not SQL-expressible) --------------
+
+GBM_ROUNDS = 10          # a short run; the default 1500 rounds + early stopping is for clusters
+_MODELS: dict = {}
+
+
+def _trained(spark, sf):
+    """Features for weeks 4..9 (A7), Tweedie model with early stopping on
+    week 9 and the two quantile models; memoised per session and fixture."""
+    from panelcast.operators import boosting
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _MODELS:
+        p = prepared(spark, sf)
+        proc = p.processed
+        fm = pipeline.build_features_multi(proc, proc, MULTI_WEEKS, **p.feature_kwargs()).checkpoint()
+        train, val = fm.where(F.col("Semana") < VAL_WEEK), fm.where(F.col("Semana") == VAL_WEEK)
+        model = boosting.train_interval_model(train, val, C.FEATURE_COLS, Y, num_rounds=GBM_ROUNDS)
+        _MODELS[key] = (model, val, p)
+    return _MODELS[key]
+
+
+@register("gbm_metrics", "model:s, " + METRIC_SHAPE, None)
+def q_gbm_metrics(spark, sf):
+    model, val, _ = _trained(spark, sf)
+    g = evaluation.evaluate(model.main.transform(val), Y, "prediction").select(
+        F.lit("gbm").alias("model"), "*")
+    return g.unionByName(q_metrics_overall(spark, sf))
+
+
+@register("gbm_interval_scores", "id:i, prediction:d, lower:d, upper:d, Demanda_uni_equil:i", None)
+def q_gbm_interval_scores(spark, sf):
+    model, _, p = _trained(spark, sf)
+    proc = p.processed
+    valid, _ = scoring.split_requests(fx.score_rows(spark, sf))
+    feats = pipeline.build_features_multi(valid, proc, [10], include_target=False, keep=("id",),
+                                          **p.feature_kwargs())
+    scored = model.transform(feats)
+    return scored.select("id", "prediction", "lower", "upper",
+                         scoring.round_units(F.col("prediction")).alias(Y))
+
+
+@register("feature_importance", "feature:s, importance:d", None)
+def q_feature_importance(spark, sf):
+    model, _, _ = _trained(spark, sf)
+    return model.main.importance_frame(spark, C.TOP_FEATURES)
+
+
+@register("shap_importance", "feature:s, mean_abs_shap:d", None)
+def q_shap_importance(spark, sf):
+    from panelcast.operators import attribution
+    model, val, _ = _trained(spark, sf)
+    rows = evaluation.seeded_sample(val, C.ATTRIBUTION_SAMPLE, ["Semana", "Cliente_ID", "Producto_ID",
+                                                                "Agencia_ID", "Ruta_SAK", "Canal_ID", Y])
+    return attribution.mean_abs_attribution(model.main, rows)
+
+
+@register("scatter_sample", "actual:d, predicted:d", None)
+def q_scatter_sample(spark, sf):
+    pred = _lag1(spark, sf)
+    keys = [c for c in C.ID_COLS] + [Y, "Venta_hoy", "Dev_proxima"]
+    s = evaluation.seeded_sample(pred, C.SCATTER_SAMPLE, keys)
+    return s.select(F.col(Y).alias("actual"), F.col("prediction").alias("predicted"))
+
+
+@register("residual_histogram", "bin:i, lo:d, hi:d, n:i", None)
+def q_residual_histogram(spark, sf):
+    pred = _lag1(spark, sf)
+    keys = [c for c in C.ID_COLS] + [Y, "Venta_hoy", "Dev_proxima"]
+    s = evaluation.seeded_sample(pred, C.SCATTER_SAMPLE, keys)
+    return evaluation.histogram(evaluation.residuals(s, Y, "prediction"), "residual", C.ERROR_BINS)
+
+
 # --- driver contract ---------------------------------------------------------
 
 def entry(spark: SparkSession) -> DataFrame:
