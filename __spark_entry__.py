@@ -59,8 +59,35 @@ def shape_of(spec: str) -> list[tuple[str, str]]:
     return out
 
 
+def view(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """Fixture view as an input table (written once per session, then scanned)."""
+    return fx.materialized(spark, sf, name)
+
+
 def prepared(spark: SparkSession, sf: str) -> Prepared:
-    return Prepared(fx.demand_sales(spark, sf), fx.products(spark, sf), fx.towns(spark, sf))
+    """Preprocessing inputs; ``processed`` etc. are computed lazily from them."""
+    return Prepared(view(spark, sf, "demand_sales"), view(spark, sf, "products"),
+                    view(spark, sf, "towns"))
+
+
+_STORES: dict = {}
+
+
+def stored(spark: SparkSession, sf: str):
+    """The preprocessing job run once per session: (processed store rows,
+    feature inputs read back from the written dimension tables)."""
+    from panelcast.plans import jobs
+    from panelcast.session import scratch_path
+    from panelcast.sources import files
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STORES:
+        art = jobs.Artifacts(scratch_path(spark, "artifacts"))
+        jobs.run_preprocess(view(spark, sf, "demand_sales"), view(spark, sf, "products"),
+                            view(spark, sf, "towns"), art)
+        _STORES[key] = art
+    art = _STORES[key]
+    hist = files.load_weeks(spark, art.store, files.available_weeks(spark, art.store))
+    return hist, jobs.load_feature_inputs(spark, art)
 
 
 SALES_SHAPE = ("Semana:i, Agencia_ID:i, Canal_ID:i, Ruta_SAK:i, Cliente_ID:i, Producto_ID:i, "
@@ -96,7 +123,7 @@ def register(name: str, shape: str, sql: str | None):
 @register("parse_products", "Producto_ID:i, NombreProducto:s, brand:s, weight_g:d, pieces:i, has_promo:i",
           D.with_ctes([], "SELECT * FROM parsed"))
 def q_parse_products(spark, sf):
-    return clean.product_metadata(fx.products(spark, sf))
+    return clean.product_metadata(view(spark, sf, "products"))
 
 
 @register("brand_encoding", "brand:s, brand_encoded:i", D.with_ctes([], "SELECT * FROM brand_enc"))
@@ -148,7 +175,7 @@ def _sales_csv_dir(spark, sf, files: int = 4) -> str:
     """demand_sales written as CSV files (derived from the driver tables)."""
     from panelcast.session import scratch_path
     path = scratch_path(spark, "sales-csv")
-    (fx.demand_sales(spark, sf).repartition(files)
+    (view(spark, sf, "demand_sales").repartition(files)
        .write.option("header", True).csv(path))
     return path
 
@@ -200,7 +227,7 @@ def q_ingest_stream(spark, sf):
           D.with_ctes([], f"SELECT Cliente_ID, Producto_ID, Semana, sum({Y}) AS {Y} FROM demand_sales "
                           "GROUP BY Cliente_ID, Producto_ID, Semana"))
 def q_weekly_demand(spark, sf):
-    return lags.weekly_demand(fx.demand_sales(spark, sf))
+    return lags.weekly_demand(view(spark, sf, "demand_sales"))
 
 
 _ev_ctes = D.lag_sql("demand_events", 7, "ev")
@@ -209,12 +236,12 @@ _sl_ctes = D.lag_sql("demand_sales", VAL_WEEK, "sl")
 
 @register("lag_features", LAG_SHAPE, D.with_ctes(_ev_ctes, "SELECT * FROM ev_lag"))
 def q_lag_features(spark, sf):
-    return lags.lag_features(fx.demand_events(spark, sf), 7)
+    return lags.lag_features(view(spark, sf, "demand_events"), 7)
 
 
 @register("lag_features_sparse", LAG_SHAPE, D.with_ctes(_sl_ctes, "SELECT * FROM sl_lag"))
 def q_lag_features_sparse(spark, sf):
-    return lags.lag_features(fx.demand_sales(spark, sf), VAL_WEEK)
+    return lags.lag_features(view(spark, sf, "demand_sales"), VAL_WEEK)
 
 
 def _agg_query(name):
@@ -223,7 +250,7 @@ def _agg_query(name):
 
     @register(f"agg_{name}", shape, D.with_ctes([], D.agg_sql("demand_sales", VAL_WEEK, name)))
     def q(spark, sf):
-        return aggregates.agg_table(fx.demand_sales(spark, sf), name, keys, VAL_WEEK)
+        return aggregates.agg_table(view(spark, sf, "demand_sales"), name, keys, VAL_WEEK)
     return q
 
 
@@ -280,10 +307,8 @@ _fm_ctes, _fm_body = D.feature_matrix_ctes(VAL_WEEK)
 
 @register("feature_matrix", FM_SHAPE, D.with_ctes(_fm_ctes, _fm_body))
 def q_feature_matrix(spark, sf):
-    p = prepared(spark, sf)
-    proc = p.processed
-    return pipeline.build_features(proc.where(F.col("Semana") == VAL_WEEK), proc, VAL_WEEK,
-                                   **p.feature_kwargs())
+    hist, inputs = stored(spark, sf)
+    return pipeline.build_features(hist.where(F.col("Semana") == VAL_WEEK), hist, VAL_WEEK, **inputs)
 
 
 MULTI_WEEKS = [4, 5, 6, 7, 8, 9]
@@ -296,9 +321,8 @@ for _s in MULTI_WEEKS:
 
 @register("feature_matrix_multi", FM_SHAPE, D.with_ctes(_mctes, "\nUNION ALL\n".join(_mbodies)))
 def q_feature_matrix_multi(spark, sf):
-    p = prepared(spark, sf)
-    proc = p.processed
-    return pipeline.build_features_multi(proc, proc, MULTI_WEEKS, **p.feature_kwargs())
+    hist, inputs = stored(spark, sf)
+    return pipeline.build_features_multi(hist, hist, MULTI_WEEKS, **inputs)
 
 
 # --- baselines and evaluation ----------------------------------------------
@@ -311,12 +335,12 @@ _eval_ctes = _l1_ctes + [("lag1", _l1_body)] + _ma_ctes + [("ma3", _ma_body)]
 
 
 def _lag1(spark, sf):
-    s = fx.demand_sales(spark, sf)
+    s = view(spark, sf, "demand_sales")
     return baselines.naive_lag1(s, s.where(F.col("Semana") == VAL_WEEK), VAL_WEEK)
 
 
 def _ma3(spark, sf):
-    s = fx.demand_sales(spark, sf)
+    s = view(spark, sf, "demand_sales")
     return baselines.moving_average(s, s.where(F.col("Semana") == VAL_WEEK), VAL_WEEK)
 
 
@@ -370,7 +394,7 @@ def q_worst_segments(spark, sf):
                           f"FROM demand_sales WHERE Semana < {VAL_WEEK} UNION ALL "
                           f"SELECT 'val', count(*), sum({Y}) FROM demand_sales WHERE Semana = {VAL_WEEK}"))
 def q_train_val_split(spark, sf):
-    tr, va = evaluation.temporal_split(fx.demand_sales(spark, sf), VAL_WEEK)
+    tr, va = evaluation.temporal_split(view(spark, sf, "demand_sales"), VAL_WEEK)
     a = tr.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(Y).alias("sum_demand")).select(
         F.lit("train").alias("role"), "*")
     b = va.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(Y).alias("sum_demand")).select(
@@ -388,7 +412,7 @@ SELECT v.fold, v.val_semana, CASE WHEN s.Semana = v.val_semana THEN 'val' ELSE '
 FROM demand_sales s JOIN vals v ON s.Semana <= v.val_semana
 GROUP BY 1, 2, 3"""))
 def q_rolling_cv_folds(spark, sf):
-    s = fx.demand_sales(spark, sf)
+    s = view(spark, sf, "demand_sales")
     folds = evaluation.cv_fold_table(s)
     rows = s.groupBy("Semana").agg(F.count(F.lit(1)).alias("n"))
     return (folds.join(rows, "Semana")
@@ -469,7 +493,7 @@ def _ks_features_sql() -> str:
 @register("ks_features", "feature:s, ks_statistic:d, p_value:d, drift_detected:b, ref_mean:d, cur_mean:d",
           _ks_features_sql())
 def q_ks_features(spark, sf):
-    proc = prepared(spark, sf).processed
+    proc, _ = stored(spark, sf)
     return drift.feature_drift(proc.where(F.col("Semana") == 8), proc.where(F.col("Semana") == 9),
                                DRIFT_FEATURES)
 
@@ -523,7 +547,7 @@ _sc_l1_ctes, _sc_l1_body = D.lag1_sql("demand_sales", "score_rows", 10, "sc")
                           "AND Ruta_SAK >= 0 AND Cliente_ID >= 0 AND Producto_ID >= 0 AS is_valid, "
                           "CAST(NULL AS VARCHAR) AS reason FROM score_rows"))
 def q_request_validation(spark, sf):
-    return scoring.validate_requests(fx.score_rows(spark, sf))
+    return scoring.validate_requests(view(spark, sf, "score_rows"))
 
 
 @register("batch_scores_lag1", f"id:i, {Y}:i",
@@ -534,8 +558,8 @@ def q_batch_scores_lag1(spark, sf):
 
 
 def _scores(spark, sf):
-    hist = fx.demand_sales(spark, sf)
-    reqs = fx.score_rows(spark, sf)
+    hist = view(spark, sf, "demand_sales")
+    reqs = view(spark, sf, "score_rows")
 
     def features(rows, weeks):
         return rows
@@ -570,18 +594,17 @@ def _trained(spark, sf):
     from panelcast.operators import boosting
     key = (spark.sparkContext.applicationId, sf)
     if key not in _MODELS:
-        p = prepared(spark, sf)
-        proc = p.processed
-        fm = pipeline.build_features_multi(proc, proc, MULTI_WEEKS, **p.feature_kwargs()).checkpoint()
+        hist, inputs = stored(spark, sf)
+        fm = pipeline.build_features_multi(hist, hist, MULTI_WEEKS, **inputs).checkpoint()
         train, val = fm.where(F.col("Semana") < VAL_WEEK), fm.where(F.col("Semana") == VAL_WEEK)
         model = boosting.train_interval_model(train, val, C.FEATURE_COLS, Y, num_rounds=GBM_ROUNDS)
-        _MODELS[key] = (model, val, p)
+        _MODELS[key] = (model, val)
     return _MODELS[key]
 
 
 @register("gbm_metrics", "model:s, " + METRIC_SHAPE, None)
 def q_gbm_metrics(spark, sf):
-    model, val, _ = _trained(spark, sf)
+    model, val = _trained(spark, sf)
     g = evaluation.evaluate(model.main.transform(val), Y, "prediction").select(
         F.lit("gbm").alias("model"), "*")
     return g.unionByName(q_metrics_overall(spark, sf))
@@ -589,11 +612,11 @@ def q_gbm_metrics(spark, sf):
 
 @register("gbm_interval_scores", "id:i, prediction:d, lower:d, upper:d, Demanda_uni_equil:i", None)
 def q_gbm_interval_scores(spark, sf):
-    model, _, p = _trained(spark, sf)
-    proc = p.processed
-    valid, _ = scoring.split_requests(fx.score_rows(spark, sf))
-    feats = pipeline.build_features_multi(valid, proc, [10], include_target=False, keep=("id",),
-                                          **p.feature_kwargs())
+    model, _ = _trained(spark, sf)
+    hist, inputs = stored(spark, sf)
+    valid, _ = scoring.split_requests(view(spark, sf, "score_rows"))
+    feats = pipeline.build_features_multi(valid, hist, [10], include_target=False, keep=("id",),
+                                          **inputs)
     scored = model.transform(feats)
     return scored.select("id", "prediction", "lower", "upper",
                          scoring.round_units(F.col("prediction")).alias(Y))
@@ -601,14 +624,14 @@ def q_gbm_interval_scores(spark, sf):
 
 @register("feature_importance", "feature:s, importance:d", None)
 def q_feature_importance(spark, sf):
-    model, _, _ = _trained(spark, sf)
+    model, _ = _trained(spark, sf)
     return model.main.importance_frame(spark, C.TOP_FEATURES)
 
 
 @register("shap_importance", "feature:s, mean_abs_shap:d", None)
 def q_shap_importance(spark, sf):
     from panelcast.operators import attribution
-    model, val, _ = _trained(spark, sf)
+    model, val = _trained(spark, sf)
     rows = evaluation.seeded_sample(val, C.ATTRIBUTION_SAMPLE, ["Semana", "Cliente_ID", "Producto_ID",
                                                                 "Agencia_ID", "Ruta_SAK", "Canal_ID", Y])
     return attribution.mean_abs_attribution(model.main, rows)

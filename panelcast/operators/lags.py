@@ -29,6 +29,21 @@ def weekly_demand(history: DataFrame, y: str = TARGET_COL) -> DataFrame:
     return history.groupBy(*PAIR, WEEK_COL).agg(F.sum(y).alias(y))
 
 
+def small_median(x: Column, max_n: int) -> Column:
+    """Exact median of at most ``max_n`` values per group.
+
+    A window holds one weekly sum per observed week, so at most w values.
+    For n <= 4 the median is (sum - min - max) / (n - 2) when n >= 3 and
+    sum / n when n <= 2 -- plain sum/min/max/count, which stay in the
+    codegen'd hash aggregate instead of the object-buffer ``percentile``.
+    """
+    if max_n > 4:
+        return F.median(x)
+    n, sm = F.count(x), F.sum(x)
+    return (F.when(n >= 3, (sm - F.min(x) - F.max(x)) / (n - 2))
+             .when(n >= 1, sm / n))
+
+
 def _feature_aggs(target_week: Column, y: str, lags: Iterable[int],
                   windows: Iterable[int]) -> list[Column]:
     yc = F.col(y).cast("double")
@@ -39,7 +54,7 @@ def _feature_aggs(target_week: Column, y: str, lags: Iterable[int],
         out += [
             F.avg(inwin).alias(f"rolling_mean_{w}"),
             F.coalesce(F.stddev_samp(inwin), F.lit(0.0)).alias(f"rolling_std_{w}"),
-            F.median(inwin).alias(f"rolling_median_{w}"),
+            small_median(inwin, w).alias(f"rolling_median_{w}"),
         ]
     return out
 

@@ -105,3 +105,22 @@ def score_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(client % 5 == 0, client + 1000000).otherwise(client).alias("Cliente_ID"),
         "Producto_ID",
     )
+
+
+_MATERIALIZED: dict = {}
+VIEWS = {"demand_events": demand_events, "demand_sales": demand_sales, "products": products,
+         "towns": towns, "score_rows": score_rows}
+
+
+def materialized(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A fixture view written once per session to the scratch folder and read
+    back, as an input table would be: later plans scan parquet instead of
+    re-running the view's joins in every branch."""
+    from ..session import scratch_path
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    path = _MATERIALIZED.get(key)
+    if path is None:
+        path = scratch_path(spark, f"view-{name}")
+        VIEWS[name](spark, sf_dir).write.mode("overwrite").parquet(path)
+        _MATERIALIZED[key] = path
+    return spark.read.parquet(path)
