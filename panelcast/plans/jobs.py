@@ -167,6 +167,9 @@ def score_frame(spark: SparkSession, art: Artifacts, requests: DataFrame,
     weeks = sorted(r[0] for r in valid.select(WEEK_COL).distinct().collect())
     feats = pipeline.build_features_multi(valid, history, weeks, include_target=False,
                                           keep=("id",), **inputs)
+    # The model's own feature list and order; features it lacks are 0.
+    head = [c for c in feats.columns if c not in FEATURE_COLS]
+    feats = pipeline.align_features(feats, model.main.feature_cols, head)
     return model.transform(feats), rejected
 
 
