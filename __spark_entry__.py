@@ -41,7 +41,7 @@ def norm(df: DataFrame, shape: list[tuple[str, str]]) -> DataFrame:
         if k == "i":
             cols.append(x.cast("bigint").alias(c))
         elif k == "d":
-            cols.append(F.round(x.cast("double"), 6).alias(c))
+            cols.append((F.round(x.cast("double"), 6) + F.lit(0.0)).alias(c))
         elif k == "s":
             cols.append(x.cast("string").alias(c))
         elif k == "b":

@@ -115,7 +115,7 @@ def wrap(sql_body: str, shape: list[tuple[str, str]], order_by: str | None = Non
         if k == "i":
             return f"CAST({q} AS BIGINT) AS {q}"
         if k == "d":
-            return f"ROUND(CAST({q} AS DOUBLE), 6) AS {q}"
+            return f"ROUND(CAST({q} AS DOUBLE), 6) + 0.0 AS {q}"
         if k == "s":
             return f"CAST({q} AS VARCHAR) AS {q}"
         if k == "b":

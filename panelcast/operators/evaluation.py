@@ -121,15 +121,32 @@ def error_histograms(df: DataFrame, y: str, p: str, bins: int = ERROR_BINS) -> D
     return h_all.unionByName(h_clip).select("variant", "bin", "lo", "hi", "n")
 
 
-def seeded_sample(df: DataFrame, n: int, key_cols: list[str], seed: int = SAMPLE_SEED) -> DataFrame:
-    """Exactly min(n, rows) rows, chosen by a seeded hash of ``key_cols``.
+_HASH_SPACE = 1 << 53
+
 
-    Deterministic and distributed: a top-n by hash (per-partition top-n, then
-    a merge of n rows per partition), not a driver-side draw. Pass key
-    columns that identify a row.
+def seeded_sample(df: DataFrame, n: int, key_cols: list[str], seed: int = SAMPLE_SEED) -> DataFrame:
+    """Exactly min(n, rows) rows: the n smallest seeded hashes of ``key_cols``.
+
+    Deterministic and distributed. A bare ``orderBy(h).limit(n)`` would merge
+    up to n rows from *every* partition in one task; here rows are first
+    filtered to hash < t, with t set from n / N plus a safety margin (raised
+    and retried in the rare case too few rows pass), so the final top-n
+    merge sees about n rows whatever the partition count. The result is the
+    same rows as the plain top-n. Pass key columns that identify a row.
     """
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols])
-    return df.withColumn("__h", h).orderBy("__h", *key_cols).limit(n).drop("__h")
+    key = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols]), F.lit(_HASH_SPACE))
+    hashed = df.withColumn("__h", key)
+    total = df.count()
+    if total <= n:
+        return df
+    frac = min(1.0, n / total * 1.05 + 6.0 * (n ** 0.5) / total)
+    while True:
+        thr = int(frac * _HASH_SPACE)
+        cand = hashed.where(F.col("__h") < F.lit(thr))
+        if frac >= 1.0 or cand.count() >= n:
+            break
+        frac = min(1.0, frac * 2)
+    return cand.orderBy("__h", *key_cols).limit(n).drop("__h")
 
 
 def sample_limits(df: DataFrame, y: str, p: str, q: float = CLIP_PERCENTILE) -> DataFrame:
