@@ -28,8 +28,7 @@ def cumulative_sums(df: DataFrame, value: str, weights: list[str], groups: list[
     cuts = df.groupBy(*groups).agg(
         F.percentile_approx(F.col(value).cast("double"), probs, 10000).alias("__cuts"))
     x = df.join(F.broadcast(cuts), groups) if groups else df.crossJoin(F.broadcast(cuts))
-    v = F.col(value).cast("double")
-    x = x.withColumn("__b", F.size(F.filter("__cuts", lambda c: c < v))).drop("__cuts")
+    x = bucket_of(x, F.col(value).cast("double"), "__cuts", buckets - 1, "__b").drop("__cuts")
     tot = x.groupBy(*groups, "__b").agg(*[F.sum(w).alias(f"__t_{w}") for w in weights])
     before = Window.partitionBy(*groups).orderBy("__b").rowsBetween(
         Window.unboundedPreceding, -1)
@@ -42,6 +41,25 @@ def cumulative_sums(df: DataFrame, value: str, weights: list[str], groups: list[
                                    for w in weights])
 
 
+def bucket_of(df: DataFrame, v: Column, cuts: str, n_cuts: int, out: str) -> DataFrame:
+    """``out`` = number of entries of the ascending array ``cuts`` below v.
+
+    A binary search in log2(n_cuts) steps, one projected column per step
+    (plain codegen'd expressions; a lambda over the array would be
+    interpreted and cost n_cuts comparisons per row).
+    """
+    step = 1
+    while step * 2 <= n_cuts:
+        step *= 2
+    df = df.withColumn(out, F.lit(0))
+    while step >= 1:
+        cand = F.col(out) + step
+        df = df.withColumn(out, F.when(F.coalesce(F.try_element_at(cuts, cand) < v, F.lit(False)),
+                                       cand).otherwise(F.col(out)))
+        step //= 2
+    return df
+
+
 def value_counts(df: DataFrame, value: str, groups: list[str] = ()) -> DataFrame:
     """(groups, value, n): nulls dropped."""
     return (df.where(F.col(value).isNotNull())
