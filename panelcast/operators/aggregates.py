@@ -47,10 +47,12 @@ def global_mean(history: DataFrame, target_week: int, y: str = TARGET_COL,
 def weekly_moments(history: DataFrame, keys: list[str], y: str = TARGET_COL) -> DataFrame:
     """(keys, Semana, n, s1, s2): count, sum and sum of squares per week.
 
-    Demand is an integer, so the sums are exact in DECIMAL(38,0): the
-    variance computed from them has no cancellation error.
+    Demand is an integer, so the sums are exact integers (LONG per key and
+    week; ANSI mode raises rather than wraps on overflow). Summed across weeks
+    the squares are carried in DECIMAL(38,0), so the variance computed from
+    them has no cancellation error.
     """
-    d = F.col(y).cast("decimal(20,0)")
+    d = F.col(y).cast("long")
     return history.where(F.col(y).isNotNull()).groupBy(*keys, WEEK_COL).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(d).alias("s1"),
@@ -60,7 +62,8 @@ def weekly_moments(history: DataFrame, keys: list[str], y: str = TARGET_COL) ->
 
 def moments_to_stats(n: Column, s1: Column, s2: Column, name: str) -> list[Column]:
     nd = n.cast("double")
-    num = (n.cast("decimal(38,0)") * s2 - s1 * s1).cast("double")
+    s1d = s1.cast("decimal(38,0)")
+    num = (n.cast("decimal(38,0)") * s2.cast("decimal(38,0)") - s1d * s1d).cast("double")
     var = F.when(n > 1, num / (nd * (nd - 1)))
     return [
         (s1.cast("double") / nd).alias(f"{name}_mean"),
@@ -80,7 +83,7 @@ def agg_table_multi(history: DataFrame, name: str, keys: list[str], targets: Dat
     m = weekly_moments(history, keys, y)
     x = m.join(F.broadcast(targets), F.col(WEEK_COL) < F.col("S"))
     g = x.groupBy(*keys, "S").agg(F.sum("n").alias("n"), F.sum("s1").alias("s1"),
-                                  F.sum("s2").alias("s2"))
+                                  F.sum(F.col("s2").cast("decimal(38,0)")).alias("s2"))
     return g.select(*keys, "S", *moments_to_stats(F.col("n"), F.col("s1"), F.col("s2"), name))
 
 

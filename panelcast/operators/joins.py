@@ -16,13 +16,22 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
+_CHECKED: dict = {}
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``.
 
-    The check reads at most ``max_rows + 1`` rows (a bounded job).
+    The check reads at most ``max_rows + 1`` rows (a bounded job). Its
+    answer is remembered per session and plan (``semanticHash``), so the
+    same dimension is counted once, not at every feature build.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    small = _CHECKED.get(key)
+    if small is None:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        _CHECKED[key] = small
+    return F.broadcast(df) if small else df
 
 
 def assert_unique_keys(df: DataFrame, keys: list[str], name: str = "dimension") -> None:

@@ -116,3 +116,31 @@ def lag_features_multi(history: DataFrame, targets: DataFrame, y: str = TARGET_C
     return (x.groupBy(*PAIR, "S")
              .agg(*_feature_aggs(F.col("S"), y, lags, windows))
              .select(*PAIR, "S", *_ordered_feature_cols(lags, windows)))
+
+
+def pair_features_multi(history: DataFrame, targets: DataFrame, y: str = TARGET_COL,
+                        lags: Iterable[int] = LAG_WEEKS,
+                        windows: Iterable[int] = ROLLING_WINDOWS,
+                        agg_name: str = "client_product") -> DataFrame:
+    """Lags, rolling windows and the client x product aggregate in one pass.
+
+    Per (pair, week) moments (n, sum y, sum y^2) of the raw rows are enough
+    for all three: the weekly sum feeds lags and windows, the moments add up
+    to the raw-row mean/std/count of the pair. Each weekly row meets every
+    later target week (one broadcast equi-join on the week), then a single
+    ``groupBy(pair, S)`` produces one table for the target join.
+    """
+    from .aggregates import moments_to_stats, weekly_moments
+    lags, windows = list(lags), list(windows)
+    m = weekly_moments(history, PAIR, y)
+    weeks = m.select(WEEK_COL).distinct()
+    grid = (weeks.crossJoin(targets).where(F.col(WEEK_COL) < F.col("S"))
+                 .withColumn(RANK, F.row_number().over(
+                     Window.partitionBy("S").orderBy(F.desc(WEEK_COL)))))
+    x = m.join(F.broadcast(grid), WEEK_COL).withColumn(y, F.col("s1"))
+    g = x.groupBy(*PAIR, "S").agg(
+        *_feature_aggs(F.col("S"), y, lags, windows),
+        F.sum("n").alias("__n"), F.sum("s1").alias("__s1"),
+        F.sum(F.col("s2").cast("decimal(38,0)")).alias("__s2"))
+    return g.select(*PAIR, "S", *_ordered_feature_cols(lags, windows),
+                    *moments_to_stats(F.col("__n"), F.col("__s1"), F.col("__s2"), agg_name))

@@ -21,11 +21,12 @@ from .aggregates import agg_features, agg_features_multi, agg_table_multi, globa
 from .backoff import backoff_from_means, brand_means, with_brand
 from .clean import attach_state
 from .joins import broadcast_if_small
-from .lags import lag_features, lag_features_multi
+from .lags import pair_features_multi
 
-# Order in which aggregate tables are joined (pair first: same partitioning as lags).
-JOIN_ORDER = ["client_product", "client", "route_product", "agency_product",
-              "route", "product", "agency"]
+# The client x product aggregate comes with the lags (one pair-keyed table);
+# the other key sets are joined while the target is narrow, small ones last.
+PAIR_AGG = "client_product"
+JOIN_ORDER = ["client", "route_product", "agency_product", "route", "product", "agency"]
 _DERIVED = set(FEATURE_COLS) | {"brand", "State", "Town"}
 
 
@@ -69,8 +70,12 @@ def build_features(target: DataFrame, history: DataFrame, target_week: int,
     """
     keep = list(keep)
     base = _target_base(target, y, keep)
-    df = base.join(lag_features(history, target_week, y), PAIR, "left")
-    aggs = agg_features(history, target_week, y)
+    one = target_weeks_frame(target.sparkSession, [target_week])
+    past = history.where(F.col(WEEK_COL) < target_week)
+    pairs = pair_features_multi(past, one, y).drop("S")
+    df = base.join(pairs, PAIR, "left")
+    aggs = agg_features(past, target_week, y,
+                        {k: v for k, v in AGG_GROUP_KEYS.items() if k != PAIR_AGG})
     for name in JOIN_ORDER:
         if name in aggs:
             df = df.join(aggs[name], AGG_GROUP_KEYS[name], "left")
@@ -105,9 +110,12 @@ def build_features_multi(rows: DataFrame, history: DataFrame, target_weeks: Iter
     targets = target_weeks_frame(spark, weeks)
     keep = list(keep)
     base = _target_base(rows.where(F.col(WEEK_COL).isin(weeks)), y, keep)
-    lag = lag_features_multi(history, targets, y).withColumnRenamed("S", WEEK_COL)
-    df = base.join(lag, [*PAIR, WEEK_COL], "left")
-    aggs = agg_features_multi(history, targets, y)
+    # Weeks at or after the last target week feed nothing (partition pruning).
+    history = history.where(F.col(WEEK_COL) < max(weeks))
+    pairs = pair_features_multi(history, targets, y).withColumnRenamed("S", WEEK_COL)
+    df = base.join(pairs, [*PAIR, WEEK_COL], "left")
+    aggs = agg_features_multi(history, targets, y,
+                              {k: v for k, v in AGG_GROUP_KEYS.items() if k != PAIR_AGG})
     for name in JOIN_ORDER:
         if name in aggs:
             df = df.join(aggs[name].withColumnRenamed("S", WEEK_COL),
