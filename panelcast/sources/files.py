@@ -8,6 +8,7 @@ instead of opening files by name.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,25 +43,40 @@ def load_dimensions(spark: SparkSession, product_path: str, town_path: str,
     return products, towns, clients
 
 
-def save_by_week(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def save_by_week(df: DataFrame, path: str, mode: str = "overwrite",
+                 cluster_by: tuple[str, ...] = ("Cliente_ID", "Producto_ID")) -> None:
     """Parquet partitioned by week.
 
-    Rows are hash-partitioned by week first so each task writes one week's
-    files; at scale, ``spark.sql.files.maxRecordsPerFile`` bounds file size.
+    Rows are range-partitioned by (week, client, product): a week is spread
+    over as many tasks as its size needs (hash-partitioning by week alone
+    would give one task per week, i.e. a seventh of the data each), each task
+    writes files of one or two weeks only, and files are clustered by client
+    and product, so parquet min/max statistics can skip row groups on those
+    keys. ``spark.sql.files.maxRecordsPerFile`` bounds file size at scale.
     """
-    (df.repartition(WEEK_COL).write.mode(mode).partitionBy(WEEK_COL).parquet(path))
+    keys = [WEEK_COL] + [c for c in cluster_by if c in df.columns]
+    (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+       .write.mode(mode).partitionBy(WEEK_COL).parquet(path))
 
 
 def available_weeks(spark: SparkSession, path: str,
                     week_range: tuple[int, int] = STORE_WEEK_RANGE) -> list[int]:
-    """Weeks present in the store within the range (partition listing only)."""
+    """Weeks present in the store within the range.
+
+    Read from the partition directories the file index has already listed
+    (``Semana=<w>``), so no data file is opened and no job runs.
+    """
     try:
         df = spark.read.parquet(path)
     except AnalysisException:
         return []
     lo, hi = week_range
-    rows = (df.select(WEEK_COL).where(F.col(WEEK_COL).between(lo, hi)).distinct().collect())
-    return sorted(r[0] for r in rows)
+    weeks = set()
+    for f in df.inputFiles():
+        m = re.search(rf"/{WEEK_COL}=(-?\d+)/", f)
+        if m and lo <= int(m.group(1)) <= hi:
+            weeks.add(int(m.group(1)))
+    return sorted(weeks)
 
 
 def load_weeks(spark: SparkSession, path: str, weeks: Iterable[int]) -> DataFrame:
