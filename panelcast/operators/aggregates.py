@@ -92,3 +92,55 @@ def agg_features_multi(history: DataFrame, targets: DataFrame, y: str = TARGET_C
     cols = set(history.columns)
     return {name: agg_table_multi(history, name, keys, targets, y)
             for name, keys in group_keys.items() if all(k in cols for k in keys)}
+
+
+def key_set_stats(history: DataFrame, key_sets: dict[str, list[str]], targets: DataFrame,
+                  y: str = TARGET_COL, nonnull_keys: tuple[str, ...] = ("brand",)
+                  ) -> dict[str, DataFrame]:
+    """Mean / std / count over weeks < S for many key sets and target weeks,
+    from ONE scan of the history.
+
+    A GROUPING SETS aggregate computes the weekly moments (n, sum y, sum y^2)
+    of every key set together: Spark's Expand feeds the map-side partial
+    aggregate, so the shuffle carries partial rows only, and the history is
+    read once instead of once per key set. The weekly rows then meet the
+    small target-week table (week < S) and one re-aggregation by
+    (grouping id, keys, S) yields every table; it is written once to the
+    shared scratch folder (``spark.checkpoint.dir``) and each set is selected
+    from it by grouping id. Key sets in ``nonnull_keys`` (brand) drop the null group.
+    """
+    dims: list[str] = []
+    for ks in key_sets.values():
+        for k in ks:
+            if k not in dims:
+                dims.append(k)
+    cols = dims + [WEEK_COL]
+    yl = F.col(y).cast("long")
+    weekly = (history.where(F.col(y).isNotNull())
+                     .groupingSets([[*ks, WEEK_COL] for ks in key_sets.values()], *cols)
+                     .agg(F.count(F.lit(1)).alias("n"), F.sum(yl).alias("s1"),
+                          F.sum(yl * yl).alias("s2"), F.grouping_id().alias("__gid")))
+    x = weekly.join(F.broadcast(targets), F.col(WEEK_COL) < F.col("S"))
+    tot = x.groupBy("__gid", *dims, "S").agg(
+        F.sum("n").alias("n"), F.sum("s1").alias("s1"),
+        F.sum(F.col("s2").cast("decimal(38,0)")).alias("s2"))
+    # Written once as parquet under the shared scratch folder and read back:
+    # every key set below reads it. Left lazy, the optimizer would push each
+    # set's selection and column pruning into the aggregate and give every
+    # set its own scan again. (A plain checkpoint() would keep the plan's
+    # *estimated* size, which for an aggregate can be far too small and
+    # invite a broadcast; a parquet table is sized by its files.)
+    from ..session import scratch_path
+    path = scratch_path(history.sparkSession, "key-set-stats")
+    tot.write.parquet(path)
+    tot = history.sparkSession.read.parquet(path)
+    out = {}
+    width = len(cols)
+    for name, ks in key_sets.items():
+        gid = sum(1 << (width - 1 - i) for i, c in enumerate(cols) if c not in ks and c != WEEK_COL)
+        sub = tot.where(F.col("__gid") == gid)
+        for k in ks:
+            if k in nonnull_keys:
+                sub = sub.where(F.col(k).isNotNull())
+        out[name] = sub.select(*ks, "S", *moments_to_stats(F.col("n"), F.col("s1"), F.col("s2"), name))
+    return out

@@ -74,14 +74,10 @@ def lag_features(history: DataFrame, target_week: int, y: str = TARGET_COL,
     Rolling means/medians are null when the pair has no sum in the window;
     rolling std is 0 then (and for a single value). Empty history -> no rows.
     """
-    lags, windows = list(lags), list(windows)
-    wk = weekly_demand(history.where(F.col(WEEK_COL) < target_week), y)
-    ranks = (wk.select(WEEK_COL).distinct()
-               .select(WEEK_COL, F.row_number().over(Window.orderBy(F.desc(WEEK_COL))).alias(RANK)))
-    x = wk.join(F.broadcast(ranks), WEEK_COL)
-    return (x.groupBy(*PAIR)
-             .agg(*_feature_aggs(F.lit(target_week), y, lags, windows))
-             .select(*PAIR, *_ordered_feature_cols(lags, windows)))
+    from .pipeline import target_weeks_frame
+    one = target_weeks_frame(history.sparkSession, [target_week])
+    past = history.where(F.col(WEEK_COL) < target_week)
+    return pair_features_multi(past, one, y, lags, windows, None).drop("S")
 
 
 def week_grid(weeks: DataFrame, targets: DataFrame, horizon: int) -> DataFrame:
@@ -118,29 +114,69 @@ def lag_features_multi(history: DataFrame, targets: DataFrame, y: str = TARGET_C
              .select(*PAIR, "S", *_ordered_feature_cols(lags, windows)))
 
 
+def _rolling_from_ranks(w: int) -> list[Column]:
+    """mean / sample std / median of the non-null weekly sums __w1..__w{w}.
+
+    Computed per row from at most w columns; integer sums make the variance
+    numerator exact in DECIMAL.
+    """
+    vals = [F.col(f"__w{r}") for r in range(1, w + 1)]
+    cnt = sum((F.when(v.isNotNull(), 1).otherwise(0) for v in vals), F.lit(0))
+    sm = sum((F.coalesce(v, F.lit(0)).cast("decimal(38,0)") for v in vals), F.lit(0).cast("decimal(38,0)"))
+    sq = sum((F.coalesce(v, F.lit(0)).cast("decimal(38,0)") * F.coalesce(v, F.lit(0)).cast("decimal(38,0)")
+              for v in vals), F.lit(0).cast("decimal(38,0)"))
+    cd = cnt.cast("double")
+    mean = F.when(cnt > 0, sm.cast("double") / cd)
+    var = F.when(cnt > 1, (cnt.cast("decimal(38,0)") * sq - sm * sm).cast("double") / (cd * (cd - 1)))
+    std = F.coalesce(F.sqrt(F.greatest(var, F.lit(0.0))), F.lit(0.0))
+    if w <= 4:
+        mn, mx = F.least(*vals).cast("double"), F.greatest(*vals).cast("double")
+        med = (F.when(cnt >= 3, (sm.cast("double") - mn - mx) / (cd - 2))
+                .when(cnt >= 1, sm.cast("double") / cd))
+    else:
+        arr = F.array_sort(F.filter(F.array(*vals), lambda v: v.isNotNull()))
+        k = F.size(arr)
+        lo = F.element_at(arr, ((k + 1) / 2).cast("int"))
+        hi = F.element_at(arr, (k / 2 + 1).cast("int"))
+        med = F.when(k > 0, (lo.cast("double") + hi.cast("double")) / 2)
+    return [mean.alias(f"rolling_mean_{w}"), std.alias(f"rolling_std_{w}"),
+            med.alias(f"rolling_median_{w}")]
+
+
 def pair_features_multi(history: DataFrame, targets: DataFrame, y: str = TARGET_COL,
                         lags: Iterable[int] = LAG_WEEKS,
                         windows: Iterable[int] = ROLLING_WINDOWS,
-                        agg_name: str = "client_product") -> DataFrame:
+                        agg_name: str | None = "client_product") -> DataFrame:
     """Lags, rolling windows and the client x product aggregate in one pass.
 
-    Per (pair, week) moments (n, sum y, sum y^2) of the raw rows are enough
-    for all three: the weekly sum feeds lags and windows, the moments add up
-    to the raw-row mean/std/count of the pair. Each weekly row meets every
-    later target week (one broadcast equi-join on the week), then a single
-    ``groupBy(pair, S)`` produces one table for the target join.
+    Raw rows meet the broadcast grid (target week S, earlier observed week,
+    its rank counted back from S) and one ``groupBy(pair, S)`` takes
+    conditional sums: the sum at week S-k is lag k, the sum at rank r is the
+    pair's weekly sum in the r-th latest observed week (windows are built
+    from those), and count / sum / sum of squares over all earlier rows give
+    the raw-row mean/std/count of the pair. The join is map-side and the
+    aggregate combines map-side, so a hot pair is reduced before the single
+    shuffle.
     """
-    from .aggregates import moments_to_stats, weekly_moments
     lags, windows = list(lags), list(windows)
-    m = weekly_moments(history, PAIR, y)
-    weeks = m.select(WEEK_COL).distinct()
+    top = max(windows) if windows else 0
+    h = history.where(F.col(y).isNotNull()).select(*PAIR, WEEK_COL, F.col(y).cast("long").alias(y))
+    weeks = h.select(WEEK_COL).distinct()
     grid = (weeks.crossJoin(targets).where(F.col(WEEK_COL) < F.col("S"))
                  .withColumn(RANK, F.row_number().over(
                      Window.partitionBy("S").orderBy(F.desc(WEEK_COL)))))
-    x = m.join(F.broadcast(grid), WEEK_COL).withColumn(y, F.col("s1"))
-    g = x.groupBy(*PAIR, "S").agg(
-        *_feature_aggs(F.col("S"), y, lags, windows),
-        F.sum("n").alias("__n"), F.sum("s1").alias("__s1"),
-        F.sum(F.col("s2").cast("decimal(38,0)")).alias("__s2"))
-    return g.select(*PAIR, "S", *_ordered_feature_cols(lags, windows),
-                    *moments_to_stats(F.col("__n"), F.col("__s1"), F.col("__s2"), agg_name))
+    x = h.join(F.broadcast(grid), WEEK_COL)
+    yl = F.col(y)
+    aggs = [F.sum(F.when(F.col("S") - F.col(WEEK_COL) == k, yl)).alias(f"__lag{k}") for k in lags]
+    aggs += [F.sum(F.when(F.col(RANK) == r, yl)).alias(f"__w{r}") for r in range(1, top + 1)]
+    if agg_name:
+        aggs += [F.count(yl).alias("__n"), F.sum(yl).alias("__s1"),
+                 F.sum(yl.cast("decimal(20,0)") * yl.cast("decimal(20,0)")).alias("__s2")]
+    g = x.groupBy(*PAIR, "S").agg(*aggs)
+    out = [F.col(f"__lag{k}").cast("double").alias(f"lag_{k}") for k in lags]
+    for w in windows:
+        out += _rolling_from_ranks(w)
+    if agg_name:
+        from .aggregates import moments_to_stats
+        out += moments_to_stats(F.col("__n"), F.col("__s1"), F.col("__s2"), agg_name)
+    return g.select(*PAIR, "S", *out)

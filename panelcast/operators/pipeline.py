@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from ..config import (AGG_GROUP_KEYS, FEATURE_COLS, ID_COLS, PAIR, TARGET_COL, UNKNOWN_BRAND,
                       WEEK_COL)
-from .aggregates import agg_features, agg_features_multi, agg_table_multi, global_mean
-from .backoff import backoff_from_means, brand_means, with_brand
+from .aggregates import key_set_stats
+from .backoff import backoff_from_means, with_brand
 from .clean import attach_state
 from .joins import broadcast_if_small
 from .lags import pair_features_multi
@@ -74,17 +74,18 @@ def build_features(target: DataFrame, history: DataFrame, target_week: int,
     past = history.where(F.col(WEEK_COL) < target_week)
     pairs = pair_features_multi(past, one, y).drop("S")
     df = base.join(pairs, PAIR, "left")
-    aggs = agg_features(past, target_week, y,
-                        {k: v for k, v in AGG_GROUP_KEYS.items() if k != PAIR_AGG})
+    bm = broadcast_if_small(brand_map)
+    sets = {k: v for k, v in AGG_GROUP_KEYS.items() if k != PAIR_AGG and all(c in past.columns for c in v)}
+    sets.update({"brand": ["brand"], "global": []})
+    stats = {k: v.drop("S") for k, v in key_set_stats(with_brand(past, bm, None), sets, one, y).items()}
     for name in JOIN_ORDER:
-        if name in aggs:
-            df = df.join(aggs[name], AGG_GROUP_KEYS[name], "left")
+        if name in stats:
+            df = df.join(stats[name], AGG_GROUP_KEYS[name], "left")
     df = df.join(broadcast_if_small(product_feats), "Producto_ID", "left")
     df = attach_state(df, towns, state_map)
-    bm = broadcast_if_small(brand_map)
     df = with_brand(df, bm, UNKNOWN_BRAND)
-    df = backoff_from_means(df, brand_means(history, bm, target_week, y),
-                            global_mean(history, target_week, y, "backoff_est_5"))
+    df = backoff_from_means(df, stats["brand"].select("brand", F.col("brand_mean").alias("backoff_est_4")),
+                            stats["global"].select(F.col("global_mean").alias("backoff_est_5")))
     df = df.withColumn("target_semana", F.lit(target_week))
     head = [c for c in base.columns if c != y or include_target]
     return finalize_features(df, head)
@@ -114,22 +115,20 @@ def build_features_multi(rows: DataFrame, history: DataFrame, target_weeks: Iter
     history = history.where(F.col(WEEK_COL) < max(weeks))
     pairs = pair_features_multi(history, targets, y).withColumnRenamed("S", WEEK_COL)
     df = base.join(pairs, [*PAIR, WEEK_COL], "left")
-    aggs = agg_features_multi(history, targets, y,
-                              {k: v for k, v in AGG_GROUP_KEYS.items() if k != PAIR_AGG})
+    bm = broadcast_if_small(brand_map)
+    sets = {k: v for k, v in AGG_GROUP_KEYS.items() if k != PAIR_AGG and all(c in history.columns for c in v)}
+    sets.update({"brand": ["brand"], "global": []})
+    stats = key_set_stats(with_brand(history, bm, None), sets, targets, y)
     for name in JOIN_ORDER:
-        if name in aggs:
-            df = df.join(aggs[name].withColumnRenamed("S", WEEK_COL),
+        if name in stats:
+            df = df.join(stats[name].withColumnRenamed("S", WEEK_COL),
                          [*AGG_GROUP_KEYS[name], WEEK_COL], "left")
     df = df.join(broadcast_if_small(product_feats), "Producto_ID", "left")
     df = attach_state(df, towns, state_map)
-    bm = broadcast_if_small(brand_map)
     df = with_brand(df, bm, UNKNOWN_BRAND)
-    hist_b = with_brand(history, bm, None).where(F.col("brand").isNotNull())
-    brand_tab = (agg_table_multi(hist_b, "brand", ["brand"], targets, y)
-                 .select("brand", F.col("S").alias(WEEK_COL),
-                         F.col("brand_mean").alias("backoff_est_4")))
-    glob = (agg_table_multi(history, "global", [], targets, y)
-            .select(F.col("S").alias(WEEK_COL), F.col("global_mean").alias("backoff_est_5")))
+    brand_tab = stats["brand"].select("brand", F.col("S").alias(WEEK_COL),
+                                      F.col("brand_mean").alias("backoff_est_4"))
+    glob = stats["global"].select(F.col("S").alias(WEEK_COL), F.col("global_mean").alias("backoff_est_5"))
     df = backoff_from_means(df, brand_tab, glob, [WEEK_COL])
     df = df.withColumn("target_semana", F.col(WEEK_COL))
     head = [c for c in base.columns if c != y or include_target]

@@ -30,6 +30,9 @@ def build_session(master: str | None = None, app: str = "panelcast",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
+    if master and master.startswith("local"):
+        # One JVM holds driver and executors; the 1g default is too small.
+        conf["spark.driver.memory"] = "8g"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
