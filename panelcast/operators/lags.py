@@ -6,10 +6,10 @@ rolling window w is the last w *observed* distinct weeks of the whole panel
 before S (not calendar weeks, not per pair); a pair-week that is absent is
 absent, not zero.
 
-Neither needs a self join: one ``groupBy(pair)`` with conditional aggregates
-evaluates every lag and window in a single pass over the weekly sums. The
-table of observed weeks (one row per week, so bounded by the calendar) is
-broadcast.
+Neither needs a self join: one ``groupBy(pair, S)`` over the raw rows with
+conditional sums evaluates every lag and window (and the client x product
+moments) in a single pass. The grid of target weeks x observed weeks (one
+row per pair of weeks, so bounded by the calendar) is broadcast.
 """
 
 from __future__ import annotations
@@ -29,43 +29,6 @@ def weekly_demand(history: DataFrame, y: str = TARGET_COL) -> DataFrame:
     return history.groupBy(*PAIR, WEEK_COL).agg(F.sum(y).alias(y))
 
 
-def small_median(x: Column, max_n: int) -> Column:
-    """Exact median of at most ``max_n`` values per group.
-
-    A window holds one weekly sum per observed week, so at most w values.
-    For n <= 4 the median is (sum - min - max) / (n - 2) when n >= 3 and
-    sum / n when n <= 2 -- plain sum/min/max/count, which stay in the
-    codegen'd hash aggregate instead of the object-buffer ``percentile``.
-    """
-    if max_n > 4:
-        return F.median(x)
-    n, sm = F.count(x), F.sum(x)
-    return (F.when(n >= 3, (sm - F.min(x) - F.max(x)) / (n - 2))
-             .when(n >= 1, sm / n))
-
-
-def _feature_aggs(target_week: Column, y: str, lags: Iterable[int],
-                  windows: Iterable[int]) -> list[Column]:
-    yc = F.col(y).cast("double")
-    out = [F.max(F.when(F.col(WEEK_COL) == target_week - k, yc)).alias(f"lag_{k}")
-           for k in lags]
-    for w in windows:
-        inwin = F.when(F.col(RANK) <= w, yc)
-        out += [
-            F.avg(inwin).alias(f"rolling_mean_{w}"),
-            F.coalesce(F.stddev_samp(inwin), F.lit(0.0)).alias(f"rolling_std_{w}"),
-            small_median(inwin, w).alias(f"rolling_median_{w}"),
-        ]
-    return out
-
-
-def _ordered_feature_cols(lags, windows) -> list[str]:
-    cols = [f"lag_{k}" for k in lags]
-    for w in windows:
-        cols += [f"rolling_mean_{w}", f"rolling_std_{w}", f"rolling_median_{w}"]
-    return cols
-
-
 def lag_features(history: DataFrame, target_week: int, y: str = TARGET_COL,
                  lags: Iterable[int] = LAG_WEEKS,
                  windows: Iterable[int] = ROLLING_WINDOWS) -> DataFrame:
@@ -80,40 +43,6 @@ def lag_features(history: DataFrame, target_week: int, y: str = TARGET_COL,
     return pair_features_multi(past, one, y, lags, windows, None).drop("S")
 
 
-def week_grid(weeks: DataFrame, targets: DataFrame, horizon: int) -> DataFrame:
-    """(S, Semana, rank) for observed weeks before each target S.
-
-    rank 1 is the latest observed week before S. Rows are kept when they can
-    feed a lag (S - week <= max lag) or a window (rank <= max window), so the
-    grid has at most ``horizon`` rows per target week.
-    """
-    g = (weeks.crossJoin(targets).where(F.col(WEEK_COL) < F.col("S"))
-              .withColumn(RANK, F.row_number().over(
-                  Window.partitionBy("S").orderBy(F.desc(WEEK_COL)))))
-    return g.where((F.col(RANK) <= horizon) | (F.col("S") - F.col(WEEK_COL) <= horizon))
-
-
-def lag_features_multi(history: DataFrame, targets: DataFrame, y: str = TARGET_COL,
-                       lags: Iterable[int] = LAG_WEEKS,
-                       windows: Iterable[int] = ROLLING_WINDOWS) -> DataFrame:
-    """X1 for every target week in ``targets`` (column S) in one job.
-
-    Each weekly sum meets only the target weeks it can feed (<= max lag/window
-    of them), so the row count grows by a bounded factor before one
-    ``groupBy(pair, S)``. Pairs without any sum in the lag/window horizon are
-    absent here; joined to target rows they read as null, which the feature
-    matrix fills exactly as X1's all-null rows.
-    """
-    lags, windows = list(lags), list(windows)
-    horizon = max(lags + windows)
-    wk = weekly_demand(history, y)
-    grid = week_grid(wk.select(WEEK_COL).distinct(), targets, horizon)
-    x = wk.join(F.broadcast(grid), WEEK_COL)
-    return (x.groupBy(*PAIR, "S")
-             .agg(*_feature_aggs(F.col("S"), y, lags, windows))
-             .select(*PAIR, "S", *_ordered_feature_cols(lags, windows)))
-
-
 def _rolling_from_ranks(w: int) -> list[Column]:
     """mean / sample std / median of the non-null weekly sums __w1..__w{w}.
 

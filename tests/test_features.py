@@ -161,3 +161,17 @@ def test_feature_list_and_fill(prep):
     nulls = out.select([F.sum(F.col(c).isNull().cast("int")).alias(c) for c in C.FEATURE_COLS]).first()
     assert sum(nulls) == 0
     assert not set(C.SALE_MEASURES) & set(out.columns)
+
+
+def test_key_set_stats_equal_groupby(spark, prep):
+    from panelcast.operators import aggregates
+    proc = prep.processed
+    one = pipeline.target_weeks_frame(spark, [8])
+    sets = {k: v for k, v in C.AGG_GROUP_KEYS.items() if k != "client_product"}
+    got = aggregates.key_set_stats(proc, sets, one)
+    for name, keys in sets.items():
+        a = got[name].drop("S").toPandas().sort_values(keys).reset_index(drop=True)
+        b = aggregates.agg_table(proc, name, keys, 8).toPandas().sort_values(keys).reset_index(drop=True)
+        assert len(a) == len(b) > 0
+        cols = [f"{name}_mean", f"{name}_std", f"{name}_count"]
+        np.testing.assert_allclose(a[cols].to_numpy(float), b[cols].to_numpy(float), rtol=1e-9, atol=1e-9)
