@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import AGG_GROUP_KEYS, TARGET_COL, UNKNOWN_BRAND, WEEK_COL
-from .aggregates import agg_table, global_mean
+from .aggregates import global_mean
 
 # Aggregate name holding the mean of each ladder level 0..3.
 LEVEL_AGGS = ["client_product", "route_product", "agency_product", "product"]
@@ -55,22 +55,32 @@ def backoff_features(target: DataFrame, history: DataFrame, brand_map: DataFrame
     """Target rows plus backoff_level (0..5) and backoff_estimate.
 
     ``level_tables`` may hold already computed aggregate tables (X2) for the
-    four key-set levels; missing ones are computed here.
+    four key-set levels. Otherwise all level means (the four key sets, brand
+    and global) come from one scan of the history (``key_set_stats``).
     """
-    level_tables = dict(level_tables or {})
-    df = with_brand(target, brand_map, UNKNOWN_BRAND)
+    from .aggregates import key_set_stats
+    from .joins import broadcast_if_small
+    from .pipeline import target_weeks_frame
+    bm = broadcast_if_small(brand_map.select("Producto_ID", "brand"))
+    df = with_brand(target, bm, UNKNOWN_BRAND)
+    if level_tables:
+        tabs = dict(level_tables)
+        tabs["brand"] = brand_means(history, bm, target_week, y).withColumnRenamed(
+            "backoff_est_4", "brand_mean")
+        tabs["global"] = global_mean(history, target_week, y, "global_mean")
+    else:
+        past = with_brand(history.where(F.col(WEEK_COL) < target_week), bm, None)
+        sets = {name: AGG_GROUP_KEYS[name] for name in LEVEL_AGGS}
+        sets.update({"brand": ["brand"], "global": []})
+        one = target_weeks_frame(target.sparkSession, [target_week])
+        tabs = {k: v.drop("S") for k, v in key_set_stats(past, sets, one, y).items()}
     est = []
-    for i, name in enumerate(LEVEL_AGGS):
-        keys = AGG_GROUP_KEYS[name]
-        tab = level_tables.get(name)
-        if tab is None:
-            tab = agg_table(history, name, keys, target_week, y)
+    for i, name in enumerate(LEVEL_AGGS + ["brand"]):
+        keys = AGG_GROUP_KEYS.get(name, ["brand"])
         col = f"backoff_est_{i}"
-        df = df.join(tab.select(*keys, F.col(f"{name}_mean").alias(col)), keys, "left")
+        df = df.join(tabs[name].select(*keys, F.col(f"{name}_mean").alias(col)), keys, "left")
         est.append(col)
-    df = df.join(brand_means(history, brand_map, target_week, y), "brand", "left")
-    est.append("backoff_est_4")
-    df = df.crossJoin(F.broadcast(global_mean(history, target_week, y, "backoff_est_5")))
+    df = df.crossJoin(F.broadcast(tabs["global"].select(F.col("global_mean").alias("backoff_est_5"))))
     level, estimate = choose_level(est, "backoff_est_5")
     keep = [c for c in target.columns if c != "brand"]
     return df.select(*keep, level, estimate)
