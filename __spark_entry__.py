@@ -23,7 +23,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from checks import duck_sql as D  # noqa: E402
 from panelcast import config as C  # noqa: E402
-from panelcast.operators import (aggregates, backoff, baselines, clean, cumulative, drift,  # noqa: E402
+from panelcast.operators import (aggregates, backoff, baselines, clean, drift,  # noqa: E402
                                  evaluation, lags, pipeline, scoring)
 from panelcast.plans.prepare import Prepared  # noqa: E402
 from panelcast.sources import fixtures as fx  # noqa: E402
