@@ -334,6 +334,21 @@ _ma_ctes, _ma_body = D.ma_sql("demand_sales", f"(SELECT * FROM demand_sales WHER
 _eval_ctes = _l1_ctes + [("lag1", _l1_body)] + _ma_ctes + [("ma3", _ma_body)]
 
 
+_SCORED: dict = {}
+
+
+def _scored(spark, sf, name):
+    """Baseline predictions as the evaluation queries' input: computed and
+    written once per session (as a model's scored output would be), then
+    every report reads the written table instead of re-running the model."""
+    from panelcast.session import materialize
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _SCORED:
+        fn = {"lag1": _lag1, "ma3": _ma3}[name]
+        _SCORED[key] = materialize(fn(spark, sf), f"scored-{name}")
+    return _SCORED[key]
+
+
 def _lag1(spark, sf):
     s = view(spark, sf, "demand_sales")
     return baselines.naive_lag1(s, s.where(F.col("Semana") == VAL_WEEK), VAL_WEEK)
@@ -358,8 +373,8 @@ def q_baseline_ma3(spark, sf):
           D.with_ctes(_eval_ctes, f"SELECT 'lag1' AS model, {D.metrics_select(Y, 'prediction')} FROM lag1 "
                                   f"UNION ALL SELECT 'ma3', {D.metrics_select(Y, 'prediction')} FROM ma3"))
 def q_metrics_overall(spark, sf):
-    a = evaluation.evaluate(_lag1(spark, sf), Y, "prediction").select(F.lit("lag1").alias("model"), "*")
-    b = evaluation.evaluate(_ma3(spark, sf), Y, "prediction").select(F.lit("ma3").alias("model"), "*")
+    a = evaluation.evaluate(_scored(spark, sf, "lag1"), Y, "prediction").select(F.lit("lag1").alias("model"), "*")
+    b = evaluation.evaluate(_scored(spark, sf, "ma3"), Y, "prediction").select(F.lit("ma3").alias("model"), "*")
     return a.unionByName(b)
 
 
@@ -367,7 +382,7 @@ def q_metrics_overall(spark, sf):
           D.with_ctes(_eval_ctes, f"SELECT Producto_ID, count(*) AS n, {D.metrics_select(Y, 'prediction')} "
                                   "FROM lag1 WHERE Producto_ID IS NOT NULL GROUP BY Producto_ID"))
 def q_metrics_by_segment(spark, sf):
-    return evaluation.evaluate_by_segment(_lag1(spark, sf), Y, "prediction", "Producto_ID")
+    return evaluation.evaluate_by_segment(_scored(spark, sf, "lag1"), Y, "prediction", "Producto_ID")
 
 
 @register("worst_segments", "segment_col:s, segment:i, n:i, " + METRIC_SHAPE,
@@ -380,7 +395,7 @@ SELECT * FROM (SELECT 'Agencia_ID', Agencia_ID, count(*) AS n,
        {D.metrics_select(Y, 'prediction')} FROM lag1 GROUP BY Agencia_ID
        ORDER BY rmse DESC, Agencia_ID LIMIT {C.WORST_SEGMENTS}) b"""))
 def q_worst_segments(spark, sf):
-    pred = _lag1(spark, sf)
+    pred = _scored(spark, sf, "lag1")
     out = []
     for seg in ("Producto_ID", "Agencia_ID"):
         w = evaluation.worst_segments(pred, Y, "prediction", seg, C.WORST_SEGMENTS)
@@ -432,7 +447,7 @@ _hc_c, _hc_b = D.histogram_sql("errc", "error", C.ERROR_BINS, "hc")
           D.with_ctes(_hist_ctes + _ha_c + _hc_c,
                       f"SELECT 'all' AS variant, * FROM ({_ha_b}) UNION ALL SELECT 'clipped', * FROM ({_hc_b})"))
 def q_error_histogram(spark, sf):
-    return evaluation.error_histograms(_lag1(spark, sf), Y, "prediction")
+    return evaluation.error_histograms(_scored(spark, sf, "lag1"), Y, "prediction")
 
 
 @register("sample_limits", "max_value:d, actual_p99:d, predicted_p99:d",
@@ -440,7 +455,7 @@ def q_error_histogram(spark, sf):
                                   f"quantile_cont(CAST({Y} AS DOUBLE), {C.CLIP_PERCENTILE}) AS actual_p99, "
                                   f"quantile_cont(prediction, {C.CLIP_PERCENTILE}) AS predicted_p99 FROM lag1"))
 def q_sample_limits(spark, sf):
-    return evaluation.sample_limits(_lag1(spark, sf), Y, "prediction")
+    return evaluation.sample_limits(_scored(spark, sf, "lag1"), Y, "prediction")
 
 
 # --- drift and monitoring ---------------------------------------------------
@@ -464,7 +479,7 @@ SELECT d AS ks_statistic, {D.ks_pvalue_sql('d', 'nr', 'nc')} AS p_value,
        (SELECT stddev_pop(prediction) FROM ma3) AS current_std
 FROM ksd"""))
 def q_ks_prediction(spark, sf):
-    return drift.prediction_drift(_lag1(spark, sf), _ma3(spark, sf))
+    return drift.prediction_drift(_scored(spark, sf, "lag1"), _scored(spark, sf, "ma3"))
 
 
 def _ks_features_sql() -> str:
@@ -505,7 +520,7 @@ SELECT Agencia_ID, count(*) AS n, avg(prediction - {Y}) AS bias,
        abs(avg(prediction - {Y})) > {C.HIGH_BIAS_FACTOR} * abs((SELECT avg(prediction - {Y}) FROM lag1)) AS high_bias
 FROM lag1 GROUP BY Agencia_ID"""))
 def q_bias_by_segment(spark, sf):
-    return drift.bias_monitor(_lag1(spark, sf), Y, "prediction", "Agencia_ID")
+    return drift.bias_monitor(_scored(spark, sf, "lag1"), Y, "prediction", "Agencia_ID")
 
 
 _d_r_c, _d_r_b = D.histogram_sql("lag1", "prediction", C.DRIFT_BINS, "dr")
@@ -518,7 +533,7 @@ SELECT 'reference' AS sample, h.*, n / (sum(n) OVER () * (hi - lo)) AS density F
 UNION ALL
 SELECT 'current', h.*, n / (sum(n) OVER () * (hi - lo)) FROM ({_d_c_b}) h"""))
 def q_drift_density(spark, sf):
-    dens, _ = drift.drift_report(_lag1(spark, sf), _ma3(spark, sf))
+    dens, _ = drift.drift_report(_scored(spark, sf, "lag1"), _scored(spark, sf, "ma3"))
     return dens
 
 
@@ -533,7 +548,7 @@ SELECT sample, value, n, sum(n) OVER w AS cum,
        (sum(n) OVER w - 1) / CAST(greatest(sum(n) OVER (PARTITION BY sample) - 1, 1) AS DOUBLE) AS ecdf
 FROM evc WINDOW w AS (PARTITION BY sample ORDER BY value)"""))
 def q_ecdf(spark, sf):
-    _, curves = drift.drift_report(_lag1(spark, sf), _ma3(spark, sf))
+    _, curves = drift.drift_report(_scored(spark, sf, "lag1"), _scored(spark, sf, "ma3"))
     return curves
 
 
@@ -639,7 +654,7 @@ def q_shap_importance(spark, sf):
 
 @register("scatter_sample", "actual:d, predicted:d", None)
 def q_scatter_sample(spark, sf):
-    pred = _lag1(spark, sf)
+    pred = _scored(spark, sf, "lag1")
     keys = [c for c in C.ID_COLS] + [Y, "Venta_hoy", "Dev_proxima"]
     s = evaluation.seeded_sample(pred, C.SCATTER_SAMPLE, keys)
     return s.select(F.col(Y).alias("actual"), F.col("prediction").alias("predicted"))
@@ -647,7 +662,7 @@ def q_scatter_sample(spark, sf):
 
 @register("residual_histogram", "bin:i, lo:d, hi:d, n:i", None)
 def q_residual_histogram(spark, sf):
-    pred = _lag1(spark, sf)
+    pred = _scored(spark, sf, "lag1")
     keys = [c for c in C.ID_COLS] + [Y, "Venta_hoy", "Dev_proxima"]
     s = evaluation.seeded_sample(pred, C.SCATTER_SAMPLE, keys)
     return evaluation.histogram(evaluation.residuals(s, Y, "prediction"), "residual", C.ERROR_BINS)

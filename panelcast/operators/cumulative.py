@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 DEFAULT_BUCKETS = 512
 
 
@@ -61,9 +63,12 @@ def bucket_of(df: DataFrame, v: Column, cuts: str, n_cuts: int, out: str) -> Dat
 
 
 def value_counts(df: DataFrame, value: str, groups: list[str] = ()) -> DataFrame:
-    """(groups, value, n): nulls dropped."""
-    return (df.where(F.col(value).isNotNull())
-              .groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n")))
+    """(groups, value, n): nulls dropped. Written once to the scratch folder:
+    the cumulative plan reads it several times (cut points, totals, ranks)
+    and the input is computed only once."""
+    vc = (df.where(F.col(value).isNotNull())
+            .groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n")))
+    return materialize(vc, "value-counts")
 
 
 def ecdf(df: DataFrame, value: str, groups: list[str] = (),
@@ -125,19 +130,42 @@ def kolmogorov_pvalue(d: Column, n1: Column, n2: Column, terms: int = 100) -> Co
     return F.when(lam < 0.2, F.lit(1.0)).otherwise(p)
 
 
-def ks_two_sample(df: DataFrame, value: str, side: str, groups: list[str] = (),
-                  buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Per group: n_ref, n_cur, ks_statistic (exact D) and p_value.
-
-    ``side`` is a boolean column, true for the reference sample. Ties are
-    handled exactly because both CDFs step at each distinct value together.
-    """
-    groups = list(groups)
+def side_counts(df: DataFrame, value: str, side: str, groups: list[str] = ()) -> DataFrame:
+    """(groups, value, r, c): rows per distinct value in the reference (r)
+    and current (c) sample; written once to the scratch folder."""
     s = F.col(side)
     vc = (df.where(F.col(value).isNotNull())
             .groupBy(*groups, value)
             .agg(F.sum(F.when(s, 1).otherwise(0)).cast("long").alias("r"),
                  F.sum(F.when(s, 0).otherwise(1)).cast("long").alias("c")))
+    return materialize(vc, "side-counts")
+
+
+def side_moments(vc: DataFrame, value: str, groups: list[str] = ()) -> DataFrame:
+    """Per group and side: mean and population std from the value counts
+    (two passes over the counts, no cancellation from raw power sums)."""
+    groups = list(groups)
+    v = F.col(value).cast("double")
+    means = vc.groupBy(*groups).agg(
+        F.try_divide(F.sum(v * F.col("r")), F.sum("r")).alias("ref_mean"),
+        F.try_divide(F.sum(v * F.col("c")), F.sum("c")).alias("cur_mean"))
+    x = vc.join(F.broadcast(means), groups) if groups else vc.crossJoin(F.broadcast(means))
+    dr, dc = v - F.col("ref_mean"), v - F.col("cur_mean")
+    return x.groupBy(*groups).agg(
+        F.first("ref_mean").alias("ref_mean"), F.first("cur_mean").alias("cur_mean"),
+        F.sqrt(F.try_divide(F.sum(F.col("r") * dr * dr), F.sum("r"))).alias("ref_std"),
+        F.sqrt(F.try_divide(F.sum(F.col("c") * dc * dc), F.sum("c"))).alias("cur_std"))
+
+
+def ks_from_counts(vc: DataFrame, value: str, groups: list[str] = (),
+                   buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Per group: n_ref, n_cur, ks_statistic (exact D) and p_value, from the
+    (groups, value, r, c) counts of ``side_counts``.
+
+    Ties are handled exactly because both CDFs step at each distinct value
+    together.
+    """
+    groups = list(groups)
     cum = cumulative_sums(vc, value, ["r", "c"], groups, buckets)
     tot = vc.groupBy(*groups).agg(F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"))
     x = cum.join(F.broadcast(tot), groups) if groups else cum.crossJoin(F.broadcast(tot))
@@ -148,3 +176,9 @@ def ks_two_sample(df: DataFrame, value: str, side: str, groups: list[str] = (),
     return d.select(*groups, "n_ref", "n_cur", "ks_statistic",
                     kolmogorov_pvalue(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur"))
                     .alias("p_value"))
+
+
+def ks_two_sample(df: DataFrame, value: str, side: str, groups: list[str] = (),
+                  buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Two-sample KS per group; ``side`` is true for the reference sample."""
+    return ks_from_counts(side_counts(df, value, side, groups), value, groups, buckets)

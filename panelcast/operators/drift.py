@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DRIFT_BINS, DRIFT_THRESHOLD, HIGH_BIAS_FACTOR
-from .cumulative import ecdf, ks_two_sample
+from .cumulative import ecdf, ks_from_counts, side_counts, side_moments
 from .evaluation import histogram
 
 
@@ -26,14 +26,11 @@ def prediction_drift(ref: DataFrame, cur: DataFrame, ref_col: str = "prediction"
     """One row: ks_statistic, p_value, drift_detected, reference/current
     mean and population std."""
     cur_col = cur_col or ref_col
-    both = _tagged(ref, ref_col, cur, cur_col)
-    ks = ks_two_sample(both, "value", "is_ref")
-    r = F.col("is_ref")
-    mom = both.agg(
-        F.avg(F.when(r, F.col("value"))).alias("reference_mean"),
-        F.avg(F.when(~r, F.col("value"))).alias("current_mean"),
-        F.stddev_pop(F.when(r, F.col("value"))).alias("reference_std"),
-        F.stddev_pop(F.when(~r, F.col("value"))).alias("current_std"))
+    vc = side_counts(_tagged(ref, ref_col, cur, cur_col), "value", "is_ref")
+    ks = ks_from_counts(vc, "value")
+    mom = side_moments(vc, "value").select(
+        F.col("ref_mean").alias("reference_mean"), F.col("cur_mean").alias("current_mean"),
+        F.col("ref_std").alias("reference_std"), F.col("cur_std").alias("current_std"))
     return ks.crossJoin(mom).select(
         "ks_statistic", "p_value", (F.col("p_value") < threshold).alias("drift_detected"),
         "reference_mean", "current_mean", "reference_std", "current_std")
@@ -58,11 +55,9 @@ def feature_drift(ref: DataFrame, cur: DataFrame, feature_cols: list[str],
                 "ref_mean double, cur_mean double")
     both = (_long(ref, cols, True).unionByName(_long(cur, cols, False))
             .where(F.col("value").isNotNull()))
-    ks = ks_two_sample(both, "value", "is_ref", ["feature"])
-    r = F.col("is_ref")
-    means = both.groupBy("feature").agg(
-        F.avg(F.when(r, F.col("value"))).alias("ref_mean"),
-        F.avg(F.when(~r, F.col("value"))).alias("cur_mean"))
+    vc = side_counts(both, "value", "is_ref", ["feature"])
+    ks = ks_from_counts(vc, "value", ["feature"])
+    means = side_moments(vc, "value", ["feature"]).select("feature", "ref_mean", "cur_mean")
     return (ks.where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
               .join(means, "feature")
               .select("feature", "ks_statistic", "p_value",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import CLIP_PERCENTILE, CV_MIN_TRAIN_WEEKS, ERROR_BINS, SAMPLE_SEED, WEEK_COL
 from ..functions.metrics import all_metrics
+from ..session import materialize
 from .cumulative import exact_quantile
 
 METRIC_COLS = ["rmse", "mae", "bias", "rmsle"]
@@ -115,7 +116,9 @@ def clipped_values(df: DataFrame, value: str, q: float = CLIP_PERCENTILE) -> Dat
 def error_histograms(df: DataFrame, y: str, p: str, bins: int = ERROR_BINS) -> DataFrame:
     """Histograms of pred - actual, all errors ("all") and those inside
     +-p99 of |error| ("clipped")."""
-    e = df.select((F.col(p).cast("double") - F.col(y).cast("double")).alias("error"))
+    # One column, written once: both histograms and the quantile read it.
+    e = materialize(df.select((F.col(p).cast("double") - F.col(y).cast("double")).alias("error")),
+                    "errors")
     h_all = histogram(e, "error", bins).withColumn("variant", F.lit("all"))
     h_clip = histogram(clipped_values(e, "error"), "error", bins).withColumn("variant", F.lit("clipped"))
     return h_all.unionByName(h_clip).select("variant", "bin", "lo", "hi", "n")

@@ -18,6 +18,7 @@ from ..config import (ATTRIBUTION_SAMPLE, ERROR_BINS, FEATURE_COLS, GBM_NUM_ROUN
                       WORST_SEGMENTS)
 from ..operators import attribution, baselines, boosting, clean, evaluation, pipeline, scoring
 from ..operators.joins import assert_unique_keys
+from ..session import materialize
 from ..sources import files, sinks
 from .prepare import Prepared
 
@@ -148,7 +149,9 @@ def run_evaluation(spark: SparkSession, art: Artifacts, val_week: int = VAL_WEEK
     inputs = load_feature_inputs(spark, art)
     feats = pipeline.build_features(data.where(F.col(WEEK_COL) == val_week), data, val_week, **inputs)
     model = boosting.IntervalModel.load(spark, art.model)
-    scored = model.main.transform(feats)
+    # Scored once and written: every report below reads it (tree scoring is
+    # the expensive step and would otherwise rerun per report branch).
+    scored = materialize(model.main.transform(feats), "scored-validation")
     reports = evaluation_reports(scored, model.main)
     for name, df in reports.items():
         sinks.write_csv_report(df, art.report(name), single_file=name != "scatter_sample")

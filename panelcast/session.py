@@ -67,3 +67,15 @@ def scratch_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below the scratch folder."""
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as parquet under the scratch folder and read it back.
+
+    Used where several branches of a plan reuse one intermediate: the
+    upstream plan runs once, lineage is cut (a lost executor does not
+    recompute it), and the planner sizes the result from its files.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
