@@ -244,6 +244,17 @@ def q_lag_features_sparse(spark, sf):
     return lags.lag_features(view(spark, sf, "demand_sales"), VAL_WEEK)
 
 
+ROLL_SHAPE = "Cliente_ID:i, Producto_ID:i, " + ", ".join(f"{c}:d" for c in C.ROLLING_COLS)
+
+
+@register("rolling_features", ROLL_SHAPE,
+          D.with_ctes(_sl_ctes, "SELECT Cliente_ID, Producto_ID, "
+                      + ", ".join(C.ROLLING_COLS) + " FROM sl_lag"))
+def q_rolling_features(spark, sf):
+    out = lags.lag_features(view(spark, sf, "demand_sales"), VAL_WEEK, lags=[])
+    return out.select("Cliente_ID", "Producto_ID", *C.ROLLING_COLS)
+
+
 def _agg_query(name):
     keys = C.AGG_GROUP_KEYS[name]
     shape = ", ".join(f"{k}:i" for k in keys) + f", {name}_mean:d, {name}_std:d, {name}_count:i"
