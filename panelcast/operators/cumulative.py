@@ -120,14 +120,16 @@ def kolmogorov_pvalue(d: Column, n1: Column, n2: Column, terms: int = 100) -> Co
     m = n1 n2 / (n1 + n2). For lambda < 0.2 the series is 1 to double
     precision (and converges too slowly), so 1 is returned.
     """
-    m = n1.cast("double") * n2.cast("double") / (n1 + n2).cast("double")
-    lam = (F.sqrt(m) + F.lit(0.12) + F.lit(0.11) / F.sqrt(m)) * d
+    m = F.try_divide(n1.cast("double") * n2.cast("double"), (n1 + n2).cast("double"))
+    lam = (F.sqrt(m) + F.lit(0.12) + F.try_divide(F.lit(0.11), F.sqrt(m))) * d
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
         lambda acc, k: acc + F.when(k % 2 == 1, F.lit(1.0)).otherwise(F.lit(-1.0))
         * F.exp(F.lit(-2.0) * k * k * lam * lam))
     p = F.least(F.greatest(F.lit(2.0) * series, F.lit(0.0)), F.lit(1.0))
-    return F.when(lam < 0.2, F.lit(1.0)).otherwise(p)
+    # An empty sample has no p-value (null), never a division error.
+    return F.when((n1 <= 0) | (n2 <= 0), F.lit(None).cast("double")) \
+            .when(lam < 0.2, F.lit(1.0)).otherwise(p)
 
 
 def side_counts(df: DataFrame, value: str, side: str, groups: list[str] = ()) -> DataFrame:
