@@ -92,7 +92,7 @@ def drift_report(ref: DataFrame, cur: DataFrame, ref_col: str = "prediction",
         tot = h.agg(F.sum("n").alias("__N"))
         parts.append(h.crossJoin(F.broadcast(tot)).select(
             F.lit(name).alias("sample"), "bin", "lo", "hi", "n",
-            (F.col("n") / (F.col("__N") * (F.col("hi") - F.col("lo")))).alias("density")))
+            F.try_divide(F.col("n"), F.col("__N") * (F.col("hi") - F.col("lo"))).alias("density")))
         curves.append(ecdf(df.select(F.col(c).cast("double").alias("value")), "value")
                       .select(F.lit(name).alias("sample"), "*"))
     return parts[0].unionByName(parts[1]), curves[0].unionByName(curves[1])
