@@ -221,6 +221,26 @@ def q_ingest_stream(spark, sf):
     return spark.read.parquet(store)
 
 
+@register("ingest_stream_preprocessed", PROCESSED_SHAPE,
+          D.with_ctes([], "SELECT Semana, Agencia_ID, Canal_ID, Ruta_SAK, Cliente_ID, Producto_ID, "
+                          "Venta_uni_hoy, CAST(CAST(Venta_hoy AS FLOAT) AS DOUBLE) AS Venta_hoy, "
+                          "Dev_uni_proxima, CAST(CAST(Dev_proxima AS FLOAT) AS DOUBLE) AS Dev_proxima, "
+                          "Demanda_uni_equil, brand, weight_g, pieces, has_promo, State_encoded "
+                          "FROM processed"))
+def q_ingest_stream_preprocessed(spark, sf):
+    """S2 into the processed store: each micro-batch is preprocessed with the
+    static dimensions and the state encoding of the batch job."""
+    from panelcast.session import scratch_path
+    from panelcast.streaming import ingest
+    p = prepared(spark, sf)
+    src = _sales_csv_dir(spark, sf)
+    store = scratch_path(spark, "ingest-processed")
+    ingest.ingest_available(spark, src, store, scratch_path(spark, "ingest-processed-ckpt"),
+                            files_per_batch=1, timeout_s=600,
+                            transform=ingest.preprocess_transform(p.meta, p.towns, p.state_map))
+    return spark.read.parquet(store)
+
+
 # --- features ---------------------------------------------------------------
 
 @register("weekly_demand", "Cliente_ID:i, Producto_ID:i, Semana:i, Demanda_uni_equil:i",

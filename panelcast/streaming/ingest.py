@@ -50,3 +50,18 @@ def ingest_available(spark: SparkSession, source_dir: str, store_dir: str, check
     if q.exception() is not None:
         raise q.exception()
     return len(q.recentProgress)
+
+
+def preprocess_transform(meta: DataFrame, towns: DataFrame, state_map: DataFrame):
+    """Per-micro-batch preprocessing for ``start_ingest(transform=...)``.
+
+    Product attributes and state codes come from static dimension tables
+    (stream-static left joins, no state kept); ``state_map`` is the encoding
+    fitted by the batch preprocessing job, so streamed and batch rows get
+    the same codes.
+    """
+    from ..operators.clean import preprocess
+
+    def transform(stream: DataFrame) -> DataFrame:
+        return preprocess(stream, meta, towns, state_map)
+    return transform

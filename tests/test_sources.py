@@ -60,3 +60,18 @@ def test_optional_table_and_runs(spark, tmp_dir):
     sinks.append_run(spark, f"{tmp_dir}/runs", val_semana=9, n_features=43, n_train_rows=10,
                      n_val_rows=5, best_iteration=4, params={"a": 1}, metrics={"gbm": {"rmse": 0.5}})
     assert spark.read.parquet(f"{tmp_dir}/runs").count() == 2
+
+
+def test_streaming_ingest_with_preprocessing(spark, tmp_dir):
+    from panelcast.plans.prepare import Prepared
+    src = _sales_csv(spark, tmp_dir, parts=3)
+    batch_sales = files.load_sales_csv(spark, src)
+    p = Prepared(batch_sales, fx.products(spark, SF_SMALL), fx.towns(spark, SF_SMALL))
+    tr = ingest.preprocess_transform(p.meta, p.towns, p.state_map)
+    ingest.ingest_available(spark, src, f"{tmp_dir}/pst", f"{tmp_dir}/pck", transform=tr, timeout_s=300)
+    got = spark.read.parquet(f"{tmp_dir}/pst")
+    want = p.processed
+    cols = sorted(want.columns)
+    assert sorted(got.columns) == cols
+    assert got.select(cols).exceptAll(want.select(cols)).count() == 0
+    assert want.select(cols).exceptAll(got.select(cols)).count() == 0
