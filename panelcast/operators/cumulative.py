@@ -13,8 +13,11 @@ totals: ``groups x buckets`` rows. Use it with a bounded number of groups
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize
 
@@ -132,6 +135,53 @@ def kolmogorov_pvalue(d: Column, n1: Column, n2: Column, terms: int = 100) -> Co
             .when(lam < 0.2, F.lit(1.0)).otherwise(p)
 
 
+EXACT_MAX_N = 10_000   # exact p-values up to this sample size (the usual "auto" rule)
+
+
+def ks_exact_pvalue_np(k: int, m: int, n: int) -> float:
+    """Exact P(D >= K/(m n)) for two samples of sizes m, n (continuous case).
+
+    A uniformly random monotone lattice path from (0,0) to (m,n) is walked
+    anti-diagonal by anti-diagonal in probability space (steps right with
+    probability (m-i)/(m+n-s), up otherwise); paths that leave the band
+    |i n - j m| < K are dropped. The p-value is the probability mass lost.
+    O((m+n) min(m,n)) NumPy work on a few scalars, no data.
+    """
+    if k <= 0 or m <= 0 or n <= 0:
+        return 1.0
+    p = np.zeros(m + 1)
+    p[0] = 1.0
+    for s in range(m + n):
+        lo, hi = max(0, s - n), min(s, m)
+        i = np.arange(lo, hi + 1)
+        j = s - i
+        cur = p[lo:hi + 1]
+        rem = m + n - s
+        nxt = np.zeros(m + 1)
+        r = i < m
+        np.add.at(nxt, i[r] + 1, cur[r] * (m - i[r]) / rem)
+        u = j < n
+        np.add.at(nxt, i[u], cur[u] * (n - j[u]) / rem)
+        lo2, hi2 = max(0, s + 1 - n), min(s + 1, m)
+        ii = np.arange(lo2, hi2 + 1)
+        keep = np.zeros(m + 1, dtype=bool)
+        keep[ii[np.abs(ii * n - (s + 1 - ii) * m) < k]] = True
+        p = np.where(keep, nxt, 0.0)
+    return float(min(1.0, max(0.0, 1.0 - p[m])))
+
+
+@F.pandas_udf(T.DoubleType())
+def ks_exact_pvalue(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+    """Exact two-sided p-value per row (null beyond ``EXACT_MAX_N``)."""
+    out = []
+    for dv, a, b in zip(d, n1, n2):
+        if pd.isna(dv) or pd.isna(a) or pd.isna(b) or a <= 0 or b <= 0 or max(a, b) > EXACT_MAX_N:
+            out.append(None)
+        else:
+            out.append(ks_exact_pvalue_np(int(round(dv * a * b)), int(a), int(b)))
+    return pd.Series(out, dtype="float64")
+
+
 def side_counts(df: DataFrame, value: str, side: str, groups: list[str] = ()) -> DataFrame:
     """(groups, value, r, c): rows per distinct value in the reference (r)
     and current (c) sample; written once to the scratch folder."""
@@ -160,12 +210,14 @@ def side_moments(vc: DataFrame, value: str, groups: list[str] = ()) -> DataFrame
 
 
 def ks_from_counts(vc: DataFrame, value: str, groups: list[str] = (),
-                   buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                   buckets: int = DEFAULT_BUCKETS, method: str = "auto") -> DataFrame:
     """Per group: n_ref, n_cur, ks_statistic (exact D) and p_value, from the
     (groups, value, r, c) counts of ``side_counts``.
 
     Ties are handled exactly because both CDFs step at each distinct value
-    together.
+    together. ``method``: "exact" (lattice-path probability), "asymp"
+    (Kolmogorov series), or "auto" = exact when both samples have at most
+    ``EXACT_MAX_N`` values, else asymptotic.
     """
     groups = list(groups)
     cum = cumulative_sums(vc, value, ["r", "c"], groups, buckets)
@@ -175,12 +227,19 @@ def ks_from_counts(vc: DataFrame, value: str, groups: list[str] = (),
                 - F.try_divide(F.col("cum_c"), F.col("n_cur")))
     d = x.groupBy(*groups).agg(F.max(gap).alias("ks_statistic"),
                                F.first("n_ref").alias("n_ref"), F.first("n_cur").alias("n_cur"))
-    return d.select(*groups, "n_ref", "n_cur", "ks_statistic",
-                    kolmogorov_pvalue(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur"))
-                    .alias("p_value"))
+    d1, a, b = F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur")
+    asymp = kolmogorov_pvalue(d1, a, b)
+    if method == "asymp":
+        p = asymp
+    elif method in ("exact", "auto"):
+        exact = ks_exact_pvalue(d1, a, b)
+        p = exact if method == "exact" else F.coalesce(exact, asymp)
+    else:
+        raise ValueError(f"unknown method {method!r}")
+    return d.select(*groups, "n_ref", "n_cur", "ks_statistic", p.alias("p_value"))
 
 
 def ks_two_sample(df: DataFrame, value: str, side: str, groups: list[str] = (),
-                  buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                  buckets: int = DEFAULT_BUCKETS, method: str = "auto") -> DataFrame:
     """Two-sample KS per group; ``side`` is true for the reference sample."""
-    return ks_from_counts(side_counts(df, value, side, groups), value, groups, buckets)
+    return ks_from_counts(side_counts(df, value, side, groups), value, groups, buckets, method)

@@ -1,7 +1,7 @@
 """Drift and bias monitoring.
 
-KS statistics come from ``cumulative.ks_two_sample`` (exact D, asymptotic
-p-value). Feature drift unpivots both frames into (feature, value) rows so
+KS statistics come from ``cumulative.ks_from_counts``: exact D; the p-value
+is exact for samples of up to 10,000 values and asymptotic beyond ("auto"). Feature drift unpivots both frames into (feature, value) rows so
 all features are tested in one job, grouped by feature.
 """
 
@@ -22,12 +22,13 @@ def _tagged(ref: DataFrame, ref_col: str, cur: DataFrame, cur_col: str) -> DataF
 
 
 def prediction_drift(ref: DataFrame, cur: DataFrame, ref_col: str = "prediction",
-                     cur_col: str | None = None, threshold: float = DRIFT_THRESHOLD) -> DataFrame:
+                     cur_col: str | None = None, threshold: float = DRIFT_THRESHOLD,
+                     method: str = "auto") -> DataFrame:
     """One row: ks_statistic, p_value, drift_detected, reference/current
-    mean and population std."""
+    mean and population std. ``method`` as in ``cumulative.ks_from_counts``."""
     cur_col = cur_col or ref_col
     vc = side_counts(_tagged(ref, ref_col, cur, cur_col), "value", "is_ref")
-    ks = ks_from_counts(vc, "value")
+    ks = ks_from_counts(vc, "value", method=method)
     mom = side_moments(vc, "value").select(
         F.col("ref_mean").alias("reference_mean"), F.col("cur_mean").alias("current_mean"),
         F.col("ref_std").alias("reference_std"), F.col("cur_std").alias("current_std"))
@@ -44,7 +45,7 @@ def _long(df: DataFrame, cols: list[str], is_ref: bool) -> DataFrame:
 
 
 def feature_drift(ref: DataFrame, cur: DataFrame, feature_cols: list[str],
-                  threshold: float = DRIFT_THRESHOLD) -> DataFrame:
+                  threshold: float = DRIFT_THRESHOLD, method: str = "auto") -> DataFrame:
     """Per feature present in both frames: ks_statistic, p_value,
     drift_detected, ref_mean, cur_mean; nulls dropped, features with an
     empty side skipped; sorted by p-value (then name)."""
@@ -56,7 +57,7 @@ def feature_drift(ref: DataFrame, cur: DataFrame, feature_cols: list[str],
     both = (_long(ref, cols, True).unionByName(_long(cur, cols, False))
             .where(F.col("value").isNotNull()))
     vc = side_counts(both, "value", "is_ref", ["feature"])
-    ks = ks_from_counts(vc, "value", ["feature"])
+    ks = ks_from_counts(vc, "value", ["feature"], method=method)
     means = side_moments(vc, "value", ["feature"]).select("feature", "ref_mean", "cur_mean")
     return (ks.where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
               .join(means, "feature")

@@ -119,3 +119,38 @@ def test_cv_folds(spark):
     assert len(folds) == 3
     tab = evaluation.cv_fold_table(df).where(F.col("role") == "val").orderBy("fold").collect()
     assert [(r.fold, r.val_semana) for r in tab] == [(1, 6), (2, 7), (3, 9)]
+
+
+def _brute_ks_p(k, m, n):
+    import itertools
+    tot = out = 0
+    for pos in itertools.combinations(range(m + n), m):
+        ps, i, j, worst = set(pos), 0, 0, 0
+        for t in range(m + n):
+            if t in ps:
+                i += 1
+            else:
+                j += 1
+            worst = max(worst, abs(i * n - j * m))
+        tot += 1
+        out += worst >= k
+    return out / tot
+
+
+@pytest.mark.parametrize("m,n", [(3, 4), (5, 5), (4, 7), (2, 9)])
+def test_exact_ks_pvalue_matches_enumeration(m, n):
+    for k in range(0, m * n + 2):
+        assert cumulative.ks_exact_pvalue_np(k, m, n) == pytest.approx(_brute_ks_p(k, m, n), abs=1e-12)
+
+
+def test_exact_ks_through_spark(spark):
+    a = [1.0, 2.5, 3.0, 7.0, 9.0]
+    b = [0.5, 4.0, 4.5, 6.0, 8.0, 10.0, 11.0]
+    ref = spark.createDataFrame([(v,) for v in a], "prediction double")
+    cur = spark.createDataFrame([(v,) for v in b], "prediction double")
+    out = drift.prediction_drift(ref, cur, method="exact").first()
+    d = _ks_d(np.array(a), np.array(b))
+    assert out.ks_statistic == pytest.approx(d)
+    assert out.p_value == pytest.approx(_brute_ks_p(round(d * 5 * 7), 5, 7))
+    auto = drift.prediction_drift(ref, cur).first()            # default "auto" = exact here
+    assert auto.p_value == pytest.approx(out.p_value)
