@@ -87,13 +87,6 @@ def agg_table_multi(history: DataFrame, name: str, keys: list[str], targets: Dat
     return g.select(*keys, "S", *moments_to_stats(F.col("n"), F.col("s1"), F.col("s2"), name))
 
 
-def agg_features_multi(history: DataFrame, targets: DataFrame, y: str = TARGET_COL,
-                       group_keys: dict[str, list[str]] = AGG_GROUP_KEYS) -> dict[str, DataFrame]:
-    cols = set(history.columns)
-    return {name: agg_table_multi(history, name, keys, targets, y)
-            for name, keys in group_keys.items() if all(k in cols for k in keys)}
-
-
 def key_set_stats(history: DataFrame, key_sets: dict[str, list[str]], targets: DataFrame,
                   y: str = TARGET_COL, nonnull_keys: tuple[str, ...] = ("brand",)
                   ) -> dict[str, DataFrame]:
