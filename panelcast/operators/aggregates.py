@@ -1,11 +1,14 @@
 """Entity aggregates (A2, X2), global mean (A5) and their multi-week form.
 
 Aggregates are computed on raw rows: mean, sample std (null for one row ->
-0) and count of the target per key set, over history weeks < S. Each key set
-is its own ``groupBy`` (partial + final hash aggregate, so hot keys are
-combined map-side before the shuffle). A single GROUPING SETS query would
-``Expand`` every row seven times before the shuffle; separate aggregates
-shuffle only their partial results.
+0) and count of the target per key set, over history weeks < S. Every
+aggregate runs as partial + final hash aggregate, so hot keys are combined
+map-side before the shuffle.
+
+``agg_table`` is one key set (the X2 table on its own). The feature pipeline
+uses ``key_set_stats``: all key sets from one GROUPING SETS scan, whose Expand
+multiplies rows only in memory ahead of the partial aggregate, and one
+re-aggregation per (key set, target week), written once.
 """
 
 from __future__ import annotations
