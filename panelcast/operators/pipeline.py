@@ -1,11 +1,14 @@
 """The feature matrix (X5, P11-P13) for one target week and for many.
 
-Join order is chosen for the shuffle cost of the *target* side, which is the
-wide one: the pair-keyed tables (lags, client x product) share one hash
-partitioning of the target; the remaining key sets are joined while the
-target is still narrow; dimension tables (products, towns, brand/global
-means) are broadcast last. All nulls become 0 at the very end, so "no sales",
-"unknown" and "outside the window" look alike to the model, as intended.
+Two tables carry all history features: the pair table (lags, rolling
+windows and the client x product aggregate, one ``groupBy(pair, S)``) and
+the key-set table (the six other key sets plus the brand and global backoff
+levels, one GROUPING SETS scan, written once). Join order is chosen for the
+shuffle cost of the *target* side, which is the wide one: the pair table
+first, the remaining key sets while the target is still narrow, dimension
+tables (products, towns, brand/global means) last as broadcasts. All nulls
+become 0 at the very end, so "no sales", "unknown" and "outside the window"
+look alike to the model, as intended.
 """
 
 from __future__ import annotations
@@ -27,7 +30,6 @@ from .lags import pair_features_multi
 # the other key sets are joined while the target is narrow, small ones last.
 PAIR_AGG = "client_product"
 JOIN_ORDER = ["client", "route_product", "agency_product", "route", "product", "agency"]
-_DERIVED = set(FEATURE_COLS) | {"brand", "State", "Town"}
 
 
 def _target_base(target: DataFrame, y: str, keep: Iterable[str]) -> DataFrame:
