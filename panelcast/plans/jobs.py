@@ -131,7 +131,9 @@ def evaluation_reports(scored: DataFrame, model: boosting.BoostedTrees | None =
         reports[f"worst_segments_{seg}"] = evaluation.worst_segments(scored, y, p, seg, WORST_SEGMENTS)
     reports["error_histograms"] = evaluation.error_histograms(scored, y, p, ERROR_BINS)
     keys = [c for c in ("id", *pipeline.ID_COLS) if c in scored.columns]
-    sample = evaluation.seeded_sample(scored, SCATTER_SAMPLE, keys, SAMPLE_SEED)
+    # Four reports read the sample: select it once and write it.
+    sample = materialize(evaluation.seeded_sample(scored, SCATTER_SAMPLE, keys, SAMPLE_SEED),
+                         "scatter-sample")
     reports["scatter_sample"] = sample.select(F.col(y).alias("actual"), F.col(p).alias("predicted"))
     reports["scatter_limits"] = evaluation.sample_limits(sample, y, p)
     resid = evaluation.residuals(sample, y, p)
