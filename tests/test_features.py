@@ -105,15 +105,15 @@ def _parse(spark, name):
 
 
 def test_parse_names(spark):
-    r = _parse(spark, "Bimbollos Ext sAjonjoli 6p 480g BIM 41")
-    assert (r.brand, r.weight_g, r.pieces) == ("BIM", 480.0, 6)
-    assert _parse(spark, "Capuccino Moka 750g NES 9").weight_g == 750.0
-    assert _parse(spark, "Pan Blanco 500g BIM 10").has_promo == 0
+    r = _parse(spark, "Rolls Ext Sesame 6p 480g ABC 41")
+    assert (r.brand, r.weight_g, r.pieces) == ("ABC", 480.0, 6)
+    assert _parse(spark, "Coffee Mocha 750g XYZ 9").weight_g == 750.0
+    assert _parse(spark, "White Bread 500g ABC 10").has_promo == 0
     assert _parse(spark, "X").brand == "UNK"
-    assert _parse(spark, "Leche 1.5kg Descremada LALA 3").weight_g == 1500.0
-    assert _parse(spark, "Leche 1.5kg Descremada LALA 3").has_promo == 1   # unanchored 'desc'
-    assert _parse(spark, "Agua 2L  CIEL 7").weight_g == 2000.0
-    assert _parse(spark, "Pan 2 p 300g BIM 1").pieces == 2            # Unicode \\s
+    assert _parse(spark, "Milk 1.5kg Descremada QRS 3").weight_g == 1500.0
+    assert _parse(spark, "Milk 1.5kg Descremada QRS 3").has_promo == 1   # unanchored 'desc'
+    assert _parse(spark, "Water 2L  DEF 7").weight_g == 2000.0
+    assert _parse(spark, "Bread 2 p 300g ABC 1").pieces == 2            # Unicode \\s
     assert _parse(spark, "").brand == "UNK"
 
 
