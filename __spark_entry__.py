@@ -2,10 +2,20 @@
 
 Every query reads the driver's tables through the fixture views of
 ``panelcast.sources.fixtures`` (whole tables, no row caps) and runs the
-engine's operators. Outputs are normalised to declared column kinds
-(BIGINT / DOUBLE rounded to 6 places / VARCHAR / BOOLEAN) on both the Spark
-side and the DuckDB side, because engines differ in the last bits of std and
-interpolated values.
+engine's operators.
+
+Inputs are staged the way a deployment would stage them, once per session,
+under the scratch folder (``spark.checkpoint.dir``):
+
+* the views are written as input tables;
+* feature queries read the week store written by the preprocessing job
+  (``stored``);
+* report queries read baseline predictions written once (``_scored``), as
+  they would read a model's scored output.
+
+Outputs are normalised to declared column kinds (BIGINT / DOUBLE rounded to
+6 places / VARCHAR / BOOLEAN) on both the Spark side and the DuckDB side,
+because engines differ in the last bits of std and interpolated values.
 """
 
 from __future__ import annotations
