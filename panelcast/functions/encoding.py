@@ -21,7 +21,8 @@ def fit_encoding(values: DataFrame, col: str, code_col: str) -> DataFrame:
 def apply_encoding(df: DataFrame, col: str, encoding: DataFrame, code_col: str,
                    unseen: str = "max_plus_one") -> DataFrame:
     """Left-join the codes; unseen values get max+1 (or stay null)."""
-    out = df.join(F.broadcast(encoding), col, "left")
+    from ..operators.joins import broadcast_if_small
+    out = df.join(broadcast_if_small(encoding), col, "left")
     if unseen == "max_plus_one":
         top = encoding.agg((F.max(code_col) + 1).alias("__unseen"))
         out = (out.crossJoin(F.broadcast(top))

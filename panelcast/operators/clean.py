@@ -50,7 +50,7 @@ def state_encoding(sales: DataFrame, towns: DataFrame) -> DataFrame:
 def state_codes(towns: DataFrame, state_map: DataFrame) -> DataFrame:
     """(Agencia_ID, State_encoded) per known town (agency)."""
     return (towns.select("Agencia_ID", "State")
-                 .join(F.broadcast(state_map), "State", "left")
+                 .join(broadcast_if_small(state_map), "State", "left")
                  .select("Agencia_ID", "State_encoded"))
 
 
@@ -59,9 +59,9 @@ def attach_state(df: DataFrame, towns: DataFrame, state_map: DataFrame) -> DataF
     "UNKNOWN" (null when that state was never fitted)."""
     base = df.drop("State_encoded") if "State_encoded" in df.columns else df
     t = broadcast_if_small(towns.select("Agencia_ID", "State"))
-    out =(base.join(t, "Agencia_ID", "left")
+    out = (base.join(t, "Agencia_ID", "left")
                .withColumn("State", F.coalesce(F.col("State"), F.lit(UNKNOWN_STATE)))
-               .join(F.broadcast(state_map), "State", "left"))
+               .join(broadcast_if_small(state_map), "State", "left"))
     return out.drop("State")
 
 
