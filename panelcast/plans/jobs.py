@@ -80,21 +80,40 @@ def load_feature_inputs(spark: SparkSession, art: Artifacts) -> dict:
 
 # --- M11 ----------------------------------------------------------------------
 
-def training_frames(history: DataFrame, inputs: dict, val_week: int) -> DataFrame:
-    """Features for every week from the second observed week to val_week."""
-    return pipeline.build_features_multi(history, history, range(4, val_week + 1), **inputs)
+def training_frames(history: DataFrame, inputs: dict, val_week: int,
+                    weeks: list[int] | None = None) -> DataFrame:
+    """Features for target weeks 4..val_week (or ``weeks``) in one job."""
+    target = weeks if weeks is not None else list(range(4, val_week + 1))
+    return pipeline.build_features_multi(history, history, target, **inputs)
+
+
+def write_training_set(history: DataFrame, inputs: dict, val_week: int, path: str,
+                       weeks_per_job: int | None = None) -> None:
+    """S10 + A7: write the training set, partitioned by target week.
+
+    In one job, every weekly history row is replicated once per later target
+    week. ``weeks_per_job`` bounds that factor for long week lists: the
+    target weeks are processed in chunks, each one distributed job appending
+    its own partitions.
+    """
+    target = list(range(4, val_week + 1))
+    k = weeks_per_job or len(target)
+    for i in range(0, len(target), k):
+        chunk = target[i:i + k]
+        files.save_training_set(training_frames(history, inputs, val_week, chunk), path,
+                                mode="overwrite" if i == 0 else "append")
 
 
 def run_training(spark: SparkSession, art: Artifacts, val_week: int = VAL_WEEK,
                  num_rounds: int = GBM_NUM_ROUNDS, with_quantiles: bool = True,
-                 boost_kw: dict | None = None) -> dict:
+                 boost_kw: dict | None = None, weeks_per_job: int | None = None) -> dict:
     weeks = [w for w in files.available_weeks(spark, art.store) if w <= val_week]
     history = files.load_weeks(spark, art.store, weeks)
     inputs = load_feature_inputs(spark, art)
     # The training set is written once, partitioned by target week, and
     # re-read with only the model columns.
     ts_path = art.feature("training_set")
-    files.save_training_set(training_frames(history, inputs, val_week), ts_path)
+    write_training_set(history, inputs, val_week, ts_path, weeks_per_job)
     ts = files.load_training_columns(spark, ts_path, [WEEK_COL, Y, *FEATURE_COLS])
     train, val = ts.where(F.col(WEEK_COL) < val_week), ts.where(F.col(WEEK_COL) == val_week)
 

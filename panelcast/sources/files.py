@@ -105,9 +105,10 @@ def load_table(spark: SparkSession, path: str, required: bool = True,
         return spark.createDataFrame([], empty_schema)
 
 
-def save_training_set(df: DataFrame, path: str) -> None:
-    """The multi-week feature matrix, partitioned by target week."""
-    df.write.mode("overwrite").partitionBy("target_semana").parquet(path)
+def save_training_set(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """The multi-week feature matrix, partitioned by target week
+    (``mode="append"`` adds the partitions of further target weeks)."""
+    df.write.mode(mode).partitionBy("target_semana").parquet(path)
 
 
 def load_training_columns(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
