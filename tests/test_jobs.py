@@ -44,7 +44,7 @@ def test_training_set_in_week_chunks(spark, tmp_dir):
     inputs = jobs.load_feature_inputs(spark, art)
     jobs.write_training_set(hist, inputs, 9, f"{tmp_dir}/one")
     jobs.write_training_set(hist, inputs, 9, f"{tmp_dir}/chunks", weeks_per_job=2)
-    cols = ["target_semana", "Cliente_ID", "Producto_ID", C.TARGET_COL] + C.FEATURE_COLS
+    cols = ["Cliente_ID", "Producto_ID", C.TARGET_COL] + C.FEATURE_COLS   # includes target_semana
     a = spark.read.parquet(f"{tmp_dir}/one").select(*cols)
     b = spark.read.parquet(f"{tmp_dir}/chunks").select(*cols)
     pa = a.toPandas().sort_values(cols).reset_index(drop=True)
