@@ -16,11 +16,8 @@ WEEK_COL = "Semana"
 PAIR = ["Cliente_ID", "Producto_ID"]
 ID_COLS = ["Semana", "Cliente_ID", "Producto_ID", "Agencia_ID", "Ruta_SAK", "Canal_ID"]
 
-TRAIN_WEEKS = [3, 4, 5, 6, 7, 8, 9]
 VAL_WEEK = 9
-TEST_WEEKS = [10, 11]
 STORE_WEEK_RANGE = (3, 11)          # weeks looked for in the store, inclusive
-CHUNK_ROWS = 5_000_000              # rows per micro-batch file group in ingest
 
 LAG_WEEKS = [1, 2, 3, 4, 5]
 ROLLING_WINDOWS = [2, 3, 4]

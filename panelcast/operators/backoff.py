@@ -17,8 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import AGG_GROUP_KEYS, TARGET_COL, UNKNOWN_BRAND, WEEK_COL
-from .aggregates import global_mean
+from ..config import BACKOFF_LEVELS, TARGET_COL, UNKNOWN_BRAND, WEEK_COL
 
 # Aggregate name holding the mean of each ladder level 0..3.
 LEVEL_AGGS = ["client_product", "route_product", "agency_product", "product"]
@@ -33,13 +32,6 @@ def with_brand(df: DataFrame, brand_map: DataFrame, unknown: str | None) -> Data
     return out
 
 
-def brand_means(history: DataFrame, brand_map: DataFrame, target_week: int,
-                y: str = TARGET_COL) -> DataFrame:
-    h = with_brand(history.where(F.col(WEEK_COL) < target_week), brand_map, None)
-    return (h.where(F.col("brand").isNotNull())
-             .groupBy("brand").agg(F.avg(y).alias("backoff_est_4")))
-
-
 def choose_level(est_cols: list[str], fallback: str):
     """(level, estimate) columns: first non-null of est_cols, else fallback."""
     level = F.lit(len(est_cols))
@@ -51,39 +43,40 @@ def choose_level(est_cols: list[str], fallback: str):
 
 def backoff_features(target: DataFrame, history: DataFrame, brand_map: DataFrame,
                      target_week: int, y: str = TARGET_COL,
-                     level_tables: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Target rows plus backoff_level (0..5) and backoff_estimate.
-
-    ``level_tables`` may hold already computed aggregate tables (X2) for the
-    four key-set levels. Otherwise all level means (the four key sets, brand
-    and global) come from one scan of the history (``key_set_stats``).
+                     levels: list[tuple[str, ...]] | None = None) -> DataFrame:
+    """Target rows plus backoff_level and backoff_estimate.
+
+    ``levels`` is the ladder, most specific first (default
+    ``config.BACKOFF_LEVELS``: client x product, route x product,
+    agency x product, product, brand, global). A key tuple may name any
+    target column or ``brand``; ``()`` is the global mean. A row takes the
+    first level with a value; with no value at any level the level is
+    ``len(levels)`` and the estimate null. All level means come from one scan
+    of the history (``key_set_stats``).
     """
     from .aggregates import key_set_stats
     from .joins import broadcast_if_small
     from .pipeline import target_weeks_frame
+    levels = [tuple(k) for k in (levels if levels is not None else BACKOFF_LEVELS)]
     bm = broadcast_if_small(brand_map.select("Producto_ID", "brand"))
     df = with_brand(target, bm, UNKNOWN_BRAND)
-    if level_tables:
-        tabs = dict(level_tables)
-        tabs["brand"] = brand_means(history, bm, target_week, y).withColumnRenamed(
-            "backoff_est_4", "brand_mean")
-        tabs["global"] = global_mean(history, target_week, y, "global_mean")
-    else:
-        past = with_brand(history.where(F.col(WEEK_COL) < target_week), bm, None)
-        sets = {name: AGG_GROUP_KEYS[name] for name in LEVEL_AGGS}
-        sets.update({"brand": ["brand"], "global": []})
-        one = target_weeks_frame(target.sparkSession, [target_week])
-        tabs = {k: v.drop("S") for k, v in key_set_stats(past, sets, one, y).items()}
+    past = with_brand(history.where(F.col(WEEK_COL) < target_week), bm, None)
+    sets = {f"lvl{i}": list(keys) for i, keys in enumerate(levels)}
+    one = target_weeks_frame(target.sparkSession, [target_week])
+    tabs = {k: v.drop("S") for k, v in key_set_stats(past, sets, one, y).items()}
     est = []
-    for i, name in enumerate(LEVEL_AGGS + ["brand"]):
-        keys = AGG_GROUP_KEYS.get(name, ["brand"])
+    for i, keys in enumerate(levels):
         col = f"backoff_est_{i}"
-        df = df.join(tabs[name].select(*keys, F.col(f"{name}_mean").alias(col)), keys, "left")
+        tab = tabs[f"lvl{i}"].select(*keys, F.col(f"lvl{i}_mean").alias(col))
+        # A level without keys is one row per target week: broadcast it.
+        df = df.join(tab, list(keys), "left") if keys else df.crossJoin(F.broadcast(tab))
         est.append(col)
-    df = df.crossJoin(F.broadcast(tabs["global"].select(F.col("global_mean").alias("backoff_est_5"))))
-    level, estimate = choose_level(est, "backoff_est_5")
+    level = F.lit(len(levels))
+    for i in reversed(range(len(levels))):
+        level = F.when(F.col(est[i]).isNotNull(), F.lit(i)).otherwise(level)
+    estimate = F.coalesce(*[F.col(c) for c in est]).cast("double")
     keep = [c for c in target.columns if c != "brand"]
-    return df.select(*keep, level, estimate)
+    return df.select(*keep, level.cast("int").alias("backoff_level"), estimate.alias("backoff_estimate"))
 
 
 def backoff_from_means(df: DataFrame, brand_tab: DataFrame, global_tab: DataFrame,

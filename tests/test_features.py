@@ -197,3 +197,22 @@ def test_hot_client_third_of_rows(spark, prep):
     client7 = single[single.Cliente_ID == 7]
     h = hot.where((F.col("Semana") < 9) & (F.col("Cliente_ID") == 7)).toPandas()
     assert np.allclose(client7.client_count, len(h)) and np.allclose(client7.client_mean, h[C.TARGET_COL].mean())
+
+
+def test_backoff_ladder_is_a_parameter(spark, prep):
+    from panelcast.operators import backoff
+    sales = prep.sales
+    tgt = sales.where(F.col("Semana") == 9)
+    default = backoff.backoff_features(tgt, sales, prep.brand_map, 9).toPandas()
+    ladder = list(C.BACKOFF_LEVELS)
+    same = backoff.backoff_features(tgt, sales, prep.brand_map, 9, levels=ladder).toPandas()
+    assert default.equals(same)
+    short = backoff.backoff_features(tgt, sales, prep.brand_map, 9,
+                                     levels=[("Producto_ID",), ()]).toPandas()
+    assert set(short.backoff_level) <= {0, 1}
+    assert (short.backoff_level >= 0).all() and short.backoff_estimate.notna().all()
+    # a product level value equals the plain product mean of earlier weeks
+    h = sales.where(F.col("Semana") < 9).toPandas()
+    means = h.groupby("Producto_ID")[C.TARGET_COL].mean()
+    row = short[short.backoff_level == 0].iloc[0]
+    assert row.backoff_estimate == pytest.approx(means[row.Producto_ID])
