@@ -68,8 +68,9 @@ def backoff_features(target: DataFrame, history: DataFrame, brand_map: DataFrame
     for i, keys in enumerate(levels):
         col = f"backoff_est_{i}"
         tab = tabs[f"lvl{i}"].select(*keys, F.col(f"lvl{i}_mean").alias(col))
-        # A level without keys is one row per target week: broadcast it.
-        df = df.join(tab, list(keys), "left") if keys else df.crossJoin(F.broadcast(tab))
+        # A level without keys is at most one row (none for an empty history):
+        # broadcast it and keep every target row.
+        df = df.join(tab, list(keys), "left") if keys else df.join(F.broadcast(tab), how="left")
         est.append(col)
     level = F.lit(len(levels))
     for i in reversed(range(len(levels))):
@@ -92,6 +93,7 @@ def backoff_from_means(df: DataFrame, brand_tab: DataFrame, global_tab: DataFram
     if join_keys:
         d = d.join(F.broadcast(global_tab), list(join_keys), "left")
     else:
-        d = d.crossJoin(F.broadcast(global_tab))
+        # At most one row (none for an empty history): keep every target row.
+        d = d.join(F.broadcast(global_tab), how="left")
     level, estimate = choose_level(est + ["backoff_est_4"], "backoff_est_5")
     return d.select(*df.columns, level, estimate)

@@ -216,3 +216,19 @@ def test_backoff_ladder_is_a_parameter(spark, prep):
     means = h.groupby("Producto_ID")[C.TARGET_COL].mean()
     row = short[short.backoff_level == 0].iloc[0]
     assert row.backoff_estimate == pytest.approx(means[row.Producto_ID])
+
+
+def test_empty_history_gives_zero_features(spark, prep):
+    """No history at all -> every feature row exists, filled with 0
+    (target_semana aside), no failure."""
+    proc = prep.processed
+    target = proc.where(F.col("Semana") == 9)
+    empty = proc.where(F.lit(False))
+    out = pipeline.build_features(target, empty, 9, **prep.feature_kwargs()).toPandas()
+    assert len(out) == target.count()
+    history_cols = C.LAG_COLS + C.ROLLING_COLS + C.AGG_COLS + ["backoff_estimate"]
+    assert (out[history_cols] == 0).all().all()
+    assert (out.target_semana == 9).all()
+    multi = pipeline.build_features_multi(proc.where(F.col("Semana") >= 8), empty, [8, 9],
+                                          **prep.feature_kwargs()).toPandas()
+    assert (multi[history_cols] == 0).all().all()
