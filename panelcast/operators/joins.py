@@ -12,24 +12,53 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 _CHECKED: dict = {}
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``.
+def _type_bytes(t: T.DataType) -> int:
+    if isinstance(t, (T.ByteType, T.BooleanType)):
+        return 1
+    if isinstance(t, T.ShortType):
+        return 2
+    if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(t, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
+        return 8
+    if isinstance(t, T.DecimalType):
+        return 8 if t.precision <= 18 else 16
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        return 20
+    if isinstance(t, T.StructType):
+        return sum(_type_bytes(f.dataType) for f in t.fields)
+    return 100                          # arrays and maps: a generous guess
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Estimated bytes per row from the schema (the per-type default sizes
+    Spark's own estimates use; strings count 20 bytes) plus row overhead."""
+    return sum(_type_bytes(f.dataType) for f in df.schema.fields) + 8
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when it has at most ``max_rows`` rows and an
+    estimated size of at most ``max_bytes``, else ``df``.
 
     The check reads at most ``max_rows + 1`` rows (a bounded job). Its
     answer is remembered per session and plan (``semanticHash``), so the
     same dimension is counted once, not at every feature build.
     """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows, max_bytes)
     small = _CHECKED.get(key)
     if small is None:
-        small = df.limit(max_rows + 1).count() <= max_rows
+        limit = min(max_rows, max_bytes // row_bytes(df))
+        small = df.limit(limit + 1).count() <= limit
         _CHECKED[key] = small
     return F.broadcast(df) if small else df
 
