@@ -51,3 +51,22 @@ def test_training_set_in_week_chunks(spark, tmp_dir):
     pb = b.toPandas().sort_values(cols).reset_index(drop=True)
     assert len(pa) == len(pb) > 0
     assert pa.equals(pb)
+
+
+def test_cli_round_trip(spark, tmp_dir):
+    """The four commands, on CSV inputs written from the fixture views."""
+    from panelcast.plans import cli
+    paths = {}
+    for name, df in (("sales", fx.demand_sales(spark, SF_SMALL)), ("products", fx.products(spark, SF_SMALL)),
+                     ("towns", fx.towns(spark, SF_SMALL)), ("requests", fx.score_rows(spark, SF_SMALL))):
+        paths[name] = f"{tmp_dir}/in-{name}"
+        df.write.option("header", True).csv(paths[name])
+    root = f"{tmp_dir}/art"
+    assert cli.main(["preprocess", "--root", root, "--sales", paths["sales"],
+                     "--products", paths["products"], "--towns", paths["towns"]]) == 0
+    assert cli.main(["train", "--root", root, "--rounds", "2", "--no-quantiles"]) in (0, 1)
+    assert cli.main(["evaluate", "--root", root]) == 0
+    assert cli.main(["infer", "--root", root, "--requests", paths["requests"],
+                     "--out", f"{tmp_dir}/submission"]) == 0
+    sub = spark.read.option("header", True).csv(f"{tmp_dir}/submission")
+    assert sub.count() == fx.score_rows(spark, SF_SMALL).count()
