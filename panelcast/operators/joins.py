@@ -51,10 +51,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     estimated size of at most ``max_bytes``, else ``df``.
 
     The check reads at most ``max_rows + 1`` rows (a bounded job). Its
-    answer is remembered per session and plan (``semanticHash``), so the
-    same dimension is counted once, not at every feature build.
+    answer is remembered per session, plan (``semanticHash``) and input
+    files, so the same dimension is counted once, not at every feature
+    build, and a table rewritten in place (new part files) is counted again.
     """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows, max_bytes)
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
+           tuple(sorted(df.inputFiles())), max_rows, max_bytes)
     small = _CHECKED.get(key)
     if small is None:
         limit = min(max_rows, max_bytes // row_bytes(df))
