@@ -196,6 +196,38 @@ def q_csv_scan(spark, sf):
     return files.load_sales_csv(spark, _sales_csv_dir(spark, sf))
 
 
+def _view_csv_dir(spark, sf, name: str) -> str:
+    """A fixture view written as CSV (header) under the scratch folder."""
+    from panelcast.session import scratch_path
+    path = scratch_path(spark, f"{name}-csv")
+    view(spark, sf, name).write.option("header", True).csv(path)
+    return path
+
+
+@register("score_csv_scan", "id:i, Semana:i, Agencia_ID:i, Canal_ID:i, Ruta_SAK:i, Cliente_ID:i, Producto_ID:i",
+          D.with_ctes([], "SELECT * FROM score_rows"))
+def q_score_csv_scan(spark, sf):
+    """S3: score rows read from CSV with the declared score schema."""
+    from panelcast.sources import files
+    return files.load_score_csv(spark, _view_csv_dir(spark, sf, "score_rows"))
+
+
+@register("dimension_csv_scan", "dimension:s, key:i, name:s, state:s",
+          D.with_ctes([], "SELECT 'product' AS dimension, Producto_ID AS key, NombreProducto AS name, "
+                          "CAST(NULL AS VARCHAR) AS state FROM products UNION ALL "
+                          "SELECT 'town', Agencia_ID, Town, State FROM towns"))
+def q_dimension_csv_scan(spark, sf):
+    """Product and town dimensions read from CSV with declared schemas."""
+    from panelcast.sources import files
+    products, towns, _ = files.load_dimensions(spark, _view_csv_dir(spark, sf, "products"),
+                                               _view_csv_dir(spark, sf, "towns"))
+    p = products.select(F.lit("product").alias("dimension"), F.col("Producto_ID").alias("key"),
+                        F.col("NombreProducto").alias("name"), F.lit(None).cast("string").alias("state"))
+    t = towns.select(F.lit("town").alias("dimension"), F.col("Agencia_ID").alias("key"),
+                     F.col("Town").alias("name"), F.col("State").alias("state"))
+    return p.unionByName(t)
+
+
 def _store(spark, sf) -> str:
     from panelcast.session import scratch_path
     from panelcast.sources import files
