@@ -398,6 +398,35 @@ def q_feature_matrix_multi(spark, sf):
     return pipeline.build_features_multi(hist, hist, MULTI_WEEKS, **inputs)
 
 
+@register("training_set_roundtrip", FM_SHAPE, D.with_ctes(_mctes, "\nUNION ALL\n".join(_mbodies)))
+def q_training_set_roundtrip(spark, sf):
+    """The multi-week training set written partitioned by target week
+    (in chunks of two target weeks) and read back with the model columns."""
+    from panelcast.plans import jobs
+    from panelcast.session import scratch_path
+    from panelcast.sources import files
+    hist, inputs = stored(spark, sf)
+    path = scratch_path(spark, "training-set")
+    jobs.write_training_set(hist, inputs, VAL_WEEK, path, weeks_per_job=2)
+    return files.load_training_columns(spark, path, [*C.ID_COLS, Y, *C.FEATURE_COLS])
+
+
+@register("written_encodings", "kind:s, value:s, code:i",
+          D.with_ctes([], "SELECT 'brand' AS kind, brand AS value, brand_encoded AS code FROM brand_enc "
+                          "UNION ALL SELECT 'state', State, State_encoded FROM state_map"))
+def q_written_encodings(spark, sf):
+    """Encodings written by the preprocessing job, read back."""
+    from panelcast.sources import files
+    stored(spark, sf)
+    art = _STORES[(spark.sparkContext.applicationId, sf)]
+    b = files.load_table(spark, art.feature("brand_encoding"))
+    st = files.load_table(spark, art.feature("state_mapping"))
+    return (b.select(F.lit("brand").alias("kind"), F.col("brand").alias("value"),
+                     F.col("brand_encoded").alias("code"))
+             .unionByName(st.select(F.lit("state").alias("kind"), F.col("State").alias("value"),
+                                    F.col("State_encoded").alias("code"))))
+
+
 # --- baselines and evaluation ----------------------------------------------
 
 _l1_ctes, _l1_body = D.lag1_sql("demand_sales", f"(SELECT * FROM demand_sales WHERE Semana = {VAL_WEEK})",
