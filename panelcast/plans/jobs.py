@@ -182,8 +182,12 @@ def run_evaluation(spark: SparkSession, art: Artifacts, val_week: int = VAL_WEEK
 # --- M8 -----------------------------------------------------------------------
 
 def score_frame(spark: SparkSession, art: Artifacts, requests: DataFrame,
-                model: boosting.IntervalModel | None = None) -> tuple[DataFrame, DataFrame]:
-    """(scored valid requests with prediction/lower/upper, rejected requests)."""
+                model: boosting.IntervalModel | None = None,
+                enforce_order: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(scored valid requests with prediction/lower/upper, rejected requests).
+
+    The three models are independent, so lower <= prediction <= upper is not
+    guaranteed; ``enforce_order=True`` sorts the three per row (opt-in)."""
     history = files.load_weeks(spark, art.store, files.available_weeks(spark, art.store))
     inputs = load_feature_inputs(spark, art)
     model = model or boosting.IntervalModel.load(spark, art.model)
@@ -194,7 +198,7 @@ def score_frame(spark: SparkSession, art: Artifacts, requests: DataFrame,
     # The model's own feature list and order; features it lacks are 0.
     head = [c for c in feats.columns if c not in FEATURE_COLS]
     feats = pipeline.align_features(feats, model.main.feature_cols, head)
-    return model.transform(feats), rejected
+    return model.transform(feats, enforce_order=enforce_order), rejected
 
 
 def run_inference(spark: SparkSession, art: Artifacts, requests: DataFrame,
@@ -207,11 +211,12 @@ def run_inference(spark: SparkSession, art: Artifacts, requests: DataFrame,
     return sub
 
 
-def score_requests(spark: SparkSession, art: Artifacts, requests: DataFrame) -> DataFrame:
+def score_requests(spark: SparkSession, art: Artifacts, requests: DataFrame,
+                   enforce_order: bool = False) -> DataFrame:
     """Request path: id, predicted_demand, confidence_lower, confidence_upper
     (two decimals, half-even); rejected requests are returned by
     ``scoring.split_requests`` separately."""
-    scored, _ = score_frame(spark, art, requests)
+    scored, _ = score_frame(spark, art, requests, enforce_order=enforce_order)
     return scored.select("id", scoring.round2(F.col("prediction")).alias("predicted_demand"),
                          scoring.round2(F.col("lower")).alias("confidence_lower"),
                          scoring.round2(F.col("upper")).alias("confidence_upper"))

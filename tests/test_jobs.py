@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from panelcast import config as C
+from panelcast.operators import scoring
 from panelcast.plans import jobs
 from panelcast.sources import fixtures as fx
 
@@ -30,6 +31,12 @@ def test_pipeline_end_to_end(spark, tmp_dir):
     resp = jobs.score_requests(spark, art, reqs)
     bad = resp.where(F.col("confidence_lower").isNull() | F.col("predicted_demand").isNull()).count()
     assert bad == 0 and resp.count() == n
+    ordered = jobs.score_requests(spark, art, reqs, enforce_order=True)
+    assert ordered.where((F.col("confidence_lower") > F.col("predicted_demand"))
+                         | (F.col("predicted_demand") > F.col("confidence_upper"))).count() == 0
+    bad_reqs = reqs.limit(3).withColumn("Semana", F.lit(0))
+    _, rejected = scoring.split_requests(bad_reqs)
+    assert rejected.count() == 3 and rejected.where(F.col("reason").isNull()).count() == 0
     imp = spark.read.option("header", True).csv(art.report("feature_importance"))
     assert 0 < imp.count() <= C.TOP_FEATURES
 
