@@ -53,3 +53,37 @@ def test_entity_aggregate_property(spark, rows, s):
         g = got.sort_values(keys)[keys + ["ap_mean", "ap_std", "ap_count"]].to_numpy(float)
         w = want.sort_values(keys)[keys + ["mean", "std", "count"]].to_numpy(float)
         np.testing.assert_allclose(g, w, rtol=1e-9, atol=1e-9)
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.integers(3, 8), st.integers(1, 4), st.integers(1, 3),
+                               st.integers(0, 1), st.integers(0, 15)), min_size=5, max_size=40))
+def test_multi_week_equals_single_week_property(spark, rows):
+    """A7 on random panels (with an unknown product and agency): the
+    multi-week matrix equals the single-week matrix, week by week."""
+    from pyspark.sql import functions as F
+    from panelcast.operators import pipeline
+    from panelcast.plans.prepare import Prepared
+    sales = spark.createDataFrame(
+        [(w, a, 1, r, c, p, 1, 1.0, 0, 0.0, d) for w, c, p, a, d in rows for r in (p % 2,)],
+        "Semana int, Agencia_ID int, Canal_ID int, Ruta_SAK int, Cliente_ID long, Producto_ID int, "
+        "Venta_uni_hoy int, Venta_hoy double, Dev_uni_proxima int, Dev_proxima double, "
+        "Demanda_uni_equil long")
+    products = spark.createDataFrame([(1, "Rolls 6p 480g ABC 1"), (2, "Milk 2p 1.5kg QRS 2")],
+                                     "Producto_ID int, NombreProducto string")
+    towns = spark.createDataFrame([(0, "T0", "S0")], "Agencia_ID int, Town string, State string")
+    p = Prepared(sales, products, towns)
+    proc = p.processed
+    weeks = sorted({w for w, *_ in rows if w >= 4})
+    if not weeks:
+        return
+    multi = pipeline.build_features_multi(proc, proc, weeks, **p.feature_kwargs()).toPandas()
+    keys = list(C.ID_COLS) + [C.TARGET_COL] + list(C.FEATURE_COLS)
+    for s in weeks:
+        single = pipeline.build_features(proc.where(F.col("Semana") == s), proc, s,
+                                         **p.feature_kwargs()).toPandas()
+        m = multi[multi.Semana == s]
+        a = m.sort_values(keys)[C.FEATURE_COLS].to_numpy(float)
+        b = single.sort_values(keys)[C.FEATURE_COLS].to_numpy(float)
+        assert a.shape == b.shape
+        np.testing.assert_allclose(a, b, rtol=1e-9, atol=1e-9)
