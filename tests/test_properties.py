@@ -3,6 +3,7 @@ pair-week, zeros): the Spark operators equal a plain pandas statement of
 the same semantics."""
 
 import numpy as np
+import pytest
 import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -87,3 +88,30 @@ def test_multi_week_equals_single_week_property(spark, rows):
         b = single.sort_values(keys)[C.FEATURE_COLS].to_numpy(float)
         assert a.shape == b.shape
         np.testing.assert_allclose(a, b, rtol=1e-9, atol=1e-9)
+
+
+VALS = st.lists(st.integers(0, 12).map(float), min_size=1, max_size=60)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(a=VALS, b=VALS)
+def test_ks_statistic_property(spark, a, b):
+    """Distributed KS D (few buckets, many ties) equals the brute-force D."""
+    from panelcast.operators import cumulative
+    rows = [(v, True) for v in a] + [(v, False) for v in b]
+    df = spark.createDataFrame(rows, "v double, ref boolean")
+    got = cumulative.ks_two_sample(df, "v", "ref", buckets=4, method="asymp").first().ks_statistic
+    grid = np.array(sorted(set(a) | set(b)))
+    fa = np.searchsorted(np.sort(a), grid, side="right") / len(a)
+    fb = np.searchsorted(np.sort(b), grid, side="right") / len(b)
+    assert got == np.float64(np.abs(fa - fb).max()) or abs(got - np.abs(fa - fb).max()) < 1e-12
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(x=VALS, q=st.sampled_from([0.0, 0.1, 0.5, 0.9, 0.99, 1.0]))
+def test_exact_quantile_property(spark, x, q):
+    """Distributed exact quantile (few buckets) equals NumPy's linear percentile."""
+    from panelcast.operators import cumulative
+    df = spark.createDataFrame([(v,) for v in x], "v double")
+    got = cumulative.exact_quantile(df, "v", q, "q", buckets=3).first().q
+    assert got == pytest.approx(np.percentile(x, q * 100))
