@@ -115,3 +115,31 @@ def test_exact_quantile_property(spark, x, q):
     df = spark.createDataFrame([(v,) for v in x], "v double")
     got = cumulative.exact_quantile(df, "v", q, "q", buckets=3).first().q
     assert got == pytest.approx(np.percentile(x, q * 100))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(x=VALS)
+def test_ecdf_property(spark, x):
+    """ECDF height at each distinct value = linspace(0, 1, N) at its last sorted position."""
+    from panelcast.operators import cumulative
+    df = spark.createDataFrame([(v,) for v in x], "value double")
+    got = cumulative.ecdf(df, "value", buckets=3).orderBy("value").toPandas()
+    xs = np.sort(np.array(x))
+    lin = np.linspace(0, 1, len(xs))
+    want = [lin[np.searchsorted(xs, v, side="right") - 1] for v in got.value]
+    np.testing.assert_allclose(got.ecdf.to_numpy(), want, atol=1e-12)
+    assert got.cum.iloc[-1] == len(xs)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(x=st.lists(st.floats(-50, 50, allow_nan=False), min_size=1, max_size=80),
+       bins=st.integers(1, 12))
+def test_histogram_property(spark, x, bins):
+    from panelcast.operators import evaluation
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    h = evaluation.histogram(df, "x", bins).orderBy("bin").toPandas()
+    counts, _ = np.histogram(np.array(x), bins=bins)
+    assert h.n.sum() == len(x)
+    # bin edges agree with NumPy up to rounding at the edges themselves
+    assert np.abs(h.n.to_numpy() - counts).sum() <= 2 * sum(
+        np.isclose(np.array(x)[:, None], np.linspace(min(x), max(x), bins + 1)[None, 1:-1]).any(axis=1))
