@@ -143,3 +143,14 @@ def test_histogram_property(spark, x, bins):
     # bin edges agree with NumPy up to rounding at the edges themselves
     assert np.abs(h.n.to_numpy() - counts).sum() <= 2 * sum(
         np.isclose(np.array(x)[:, None], np.linspace(min(x), max(x), bins + 1)[None, 1:-1]).any(axis=1))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(keys=st.lists(st.integers(-1000, 1000), min_size=0, max_size=120, unique=True),
+       parts=st.integers(1, 9))
+def test_dense_ids_property(spark, keys, parts):
+    """Ids are 1..N in key order for any input partitioning."""
+    from panelcast.operators.ids import with_dense_ids
+    df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(parts)
+    got = with_dense_ids(df, ["k"]).toPandas().sort_values("k")
+    assert got["id"].tolist() == list(range(1, len(keys) + 1))
