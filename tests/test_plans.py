@@ -37,8 +37,11 @@ def test_feature_matrix_scans_store_at_most_twice(store):
     plan = _final_plan(fm)
     assert _store_scans(plan, art) <= 3          # pair table, key sets (written), target rows
     assert "MapInPandas" not in plan and "BatchEvalPython" not in plan
+    assert "Exchange SinglePartition" not in plan     # no single-task step over facts
     multi = pipeline.build_features_multi(hist, hist, [6, 7, 8, 9], **inputs)
-    assert _store_scans(_final_plan(multi), art) <= 3
+    mplan = _final_plan(multi)
+    assert _store_scans(mplan, art) <= 3
+    assert "Exchange SinglePartition" not in mplan
 
 
 def test_week_filters_reach_the_scan(store):
