@@ -789,9 +789,18 @@ def entry(spark: SparkSession) -> DataFrame:
     return evaluation.evaluate(pred, Y, "prediction")
 
 
+def _llm():
+    """The training-data queries, if their subpackage is there."""
+    try:
+        from panelcast.llm import queries as llm
+    except ImportError:
+        return {}, {}
+    return llm.QUERIES, llm.SQL
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: fn for name, fn, _, _ in _REG}
+    return {name: fn for name, fn, _, _ in _REG} | _llm()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, _, sql, _ in _REG if sql is not None}
+    return {name: sql for name, _, sql, _ in _REG if sql is not None} | _llm()[1]
