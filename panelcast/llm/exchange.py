@@ -27,6 +27,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -147,8 +148,8 @@ def _fragments(n_parts: int, hasher: Hasher):
 def _count(table: pa.Table) -> pa.Table:
     """One part: fragments of all blocks in, the shared hashes of each out."""
     out = {k: [] for k in ("block", "hashes", "docs", "counts", "keys", "sizes", "ids")}
-    own = table.filter(pa.compute.is_valid(table["keys"]))
-    frag = table.filter(pa.compute.is_null(table["keys"]))
+    own = table.filter(pc.is_valid(table["keys"]))
+    frag = table.filter(pc.is_null(table["keys"]))
     hashes, weights, docs, blocks = [], [], [], frag["block"].to_pylist()
     for h, d, c in zip(frag["hashes"].to_pylist(), frag["docs"].to_pylist(),
                        frag["counts"].to_pylist(), strict=True):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import substring_dedup
+from panelcast.llm import ngram_join, substring_dedup, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +17,17 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.remove_repeated(table(spark, sf_dir, "documents")))
 
 
+def op5_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.digest(winnowing.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def op8_ngram_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_substring_dedup,)
+    f.__name__: f for f in (op4_substring_dedup, op5_winnowing_decontamination, op8_ngram_trie_join)
 }
 
 SQL: dict[str, str] = {}
