@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import ngram_join, substring_dedup, winnowing
+from panelcast.llm import ngram_join, packing, substring_dedup, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,8 +26,17 @@ def op8_ngram_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op9_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_substring_dedup, op5_winnowing_decontamination, op8_ngram_trie_join)
+    f.__name__: f for f in (op4_substring_dedup, op5_winnowing_decontamination, op8_ngram_trie_join, op9_hierarchical_packing)
 }
 
 SQL: dict[str, str] = {}
