@@ -35,6 +35,7 @@ from panelcast.llm.words import U, mix
 
 BLOCK = 1 << 20          # distinct hashes per block
 PART = 3 << 20           # hashes per part
+PARTS = 256              # parts at least: from here on 7 bytes hold what is left of a hash
 DF_MAX = 65_535          # frequencies above this count as this
 
 #: (texts as UTF-8 bytes) -> (hash, document ordinal) of every item, documents in order
@@ -58,6 +59,23 @@ def read_ints(data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(data, dtype={1: np.uint8, 2: np.uint16, 4: np.uint32}[len(data) // n]).astype(np.int64)
 
 
+def part_edges(n_parts: int) -> tuple[np.ndarray, int]:
+    """First hash of each part, and the bytes that tell a part's hashes apart."""
+    edges = np.array([(i << 64) // n_parts for i in range(n_parts)], dtype=U)
+    widest = -(-(1 << 64) // n_parts) - 1
+    return edges, max(1, -(-widest.bit_length() // 8))
+
+
+def pack_hashes(x: np.ndarray, width: int) -> bytes:
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def read_hashes(data: bytes, width: int) -> np.ndarray:
+    full = np.zeros((len(data) // width, 8), dtype=np.uint8)
+    full[:, :width] = np.frombuffer(data, dtype=np.uint8).reshape(-1, width)
+    return full.view("<u8").ravel().astype(U)
+
+
 def distinct_items(hashes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (hash, document) pairs, sorted by hash, then document."""
     order = np.argsort(hashes, kind="stable")      # documents come in order
@@ -76,7 +94,7 @@ def set_digests(hashes: np.ndarray, docs: np.ndarray, n: int) -> tuple[np.ndarra
 
 
 def _fragments(n_parts: int, hasher: Hasher):
-    edges = np.array([(i << 64) // n_parts for i in range(n_parts)], dtype=U)
+    edges, width = part_edges(n_parts)
 
     def one(block: int, ids: list, keys: list, texts: list[bytes]) -> pa.RecordBatch:
         n = len(texts)
@@ -107,7 +125,7 @@ def _fragments(n_parts: int, hasher: Hasher):
             x, y = slice(cut[p], cut[p + 1]), slice(cut_many[p], cut_many[p + 1])
             order = np.argsort(lone_doc[x], kind="stable")
             docs = lone_doc[x][order]
-            put(int(p), lone[x][order].tobytes() + many[y].tobytes(),
+            put(int(p), pack_hashes(np.concatenate([lone[x][order], many[y]]) - edges[p], width),
                 small_ints(np.diff(docs, prepend=0)),
                 np.array([len(docs), *many_size[y]], dtype=np.uint32).tobytes())
         out_ids: list = [None] * len(rows["part"])
@@ -145,7 +163,15 @@ def _fragments(n_parts: int, hasher: Hasher):
     return run
 
 
-def _count(table: pa.Table) -> pa.Table:
+def _count(n_parts: int):
+    edges, width = part_edges(n_parts)
+
+    def count(key: tuple, table: pa.Table) -> pa.Table:
+        return _count_part(table, edges[key[0].as_py()], width)
+    return count
+
+
+def _count_part(table: pa.Table, edge: np.uint64, width: int) -> pa.Table:
     """One part: fragments of all blocks in, the shared hashes of each out."""
     out = {k: [] for k in ("block", "hashes", "docs", "counts", "keys", "sizes", "ids")}
     own = table.filter(pc.is_valid(table["keys"]))
@@ -153,7 +179,7 @@ def _count(table: pa.Table) -> pa.Table:
     hashes, weights, docs, blocks = [], [], [], frag["block"].to_pylist()
     for h, d, c in zip(frag["hashes"].to_pylist(), frag["docs"].to_pylist(),
                        frag["counts"].to_pylist(), strict=True):
-        h, c = np.frombuffer(h, dtype=U), np.frombuffer(c, dtype=np.uint32).astype(np.int64)
+        h, c = read_hashes(h, width) + edge, np.frombuffer(c, dtype=np.uint32).astype(np.int64)
         lone = int(c[0])
         hashes.append(h)
         weights.append(np.concatenate([np.ones(lone, dtype=np.int64), c[1:]]))
@@ -225,7 +251,7 @@ def _gather(table: pa.Table) -> pa.Table:
 def part_count(docs: DataFrame, bytes_per_item: float) -> int:
     """Parts for the hashes of a corpus: one pass over the text lengths."""
     total = docs.agg(F.sum(F.octet_length("text").cast("double"))).first()[0] or 0.0
-    return max(1, math.ceil(total / bytes_per_item / PART))
+    return max(PARTS, math.ceil(total / bytes_per_item / PART))
 
 
 def shared_hashes(docs: DataFrame, hasher: Hasher, n_parts: int) -> DataFrame:
@@ -240,5 +266,5 @@ def shared_hashes(docs: DataFrame, hasher: Hasher, n_parts: int) -> DataFrame:
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     fragments = rows.mapInArrow(_fragments(n_parts, hasher), f"{_FRAGMENT}, ids array<{kind}>")
     counted = fragments.groupBy("part").applyInArrow(
-        _count, f"block long, hashes binary, docs binary, counts binary, keys binary, sizes binary, ids array<{kind}>")
+        _count(n_parts), f"block long, hashes binary, docs binary, counts binary, keys binary, sizes binary, ids array<{kind}>")
     return counted.groupBy("block").applyInArrow(_gather, _RESULT.format(id=kind))

@@ -41,11 +41,11 @@ MIN_WORDS = 20
 REPEAT_PERCENT = 30
 WINDOW = 8
 SUBSET = 0.75
-CUTOFF = 1 - 1e-7        # chi-square probability beyond which a vector is rejected
+CUTOFF = 1 - 1e-10       # chi-square probability beyond which a vector is rejected
 LEAST = 60
 STEPS = 20
 UNIT = 1000              # vectors are stored as integers of 1 / UNIT
-FLOORS = (0.10, 0.06, 0.04, 0.10, 0.10)      # least standard deviation of each coordinate
+FLOORS = (0.10, 0.06, 0.04, 0.15, 0.15)      # least standard deviation of each coordinate
 P = len(FLOORS)
 X = [f"x{j}" for j in range(P)]
 PAIRS = [(j, k) for j in range(P) for k in range(j + 1)]

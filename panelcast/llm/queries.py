@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import ngram_join, packing, substring_dedup, winnowing
+from panelcast.llm import (language_id, ngram_join, outliers, packing, quality_cnn, substring_dedup,
+                           winnowing)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mcd_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.quality(table(spark, sf_dir, "documents")).drop("row_key")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.remove_repeated(table(spark, sf_dir, "documents")))
 
@@ -22,6 +27,11 @@ def op5_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op6_byte_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_cnn.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                                held_out=language_id.remainder("doc_id", 3) == 1)
+
+
 def op8_ngram_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
@@ -35,8 +45,13 @@ def op9_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op10_cross_parsing_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"), held_out=language_id.remainder("doc_id", 4) == 2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_substring_dedup, op5_winnowing_decontamination, op8_ngram_trie_join, op9_hierarchical_packing)
+    f.__name__: f for f in (op1_mcd_outliers, op4_substring_dedup, op5_winnowing_decontamination, op6_byte_cnn_quality,
+                               op8_ngram_trie_join, op9_hierarchical_packing, op10_cross_parsing_langid)
 }
 
 SQL: dict[str, str] = {}

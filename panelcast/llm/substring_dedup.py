@@ -78,11 +78,11 @@ def remove_repeated(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
     end)``, and the kept words joined by one space."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     found = shared_hashes(rows, _hasher(width), part_count(rows, 5.0))
-    found = (found.where(F.length("hashes") > 0)
-             .groupBy(F.col("doc_id").alias("f_id"), F.col("text_hash").alias("f_hash"))
-             .agg(F.first("hashes").alias("hashes")))      # equal rows have equal lists
-    keyed = rows.withColumn("text_hash", F.xxhash64("text"))
-    joined = keyed.join(found, keyed.doc_id.eqNullSafe(found.f_id) & (keyed.text_hash == found.f_hash), "left")
+    # equal rows have equal lists; grouped and joined on the same two columns
+    found = (found.where(F.length("hashes") > 0).groupBy(F.xxhash64("doc_id").alias("id_hash"), "text_hash")
+             .agg(F.first("hashes").alias("hashes")))
+    keyed = rows.select("*", F.xxhash64("doc_id").alias("id_hash"), F.xxhash64("text").alias("text_hash"))
+    joined = keyed.join(found, ["id_hash", "text_hash"], "left")
     run, schema = _remove(width, dict(rows.dtypes)["doc_id"])
     return joined.select("doc_id", "text", "hashes").mapInArrow(run, schema)
 
