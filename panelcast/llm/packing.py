@@ -33,7 +33,7 @@ TIERS = (2048, 1024, 512, 256)
 STEP = 32_768            # tokens of one step group
 POOL = 4_096             # pieces that wait for a window before a round of packing
 END_ID = 1
-CACHE = 400_000          # distinct words whose ids a Python worker remembers
+CACHE = 800_000          # distinct words whose ids a Python worker remembers
 
 SCHEMA = ("doc_id {id}, start long, length long, ids binary, doc_tokens long, sequence_id long, "
           "offset long, sequence_tokens long, step_group long")
@@ -43,48 +43,58 @@ class WordTokenizer:
     """Ids of whole texts through a byte-level BPE of the ``tokenizers``
     library, with each distinct word encoded once.
 
-    Byte-level BPE starts a new piece at every blank that a visible character
-    follows, so a text is the concatenation of its first word and of every
-    further word with its blank. Unknown words are encoded together in one
-    call. Texts with a blank before white space or at the end are encoded as
-    they are.
+    Byte-level BPE starts a new piece at every blank or line end that a
+    visible character follows, so a text is the concatenation of its words,
+    each with the blank or line end before it. Unknown words
+    are encoded together, a line end before each telling them apart. Texts
+    with other white space, or white space in a row or at the end (but for
+    one empty line, or a last line end), are encoded as they are.
     """
 
-    _irregular = re.compile(r" (?:\s|\Z)")
+    _other = re.compile(r"[^\S \n]")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True      # their strings are ordinary text
-        self.words: dict[str, bytes] = {}
+        self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
+        self.words = self._empty()
+
+    def _empty(self) -> dict[str, bytes]:
+        return {"\n": np.array([self.line_end], dtype="<u4").tobytes()}
+
+    def _regular(self, text: str) -> bool:
+        return not ("  " in text or " \n" in text or "\n " in text or "\n\n\n" in text
+                    or text.endswith((" ", "\n\n")) or self._other.search(text))
 
     def _learn(self, words: list[str]) -> None:
-        for at in range(0, len(words), 4096):
-            some = words[at:at + 4096]
-            e = self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False)
-            ids = np.array(e.ids, dtype="<u4")
-            starts = np.cumsum([0] + [len(w) + 1 for w in some[:-1]])
-            cut = np.searchsorted(np.array([o[0] for o in e.offsets]), starts).tolist() + [len(ids)]
-            for i, w in enumerate(some):
-                self.words[w] = ids[cut[i]:cut[i + 1]].tobytes()
+        texts = ["".join([w if w[0] == "\n" else "\n " + w for w in words[i:i + 256]]) for i in range(0, len(words), 256)]
+        ids = self._whole(texts)
+        for i, data in enumerate(ids):
+            own = np.frombuffer(data, dtype="<u4")
+            cut = np.flatnonzero(own == self.line_end).tolist() + [len(own)]
+            for w, x, y in zip(words[256 * i:], cut, cut[1:], strict=False):
+                self.words[w] = data[4 * x if w[0] == "\n" else 4 * x + 4:4 * y]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
-                for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        regular = [i for i, t in enumerate(texts) if not self._irregular.search(t)]
-        split = [texts[i].split(" ") for i in regular]
-        new = set().union(*(w[1:] for w in split)).difference(self.words)
+        regular = [i for i, t in enumerate(texts) if self._regular(t)]
+        # as if a line end came first, whose id is then cut off
+        split = [("\n" + texts[i]).replace("\n", " \n").split(" ")[1:] for i in regular]
+        every = set().union(*split)
+        new = every.difference(self.words)
         if len(self.words) + len(new) > CACHE:
-            self.words.clear()
-            new = set().union(*(w[1:] for w in split))
+            self.words = self._empty()
+            new = every.difference(self.words)
         self._learn(sorted(new))
         out: list[bytes] = [b""] * len(texts)
-        for i, w, first in zip(regular, split, self._whole([w[0] for w in split]), strict=True):
-            out[i] = first + b"".join(map(self.words.__getitem__, w[1:]))
+        for i, w in zip(regular, split, strict=True):
+            out[i] = b"".join(map(self.words.__getitem__, w))[4:]
         rest = sorted(set(range(len(texts))) - set(regular))
         for i, data in zip(rest, self._whole([texts[i] for i in rest]), strict=True):
             out[i] = data

@@ -257,7 +257,7 @@ def test_word_tokenizer_equals_the_tokenizer():
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(TOKENIZER)
     t.encode_special_tokens = True
-    texts = ["a  b", "a \n b", " lead", "trail ", "\n\n x\t\t y", "it's they'll 12 345  ", "", "日本 語  x", "a\x1c b", "\n \n", " ", "　 a",
+    texts = ["a\n\nb", "a\n\n\nb", "a\n", "a\n\n", "\n", "\n\n", "\na b\n c", "a\n.b", "a  b", "a \n b", " lead", "trail ", "\n\n x\t\t y", "it's they'll 12 345  ", "", "日本 語  x", "a\x1c b", "\n \n", " ", "　 a",
              "<|endoftext|> x", "x\r\n y 'S", *(x or "" for x in edge_texts())]
     for got, text in zip(packing.WordTokenizer(TOKENIZER).encode(texts), texts, strict=True):
         assert np.frombuffer(got, dtype="<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
