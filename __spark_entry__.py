@@ -332,13 +332,13 @@ for _name in C.AGG_GROUP_KEYS:
 
 
 _bo_sql_ctes = [
-    ("bo_h", f"SELECT s.*, p.brand FROM demand_sales s LEFT JOIN parsed p USING (Producto_ID) "
-             f"WHERE s.Semana < {VAL_WEEK}"),
+    ("bo_h", f"SELECT s.*, coalesce(p.brand, 'UNK') AS brand FROM demand_sales s LEFT JOIN parsed p "
+             f"USING (Producto_ID) WHERE s.Semana < {VAL_WEEK}"),
     ("bo_0", f"SELECT Cliente_ID, Producto_ID, avg({Y}) AS e FROM bo_h GROUP BY ALL"),
     ("bo_1", f"SELECT Ruta_SAK, Producto_ID, avg({Y}) AS e FROM bo_h GROUP BY ALL"),
     ("bo_2", f"SELECT Agencia_ID, Producto_ID, avg({Y}) AS e FROM bo_h GROUP BY ALL"),
     ("bo_3", f"SELECT Producto_ID, avg({Y}) AS e FROM bo_h GROUP BY ALL"),
-    ("bo_4", f"SELECT brand, avg({Y}) AS e FROM bo_h WHERE brand IS NOT NULL GROUP BY ALL"),
+    ("bo_4", f"SELECT brand, avg({Y}) AS e FROM bo_h GROUP BY ALL"),
     ("bo_5", f"SELECT avg({Y}) AS e FROM bo_h"),
     ("bo", f"""SELECT t.*,
        CASE WHEN l0.e IS NOT NULL THEN 0 WHEN l1.e IS NOT NULL THEN 1 WHEN l2.e IS NOT NULL THEN 2
@@ -581,9 +581,7 @@ SELECT d AS ks_statistic, {D.ks_pvalue_sql('d', 'nr', 'nc')} AS p_value,
        (SELECT stddev_pop(prediction) FROM ma3) AS current_std
 FROM ksd"""))
 def q_ks_prediction(spark, sf):
-    # The oracle SQL states the asymptotic Kolmogorov p-value; the exact one
-    # (library default for samples up to 10,000) is ``ks_prediction_exact``.
-    return drift.prediction_drift(_scored(spark, sf, "lag1"), _scored(spark, sf, "ma3"), method="asymp")
+    return drift.prediction_drift(_scored(spark, sf, "lag1"), _scored(spark, sf, "ma3"))
 
 
 def _ks_features_sql() -> str:
@@ -614,15 +612,15 @@ def _ks_features_sql() -> str:
 def q_ks_features(spark, sf):
     proc, _ = stored(spark, sf)
     return drift.feature_drift(proc.where(F.col("Semana") == 8), proc.where(F.col("Semana") == 9),
-                               DRIFT_FEATURES, method="asymp")
+                               DRIFT_FEATURES)
 
 
 @register("ks_prediction_exact", "ks_statistic:d, p_value:d, drift_detected:b, reference_mean:d, "
                                  "current_mean:d, reference_std:d, current_std:d", None)
 def q_ks_prediction_exact(spark, sf):
-    """D1 with the library default: exact lattice-path p-value for samples of
-    up to 10,000 values (checked against enumeration in the tests)."""
-    return drift.prediction_drift(_scored(spark, sf, "lag1"), _scored(spark, sf, "ma3"))
+    """D1 with the exact lattice-path p-value, an option for samples of up to
+    10,000 values (checked against enumeration in the tests); raises beyond."""
+    return drift.prediction_drift(_scored(spark, sf, "lag1"), _scored(spark, sf, "ma3"), method="exact")
 
 
 @register("bias_by_segment", "Agencia_ID:i, n:i, bias:d, overall_bias:d, high_bias:b",
@@ -759,9 +757,7 @@ def q_feature_importance(spark, sf):
 def q_shap_importance(spark, sf):
     from panelcast.operators import attribution
     model, val = _trained(spark, sf)
-    rows = evaluation.seeded_sample(val, C.ATTRIBUTION_SAMPLE, ["Semana", "Cliente_ID", "Producto_ID",
-                                                                "Agencia_ID", "Ruta_SAK", "Canal_ID", Y])
-    return attribution.mean_abs_attribution(model.main, rows)
+    return attribution.mean_abs_attribution(model.main, val)
 
 
 @register("scatter_sample", "actual:d, predicted:d", None)
@@ -775,9 +771,7 @@ def q_scatter_sample(spark, sf):
 @register("residual_histogram", "bin:i, lo:d, hi:d, n:i", None)
 def q_residual_histogram(spark, sf):
     pred = _scored(spark, sf, "lag1")
-    keys = [c for c in C.ID_COLS] + [Y, "Venta_hoy", "Dev_proxima"]
-    s = evaluation.seeded_sample(pred, C.SCATTER_SAMPLE, keys)
-    return evaluation.histogram(evaluation.residuals(s, Y, "prediction"), "residual", C.ERROR_BINS)
+    return evaluation.histogram(evaluation.residuals(pred, Y, "prediction"), "residual", C.ERROR_BINS)
 
 
 # --- driver contract ---------------------------------------------------------

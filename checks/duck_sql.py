@@ -22,10 +22,10 @@ SELECT CAST(least(7, 3 + floor(date_diff('day', TIMESTAMP '2024-01-01', ts)/7))
 FROM events""",
     "demand_sales": """
 SELECT CAST(least(9, 3 + floor(date_diff('day', TIMESTAMP '1995-01-01', l_shipdate)/358)) AS INT) AS Semana,
-       c_nationkey AS Agencia_ID,
+       CASE WHEN c_nationkey = 24 THEN c_nationkey + 100 ELSE c_nationkey END AS Agencia_ID,
        CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 1 WHEN 'BUILDING' THEN 2
             WHEN 'FURNITURE' THEN 3 WHEN 'HOUSEHOLD' THEN 4 ELSE 5 END AS Canal_ID,
-       l_suppkey AS Ruta_SAK, o_custkey AS Cliente_ID, l_partkey AS Producto_ID,
+       l_suppkey AS Ruta_SAK, o_custkey AS Cliente_ID, CASE WHEN l_partkey % 97 = 0 THEN l_partkey + 10000000 ELSE l_partkey END AS Producto_ID,
        CAST(l_quantity AS INT) AS Venta_uni_hoy, l_extendedprice AS Venta_hoy,
        CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS INT) ELSE 0 END AS Dev_uni_proxima,
        CASE WHEN l_returnflag = 'R' THEN l_extendedprice ELSE 0.0 END AS Dev_proxima,
@@ -39,10 +39,10 @@ SELECT p_partkey AS Producto_ID,
               CASE WHEN p_size % 2 = 0 THEN concat(CAST(p_size*10 AS STRING),'g')
                    ELSE concat(CAST(p_size AS STRING),'kg') END,
               ' ', p_brand, ' ', CAST(p_partkey AS STRING)) AS NombreProducto
-FROM part WHERE p_partkey % 97 <> 0""",
+FROM part""",
     "towns": """
 SELECT n_nationkey AS Agencia_ID, n_name AS Town, r_name AS State
-FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey <> 24""",
+FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "score_rows": """
 SELECT CAST(row_number() OVER (ORDER BY Cliente_ID, Producto_ID, Ruta_SAK, Agencia_ID, Canal_ID) AS INT) AS id,
        10 AS Semana, Agencia_ID, Canal_ID, Ruta_SAK,
@@ -249,13 +249,15 @@ def histogram_sql(src: str, col: str, bins: int, prefix: str) -> tuple[list[tupl
             (f"{prefix}_r0", f"SELECT min(x) AS lo, max(x) AS hi FROM {prefix}_x"),
             (f"{prefix}_r", f"SELECT CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS lo, "
                             f"CASE WHEN lo = hi THEN hi + 0.5 ELSE hi END AS hi FROM {prefix}_r0"),
-            (f"{prefix}_c", f"SELECT CAST(least(greatest(floor((x - lo) * ({float(bins)} / (hi - lo))), 0), "
-                            f"{bins - 1}) AS INT) AS bin, count(*) AS n FROM {prefix}_x, {prefix}_r "
-                            f"WHERE x >= lo AND x <= hi GROUP BY 1")]
-    body = (f"SELECT g.bin, r.lo + g.bin * ((r.hi - r.lo) / {float(bins)}) AS lo, "
-            f"r.lo + (g.bin + 1) * ((r.hi - r.lo) / {float(bins)}) AS hi, coalesce(c.n, 0) AS n "
-            f"FROM (SELECT CAST(range AS INT) AS bin FROM range({bins})) g CROSS JOIN {prefix}_r r "
-            f"LEFT JOIN {prefix}_c c ON g.bin = c.bin")
+            # explicit edges; every value is joined to the edges around it
+            (f"{prefix}_e", f"SELECT CAST(range AS INT) AS bin, lo + range * ((hi - lo) / {float(bins)}) AS a, "
+                            f"CASE WHEN range = {bins - 1} THEN hi ELSE lo + (range + 1) * ((hi - lo) / {float(bins)}) END AS b "
+                            f"FROM range({bins}), {prefix}_r"),
+            (f"{prefix}_v", f"SELECT x, count(*) AS n FROM {prefix}_x GROUP BY x"),
+            (f"{prefix}_c", f"SELECT e.bin, sum(n) AS n FROM {prefix}_v v JOIN {prefix}_e e ON v.x >= e.a "
+                            f"AND (v.x < e.b OR (e.bin = {bins - 1} AND v.x = e.b)) GROUP BY 1")]
+    body = (f"SELECT e.bin, e.a AS lo, e.b AS hi, coalesce(c.n, 0) AS n "
+            f"FROM {prefix}_e e LEFT JOIN {prefix}_c c ON e.bin = c.bin")
     return ctes, body
 
 

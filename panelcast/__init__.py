@@ -1,4 +1,4 @@
-"""panelcast: weekly demand forecasting on Spark DataFrames.
+"""panelcast: weekly demand models on Spark DataFrames.
 
 Sub-packages: ``sources`` (scans, stores, sinks, fixture views), ``functions``
 (column expressions), ``operators`` (DataFrame -> DataFrame operators),

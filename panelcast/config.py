@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
-# Fixed values (semantics of the forecasting task; keep as written)
+# Fixed values (semantics of the demand task; keep as written)
 # ---------------------------------------------------------------------------
 TARGET_COL = "Demanda_uni_equil"
 WEEK_COL = "Semana"
@@ -17,7 +17,6 @@ PAIR = ["Cliente_ID", "Producto_ID"]
 ID_COLS = ["Semana", "Cliente_ID", "Producto_ID", "Agencia_ID", "Ruta_SAK", "Canal_ID"]
 
 VAL_WEEK = 9
-STORE_WEEK_RANGE = (3, 11)          # weeks looked for in the store, inclusive
 
 LAG_WEEKS = [1, 2, 3, 4, 5]
 ROLLING_WINDOWS = [2, 3, 4]
@@ -71,7 +70,6 @@ UNKNOWN_BRAND = "UNK"
 UNKNOWN_STATE = "UNKNOWN"
 
 # Report sizes.
-ATTRIBUTION_SAMPLE = 10_000
 SCATTER_SAMPLE = 50_000
 SAMPLE_SEED = 42
 ERROR_BINS = 100
@@ -83,9 +81,8 @@ WORST_SEGMENTS = 20
 TOP_FEATURES = 20
 CV_MIN_TRAIN_WEEKS = 3
 MA_WINDOW = 3
-# ---------------------------------------------------------------------------
 
-# Fact schemas. Unsigned source types widen one step; nothing is narrowed.
+# Input schemas. Unsigned source types widen one step; nothing is narrowed.
 SALES_SCHEMA = T.StructType([
     T.StructField("Semana", T.IntegerType()),
     T.StructField("Agencia_ID", T.IntegerType()),
@@ -126,6 +123,8 @@ CLIENT_SCHEMA = T.StructType([
     T.StructField("NombreCliente", T.StringType()),
 ])
 
+# ---------------------------------------------------------------------------
+
 # Measures of the target week; never features (they are unknown at scoring).
 SALE_MEASURES = ["Venta_uni_hoy", "Venta_hoy", "Dev_uni_proxima", "Dev_proxima"]
 

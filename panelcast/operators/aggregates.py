@@ -1,4 +1,4 @@
-"""Entity aggregates (A2, X2), global mean (A5) and their multi-week form.
+"""Entity aggregates (A2, X2) and, with the global mean (A5), their multi-week form.
 
 Aggregates are computed on raw rows: mean, sample std (null for one row ->
 0) and count of the target per key set, over history weeks < S. Every
@@ -39,27 +39,25 @@ def agg_features(history: DataFrame, target_week: int, y: str = TARGET_COL,
             for name, keys in group_keys.items() if all(k in cols for k in keys)}
 
 
-def global_mean(history: DataFrame, target_week: int, y: str = TARGET_COL,
-                alias: str = "global_mean") -> DataFrame:
-    """A5: one row with the mean of y over weeks < S (null when empty)."""
-    return history.where(F.col(WEEK_COL) < target_week).agg(F.avg(y).alias(alias))
+# --- multi-target (A7) ------------------------------------------------------
 
+def _square(x: Column) -> Column:
+    d = x.cast("decimal(19,0)")
+    return d * d
 
-# --- multi-target (A7) ------------------------------------------------------
 
 def weekly_moments(history: DataFrame, keys: list[str], y: str = TARGET_COL) -> DataFrame:
     """(keys, Semana, n, s1, s2): count, sum and sum of squares per week.
 
-    Demand is an integer, so the sums are exact integers (LONG per key and
-    week; ANSI mode raises rather than wraps on overflow). Summed across weeks
-    the squares are carried in DECIMAL(38,0), so the variance computed from
-    them has no cancellation error.
+    Demand is an integer, so the sums are exact integers: LONG for y,
+    DECIMAL(38,0) for its square, so neither overflows and the variance
+    computed from them has no cancellation error.
     """
     d = F.col(y).cast("long")
     return history.where(F.col(y).isNotNull()).groupBy(*keys, WEEK_COL).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(d).alias("s1"),
-        F.sum(d * d).alias("s2"),
+        F.sum(_square(d)).alias("s2"),
     )
 
 
@@ -86,7 +84,7 @@ def agg_table_multi(history: DataFrame, name: str, keys: list[str], targets: Dat
     m = weekly_moments(history, keys, y)
     x = m.join(F.broadcast(targets), F.col(WEEK_COL) < F.col("S"))
     g = x.groupBy(*keys, "S").agg(F.sum("n").alias("n"), F.sum("s1").alias("s1"),
-                                  F.sum(F.col("s2").cast("decimal(38,0)")).alias("s2"))
+                                  F.sum("s2").alias("s2"))
     return g.select(*keys, "S", *moments_to_stats(F.col("n"), F.col("s1"), F.col("s2"), name))
 
 
@@ -102,8 +100,8 @@ def key_set_stats(history: DataFrame, key_sets: dict[str, list[str]], targets: D
     read once instead of once per key set. The weekly rows then meet the
     small target-week table (week < S) and one re-aggregation by
     (grouping id, keys, S) yields every table; it is written once to the
-    shared scratch folder (``spark.checkpoint.dir``) and each set is selected
-    from it by grouping id. Key sets in ``nonnull_keys`` (brand) drop the null group.
+    shared scratch folder (``spark.checkpoint.dir``), partitioned by grouping
+    id, and each set reads its own partition. Key sets in ``nonnull_keys`` (brand) drop the null group.
     """
     dims: list[str] = []
     for ks in key_sets.values():
@@ -115,11 +113,11 @@ def key_set_stats(history: DataFrame, key_sets: dict[str, list[str]], targets: D
     weekly = (history.where(F.col(y).isNotNull())
                      .groupingSets([[*ks, WEEK_COL] for ks in key_sets.values()], *cols)
                      .agg(F.count(F.lit(1)).alias("n"), F.sum(yl).alias("s1"),
-                          F.sum(yl * yl).alias("s2"), F.grouping_id().alias("__gid")))
+                          F.sum(_square(yl)).alias("s2"), F.grouping_id().alias("__gid")))
     x = weekly.join(F.broadcast(targets), F.col(WEEK_COL) < F.col("S"))
     tot = x.groupBy("__gid", *dims, "S").agg(
         F.sum("n").alias("n"), F.sum("s1").alias("s1"),
-        F.sum(F.col("s2").cast("decimal(38,0)")).alias("s2"))
+        F.sum("s2").alias("s2"))
     # Written once as parquet under the shared scratch folder and read back:
     # every key set below reads it. Left lazy, the optimizer would push each
     # set's selection and column pruning into the aggregate and give every
@@ -128,8 +126,9 @@ def key_set_stats(history: DataFrame, key_sets: dict[str, list[str]], targets: D
     # invite a broadcast; a parquet table is sized by its files.)
     from ..session import scratch_path
     path = scratch_path(history.sparkSession, "key-set-stats")
-    tot.write.parquet(path)
-    tot = history.sparkSession.read.parquet(path)
+    # One folder per grouping id: each key set reads its own files only.
+    tot.write.partitionBy("__gid").parquet(path)
+    tot = history.sparkSession.read.schema(tot.schema).parquet(path)
     out = {}
     width = len(cols)
     for name, ks in key_sets.items():

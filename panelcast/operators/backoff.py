@@ -7,9 +7,10 @@ level 5. Levels 0-3 are exactly the ``*_mean`` columns of the entity
 aggregates, so when those are already joined they are reused rather than
 recomputed; only the brand and global means are extra.
 
-Brand comes from the product dimension: history rows with an unknown product
-have no brand and do not form a brand group; target rows with an unknown
-product get brand "UNK".
+Brand comes from the product dimension; rows with an unknown product get brand
+"UNK". Raw history (without a brand column) therefore forms an UNK group;
+history that already carries brands from preprocessing keeps its nulls, which
+form none.
 """
 
 from __future__ import annotations
@@ -32,6 +33,11 @@ def with_brand(df: DataFrame, brand_map: DataFrame, unknown: str | None) -> Data
     return out
 
 
+def history_unknown(history: DataFrame) -> str | None:
+    """Brand of history rows with an unknown product (see above)."""
+    return None if "brand" in history.columns else UNKNOWN_BRAND
+
+
 def choose_level(est_cols: list[str], fallback: str):
     """(level, estimate) columns: first non-null of est_cols, else fallback."""
     level = F.lit(len(est_cols))
@@ -60,7 +66,7 @@ def backoff_features(target: DataFrame, history: DataFrame, brand_map: DataFrame
     levels = [tuple(k) for k in (levels if levels is not None else BACKOFF_LEVELS)]
     bm = broadcast_if_small(brand_map.select("Producto_ID", "brand"))
     df = with_brand(target, bm, UNKNOWN_BRAND)
-    past = with_brand(history.where(F.col(WEEK_COL) < target_week), bm, None)
+    past = with_brand(history.where(F.col(WEEK_COL) < target_week), bm, history_unknown(history))
     sets = {f"lvl{i}": list(keys) for i, keys in enumerate(levels)}
     one = target_weeks_frame(target.sparkSession, [target_week])
     tabs = {k: v.drop("S") for k, v in key_set_stats(past, sets, one, y).items()}

@@ -7,16 +7,11 @@ side.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import MA_WINDOW, PAIR, TARGET_COL, WEEK_COL
-
-
-def clip0(x: Column) -> Column:
-    """max(x, 0), but null stays null (``greatest`` alone would skip it)."""
-    return F.when(x.isNull(), F.lit(None).cast("double")).otherwise(
-        F.greatest(x.cast("double"), F.lit(0.0)))
+from ..functions.values import clip0
 
 
 def naive_lag1(history: DataFrame, target: DataFrame, target_week: int,

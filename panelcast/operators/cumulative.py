@@ -3,8 +3,8 @@ exact quantiles, empirical CDFs and two-sample KS statistics.
 
 A plain ``sum(..) OVER (PARTITION BY g ORDER BY v)`` puts every value of a
 group into one task. Here the values are first reduced to distinct values
-with counts, then cut into ``buckets`` ranges per group at approximate
-quantiles (``percentile_approx``); a window runs inside each (group, bucket)
+with counts, then cut into ranges per group (as many as the number of distinct
+values asks for) at approximate quantiles (``percentile_approx``); a window runs inside each (group, bucket)
 only, and each bucket is shifted by the total of the buckets before it. The
 only tables that pass through one task are the cut points and the bucket
 totals: ``groups x buckets`` rows. Use it with a bounded number of groups
@@ -19,16 +19,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.values import known
 from ..session import materialize
 
-DEFAULT_BUCKETS = 512
+BUCKET_ROWS = 20_000     # distinct values that one window task should hold
+MIN_BUCKETS = 64
+
+
+def bucket_count(df: DataFrame, groups: list[str] = ()) -> int:
+    """Ranges per group such that those of the largest group hold about
+    ``BUCKET_ROWS`` distinct values each (``df``: one row per group and value)."""
+    largest = df.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
+    return max(MIN_BUCKETS, -(-largest // BUCKET_ROWS))
 
 
 def cumulative_sums(df: DataFrame, value: str, weights: list[str], groups: list[str] = (),
-                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    buckets: int | None = None) -> DataFrame:
     """Add ``cum_<w>``: the sum of ``w`` over rows with a value <= this row's
     value in its group. ``df`` must hold one row per (groups, value)."""
     groups = list(groups)
+    buckets = buckets or bucket_count(df, groups)
     probs = [i / buckets for i in range(1, buckets)]
     cuts = df.groupBy(*groups).agg(
         F.percentile_approx(F.col(value).cast("double"), probs, 10000).alias("__cuts"))
@@ -66,16 +76,16 @@ def bucket_of(df: DataFrame, v: Column, cuts: str, n_cuts: int, out: str) -> Dat
 
 
 def value_counts(df: DataFrame, value: str, groups: list[str] = ()) -> DataFrame:
-    """(groups, value, n): nulls dropped. Written once to the scratch folder:
+    """(groups, value, n): null and NaN dropped. Written once to the scratch folder:
     the cumulative plan reads it several times (cut points, totals, ranks)
     and the input is computed only once."""
-    vc = (df.where(F.col(value).isNotNull())
+    vc = (df.where(known(F.col(value)))
             .groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n")))
     return materialize(vc, "value-counts")
 
 
 def ecdf(df: DataFrame, value: str, groups: list[str] = (),
-         buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+         buckets: int | None = None) -> DataFrame:
     """Per distinct value: n at the value, cumulative count, and the CDF
     heights of the first and last sorted point at that value on the
     ``linspace(0, 1, N)`` scale (``ecdf_lo``, ``ecdf``)."""
@@ -91,7 +101,7 @@ def ecdf(df: DataFrame, value: str, groups: list[str] = (),
 
 
 def exact_quantile(df: DataFrame, value: str, q: float, alias: str = "quantile",
-                   buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                   buckets: int | None = None) -> DataFrame:
     """One-row frame with the q-quantile of ``value``, linear interpolation
     between order statistics (NumPy's default), computed without holding
     all values in one buffer."""
@@ -135,7 +145,7 @@ def kolmogorov_pvalue(d: Column, n1: Column, n2: Column, terms: int = 100) -> Co
             .when(lam < 0.2, F.lit(1.0)).otherwise(p)
 
 
-EXACT_MAX_N = 10_000   # exact p-values up to this sample size (the usual "auto" rule)
+EXACT_MAX_N = 10_000   # the lattice-path probability is feasible up to this sample size
 
 
 def ks_exact_pvalue_np(k: int, m: int, n: int) -> float:
@@ -172,11 +182,14 @@ def ks_exact_pvalue_np(k: int, m: int, n: int) -> float:
 
 @F.pandas_udf(T.DoubleType())
 def ks_exact_pvalue(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
-    """Exact two-sided p-value per row (null beyond ``EXACT_MAX_N``)."""
+    """Exact two-sided p-value per row (null for an empty sample); raises
+    beyond ``EXACT_MAX_N`` values rather than leave a verdict out."""
     out = []
     for dv, a, b in zip(d, n1, n2):
-        if pd.isna(dv) or pd.isna(a) or pd.isna(b) or a <= 0 or b <= 0 or max(a, b) > EXACT_MAX_N:
+        if pd.isna(dv) or pd.isna(a) or pd.isna(b) or a <= 0 or b <= 0:
             out.append(None)
+        elif max(a, b) > EXACT_MAX_N:
+            raise ValueError(f"the exact KS p-value is limited to {EXACT_MAX_N} values; use method='asymp'")
         else:
             out.append(ks_exact_pvalue_np(int(round(dv * a * b)), int(a), int(b)))
     return pd.Series(out, dtype="float64")
@@ -186,7 +199,7 @@ def side_counts(df: DataFrame, value: str, side: str, groups: list[str] = ()) ->
     """(groups, value, r, c): rows per distinct value in the reference (r)
     and current (c) sample; written once to the scratch folder."""
     s = F.col(side)
-    vc = (df.where(F.col(value).isNotNull())
+    vc = (df.where(known(F.col(value)))
             .groupBy(*groups, value)
             .agg(F.sum(F.when(s, 1).otherwise(0)).cast("long").alias("r"),
                  F.sum(F.when(s, 0).otherwise(1)).cast("long").alias("c")))
@@ -210,14 +223,14 @@ def side_moments(vc: DataFrame, value: str, groups: list[str] = ()) -> DataFrame
 
 
 def ks_from_counts(vc: DataFrame, value: str, groups: list[str] = (),
-                   buckets: int = DEFAULT_BUCKETS, method: str = "auto") -> DataFrame:
+                   buckets: int | None = None, method: str = "asymp") -> DataFrame:
     """Per group: n_ref, n_cur, ks_statistic (exact D) and p_value, from the
     (groups, value, r, c) counts of ``side_counts``.
 
     Ties are handled exactly because both CDFs step at each distinct value
-    together. ``method``: "exact" (lattice-path probability), "asymp"
-    (Kolmogorov series), or "auto" = exact when both samples have at most
-    ``EXACT_MAX_N`` values, else asymptotic.
+    together. ``method``: "asymp" (Kolmogorov series, the same at every
+    size) or "exact" (lattice-path probability, which raises for samples of
+    more than ``EXACT_MAX_N`` values).
     """
     groups = list(groups)
     cum = cumulative_sums(vc, value, ["r", "c"], groups, buckets)
@@ -228,18 +241,16 @@ def ks_from_counts(vc: DataFrame, value: str, groups: list[str] = (),
     d = x.groupBy(*groups).agg(F.max(gap).alias("ks_statistic"),
                                F.first("n_ref").alias("n_ref"), F.first("n_cur").alias("n_cur"))
     d1, a, b = F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur")
-    asymp = kolmogorov_pvalue(d1, a, b)
     if method == "asymp":
-        p = asymp
-    elif method in ("exact", "auto"):
-        exact = ks_exact_pvalue(d1, a, b)
-        p = exact if method == "exact" else F.coalesce(exact, asymp)
+        p = kolmogorov_pvalue(d1, a, b)
+    elif method == "exact":
+        p = ks_exact_pvalue(d1, a, b)
     else:
         raise ValueError(f"unknown method {method!r}")
     return d.select(*groups, "n_ref", "n_cur", "ks_statistic", p.alias("p_value"))
 
 
 def ks_two_sample(df: DataFrame, value: str, side: str, groups: list[str] = (),
-                  buckets: int = DEFAULT_BUCKETS, method: str = "auto") -> DataFrame:
+                  buckets: int | None = None, method: str = "asymp") -> DataFrame:
     """Two-sample KS per group; ``side`` is true for the reference sample."""
     return ks_from_counts(side_counts(df, value, side, groups), value, groups, buckets, method)

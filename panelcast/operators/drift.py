@@ -1,8 +1,9 @@
 """Drift and bias monitoring.
 
-KS statistics come from ``cumulative.ks_from_counts``: exact D; the p-value
-is exact for samples of up to 10,000 values and asymptotic beyond ("auto"). Feature drift unpivots both frames into (feature, value) rows so
-all features are tested in one job, grouped by feature.
+KS statistics come from ``cumulative.ks_from_counts``: exact D, and the
+asymptotic p-value at every sample size. Feature drift unpivots both frames
+into (feature, value) rows so all features are tested in one job, grouped by
+feature. Null and NaN values are left out.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DRIFT_BINS, DRIFT_THRESHOLD, HIGH_BIAS_FACTOR
+from ..functions.values import known
 from .cumulative import ecdf, ks_from_counts, side_counts, side_moments
 from .evaluation import histogram
 
@@ -23,7 +25,7 @@ def _tagged(ref: DataFrame, ref_col: str, cur: DataFrame, cur_col: str) -> DataF
 
 def prediction_drift(ref: DataFrame, cur: DataFrame, ref_col: str = "prediction",
                      cur_col: str | None = None, threshold: float = DRIFT_THRESHOLD,
-                     method: str = "auto") -> DataFrame:
+                     method: str = "asymp") -> DataFrame:
     """One row: ks_statistic, p_value, drift_detected, reference/current
     mean and population std. ``method`` as in ``cumulative.ks_from_counts``."""
     cur_col = cur_col or ref_col
@@ -45,9 +47,9 @@ def _long(df: DataFrame, cols: list[str], is_ref: bool) -> DataFrame:
 
 
 def feature_drift(ref: DataFrame, cur: DataFrame, feature_cols: list[str],
-                  threshold: float = DRIFT_THRESHOLD, method: str = "auto") -> DataFrame:
+                  threshold: float = DRIFT_THRESHOLD, method: str = "asymp") -> DataFrame:
     """Per feature present in both frames: ks_statistic, p_value,
-    drift_detected, ref_mean, cur_mean; nulls dropped, features with an
+    drift_detected, ref_mean, cur_mean; missing values dropped, features with an
     empty side skipped; sorted by p-value (then name)."""
     cols = [c for c in feature_cols if c in ref.columns and c in cur.columns]
     if not cols:
@@ -55,7 +57,7 @@ def feature_drift(ref: DataFrame, cur: DataFrame, feature_cols: list[str],
             [], "feature string, ks_statistic double, p_value double, drift_detected boolean, "
                 "ref_mean double, cur_mean double")
     both = (_long(ref, cols, True).unionByName(_long(cur, cols, False))
-            .where(F.col("value").isNotNull()))
+            .where(known(F.col("value"))))
     vc = side_counts(both, "value", "is_ref", ["feature"])
     ks = ks_from_counts(vc, "value", ["feature"], method=method)
     means = side_moments(vc, "value", ["feature"]).select("feature", "ref_mean", "cur_mean")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import CLIP_PERCENTILE, CV_MIN_TRAIN_WEEKS, ERROR_BINS, SAMPLE_SEED, WEEK_COL
 from ..functions.metrics import all_metrics
+from ..functions.values import known
 from ..session import materialize
 from .cumulative import exact_quantile
 
@@ -82,7 +83,7 @@ def histogram(df: DataFrame, value: str, bins: int = ERROR_BINS,
     one-row (lo, hi) instead of the data's own range.
     """
     v = F.col(value).cast("double")
-    data = df.where(v.isNotNull()).select(v.alias("__x"))
+    data = df.where(known(v)).select(v.alias("__x"))
     if range_frame is None:
         range_frame = data.agg(F.min("__x").alias("lo"), F.max("__x").alias("hi"))
     rng = range_frame.select(
@@ -91,16 +92,22 @@ def histogram(df: DataFrame, value: str, bins: int = ERROR_BINS,
     x = data.crossJoin(F.broadcast(rng))
     idx = F.floor((F.col("__x") - F.col("__lo")) * (F.lit(float(bins)) / (F.col("__hi") - F.col("__lo"))))
     idx = F.least(F.greatest(idx, F.lit(0)), F.lit(bins - 1))
+    # The quotient can round across an edge: compare with the edges themselves.
+    width = (F.col("__hi") - F.col("__lo")) / F.lit(float(bins))
+    edge = lambda i: F.col("__lo") + i * width
+    x = x.withColumn("__i", idx)
+    idx = (F.when((F.col("__i") > 0) & (F.col("__x") < edge(F.col("__i"))), F.col("__i") - 1)
+            .when((F.col("__i") < bins - 1) & (F.col("__x") >= edge(F.col("__i") + 1)), F.col("__i") + 1)
+            .otherwise(F.col("__i")))
     counts = (x.where((F.col("__x") >= F.col("__lo")) & (F.col("__x") <= F.col("__hi")))
                .select(idx.cast("int").alias("bin"))
                .groupBy("bin").agg(F.count(F.lit(1)).alias("n")))
     spark = df.sparkSession
     grid = spark.range(bins).select(F.col("id").cast("int").alias("bin")).crossJoin(F.broadcast(rng))
-    width = (F.col("__hi") - F.col("__lo")) / F.lit(float(bins))
     return (grid.join(counts, "bin", "left")
                 .select("bin",
-                        (F.col("__lo") + F.col("bin") * width).alias("lo"),
-                        (F.col("__lo") + (F.col("bin") + 1) * width).alias("hi"),
+                        edge(F.col("bin")).alias("lo"),
+                        F.when(F.col("bin") == bins - 1, F.col("__hi")).otherwise(edge(F.col("bin") + 1)).alias("hi"),
                         F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n")))
 
 
@@ -124,11 +131,9 @@ def error_histograms(df: DataFrame, y: str, p: str, bins: int = ERROR_BINS) -> D
     return h_all.unionByName(h_clip).select("variant", "bin", "lo", "hi", "n")
 
 
-_HASH_SPACE = 1 << 53
-
-
 def seeded_sample(df: DataFrame, n: int, key_cols: list[str], seed: int = SAMPLE_SEED) -> DataFrame:
-    """Exactly min(n, rows) rows: the n smallest seeded hashes of ``key_cols``.
+    """Exactly min(n, rows) rows: the n smallest MD5 digests of the seed
+    and ``key_cols`` (any engine can take the same sample).
 
     Deterministic and distributed. A bare ``orderBy(h).limit(n)`` would merge
     up to n rows from *every* partition in one task; here rows are first
@@ -137,15 +142,14 @@ def seeded_sample(df: DataFrame, n: int, key_cols: list[str], seed: int = SAMPLE
     merge sees about n rows whatever the partition count. The result is the
     same rows as the plain top-n. Pass key columns that identify a row.
     """
-    key = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols]), F.lit(_HASH_SPACE))
+    key = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key_cols]))
     hashed = df.withColumn("__h", key)
     total = df.count()
     if total <= n:
         return df
     frac = min(1.0, n / total * 1.05 + 6.0 * (n ** 0.5) / total)
     while True:
-        thr = int(frac * _HASH_SPACE)
-        cand = hashed.where(F.col("__h") < F.lit(thr))
+        cand = hashed if frac >= 1.0 else hashed.where(F.col("__h") < F.lit(f"{int(frac * (1 << 52)):013x}"))
         if frac >= 1.0 or cand.count() >= n:
             break
         frac = min(1.0, frac * 2)

@@ -78,29 +78,32 @@ def pair_features_multi(history: DataFrame, targets: DataFrame, y: str = TARGET_
                         agg_name: str | None = "client_product") -> DataFrame:
     """Lags, rolling windows and the client x product aggregate in one pass.
 
-    Raw rows meet the broadcast grid (target week S, earlier observed week,
-    its rank counted back from S) and one ``groupBy(pair, S)`` takes
-    conditional sums: the sum at week S-k is lag k, the sum at rank r is the
+    Raw rows are first reduced to one row per pair and week (combined
+    map-side, so a hot pair leaves a task as one row per week) and dealt by
+    pair. Only then do they meet the broadcast grid (target week S, earlier
+    observed week, its rank counted back from S): what is copied per target
+    week is aggregated by (pair, S) in the same task and never shuffled.
+    Conditional sums give the features: the sum at week S-k is lag k, the sum at rank r is the
     pair's weekly sum in the r-th latest observed week (windows are built
     from those), and count / sum / sum of squares over all earlier rows give
-    the raw-row mean/std/count of the pair. The join is map-side and the
-    aggregate combines map-side, so a hot pair is reduced before the single
-    shuffle.
+    the raw-row mean/std/count of the pair.
     """
     lags, windows = list(lags), list(windows)
     top = max(windows) if windows else 0
-    h = history.where(F.col(y).isNotNull()).select(*PAIR, WEEK_COL, F.col(y).cast("long").alias(y))
-    weeks = h.select(WEEK_COL).distinct()
+    yl = F.col(y).cast("long")
+    known = history.where(F.col(y).isNotNull())
+    weekly = known.groupBy(*PAIR, WEEK_COL).agg(
+        F.count(F.lit(1)).alias("__c"), F.sum(yl).alias("__y"),
+        F.sum(yl.cast("decimal(19,0)") * yl.cast("decimal(19,0)")).alias("__q"))
+    weeks = known.select(WEEK_COL).distinct()
     grid = (weeks.crossJoin(targets).where(F.col(WEEK_COL) < F.col("S"))
                  .withColumn(RANK, F.row_number().over(
                      Window.partitionBy("S").orderBy(F.desc(WEEK_COL)))))
-    x = h.join(F.broadcast(grid), WEEK_COL)
-    yl = F.col(y)
-    aggs = [F.sum(F.when(F.col("S") - F.col(WEEK_COL) == k, yl)).alias(f"__lag{k}") for k in lags]
-    aggs += [F.sum(F.when(F.col(RANK) == r, yl)).alias(f"__w{r}") for r in range(1, top + 1)]
+    x = weekly.repartition(*PAIR).join(F.broadcast(grid), WEEK_COL)
+    aggs = [F.sum(F.when(F.col("S") - F.col(WEEK_COL) == k, F.col("__y"))).alias(f"__lag{k}") for k in lags]
+    aggs += [F.sum(F.when(F.col(RANK) == r, F.col("__y"))).alias(f"__w{r}") for r in range(1, top + 1)]
     if agg_name:
-        aggs += [F.count(yl).alias("__n"), F.sum(yl).alias("__s1"),
-                 F.sum(yl.cast("decimal(20,0)") * yl.cast("decimal(20,0)")).alias("__s2")]
+        aggs += [F.sum("__c").alias("__n"), F.sum("__y").alias("__s1"), F.sum("__q").alias("__s2")]
     g = x.groupBy(*PAIR, "S").agg(*aggs)
     out = [F.col(f"__lag{k}").cast("double").alias(f"lag_{k}") for k in lags]
     for w in windows:

@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from ..config import (AGG_GROUP_KEYS, FEATURE_COLS, ID_COLS, PAIR, TARGET_COL, UNKNOWN_BRAND,
                       WEEK_COL)
+from ..functions.values import number
 from .aggregates import key_set_stats
-from .backoff import backoff_from_means, with_brand
+from .backoff import backoff_from_means, history_unknown, with_brand
 from .clean import attach_state
 from .joins import broadcast_if_small
 from .lags import pair_features_multi
@@ -42,15 +43,14 @@ def _target_base(target: DataFrame, y: str, keep: Iterable[str]) -> DataFrame:
 
 def finalize_features(df: DataFrame, head: list[str], feature_cols: list[str] = FEATURE_COLS
                       ) -> DataFrame:
-    """Select head + features in model order, features as double with nulls -> 0."""
-    return df.select(*head, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
-                              for c in feature_cols])
+    """Select head + features in model order, as double; null and NaN -> 0."""
+    return df.select(*head, *[F.coalesce(number(F.col(c)), F.lit(0.0)).alias(c) for c in feature_cols])
 
 
 def align_features(df: DataFrame, feature_cols: list[str], head: Iterable[str] = ()) -> DataFrame:
     """Columns of a model's feature list in its order; absent ones are 0."""
     have = set(df.columns)
-    return df.select(*head, *[(F.coalesce(F.col(c).cast("double"), F.lit(0.0)) if c in have
+    return df.select(*head, *[(F.coalesce(number(F.col(c)), F.lit(0.0)) if c in have
                                else F.lit(0.0)).alias(c) for c in feature_cols])
 
 
@@ -79,7 +79,7 @@ def build_features(target: DataFrame, history: DataFrame, target_week: int,
     bm = broadcast_if_small(brand_map)
     sets = {k: v for k, v in AGG_GROUP_KEYS.items() if k != PAIR_AGG and all(c in past.columns for c in v)}
     sets.update({"brand": ["brand"], "global": []})
-    stats = {k: v.drop("S") for k, v in key_set_stats(with_brand(past, bm, None), sets, one, y).items()}
+    stats = {k: v.drop("S") for k, v in key_set_stats(with_brand(past, bm, history_unknown(history)), sets, one, y).items()}
     for name in JOIN_ORDER:
         if name in stats:
             df = df.join(stats[name], AGG_GROUP_KEYS[name], "left")
@@ -113,14 +113,15 @@ def build_features_multi(rows: DataFrame, history: DataFrame, target_weeks: Iter
     targets = target_weeks_frame(spark, weeks)
     keep = list(keep)
     base = _target_base(rows.where(F.col(WEEK_COL).isin(weeks)), y, keep)
-    # Weeks at or after the last target week feed nothing (partition pruning).
-    history = history.where(F.col(WEEK_COL) < max(weeks))
+    # Weeks at or after the last target week feed nothing (partition pruning);
+    # without target weeks (all requests rejected) the result is empty.
+    history = history.where(F.col(WEEK_COL) < max(weeks) if weeks else F.lit(False))
     pairs = pair_features_multi(history, targets, y).withColumnRenamed("S", WEEK_COL)
     df = base.join(pairs, [*PAIR, WEEK_COL], "left")
     bm = broadcast_if_small(brand_map)
     sets = {k: v for k, v in AGG_GROUP_KEYS.items() if k != PAIR_AGG and all(c in history.columns for c in v)}
     sets.update({"brand": ["brand"], "global": []})
-    stats = key_set_stats(with_brand(history, bm, None), sets, targets, y)
+    stats = key_set_stats(with_brand(history, bm, history_unknown(history)), sets, targets, y)
     for name in JOIN_ORDER:
         if name in stats:
             df = df.join(stats[name].withColumnRenamed("S", WEEK_COL),

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import (ATTRIBUTION_SAMPLE, ERROR_BINS, FEATURE_COLS, GBM_NUM_ROUNDS, GBM_PARAMS,
+from ..config import (ERROR_BINS, FEATURE_COLS, GBM_NUM_ROUNDS, GBM_PARAMS,
                       SAMPLE_SEED, SCATTER_SAMPLE, TARGET_COL, TOP_FEATURES, VAL_WEEK, WEEK_COL,
                       WORST_SEGMENTS)
 from ..operators import attribution, baselines, boosting, clean, evaluation, pipeline, scoring
@@ -58,11 +58,17 @@ def run_preprocess(sales: DataFrame, products: DataFrame, towns: DataFrame, art:
         assert_unique_keys(products, ["Producto_ID"], "products")
         assert_unique_keys(towns, ["Agencia_ID"], "towns")
     p = Prepared(sales, products, towns)
-    files.save_by_week(p.processed, art.store)
+    # The facts are read twice: for the states that occur, and for the store.
+    # The encodings are written first and read back, so the store's plan joins
+    # small tables and does not fit them again.
+    spark = sales.sparkSession
     files.save_table(p.meta, art.feature("product_metadata"))
+    p.meta = files.load_table(spark, art.feature("product_metadata"))
     files.save_table(p.brand_map, art.feature("product_brand_map"))
     files.save_table(p.brand_encoding, art.feature("brand_encoding"))
     files.save_table(p.state_map, art.feature("state_mapping"))
+    p.state_map = files.load_table(spark, art.feature("state_mapping"))
+    files.save_by_week(p.processed, art.store)
     files.save_table(towns, art.feature("towns"))
     return p
 
@@ -80,10 +86,17 @@ def load_feature_inputs(spark: SparkSession, art: Artifacts) -> dict:
 
 # --- M11 ----------------------------------------------------------------------
 
+def target_weeks(history: DataFrame, val_week: int) -> list[int]:
+    """Observed weeks up to ``val_week`` that have an earlier one (one value
+    per week reaches the driver)."""
+    weeks = sorted(r[0] for r in history.where(F.col(WEEK_COL) <= val_week).select(WEEK_COL).distinct().collect())
+    return weeks[1:]
+
+
 def training_frames(history: DataFrame, inputs: dict, val_week: int,
                     weeks: list[int] | None = None) -> DataFrame:
-    """Features for target weeks 4..val_week (or ``weeks``) in one job."""
-    target = weeks if weeks is not None else list(range(4, val_week + 1))
+    """Features for all target weeks (or ``weeks``) in one job."""
+    target = weeks if weeks is not None else target_weeks(history, val_week)
     return pipeline.build_features_multi(history, history, target, **inputs)
 
 
@@ -96,7 +109,7 @@ def write_training_set(history: DataFrame, inputs: dict, val_week: int, path: st
     target weeks are processed in chunks, each one distributed job appending
     its own partitions.
     """
-    target = list(range(4, val_week + 1))
+    target = target_weeks(history, val_week)
     k = weeks_per_job or len(target)
     for i in range(0, len(target), k):
         chunk = target[i:i + k]
@@ -132,7 +145,9 @@ def run_training(spark: SparkSession, art: Artifacts, val_week: int = VAL_WEEK,
     n_train, n_val = train.count(), val.count()
     sinks.append_run(spark, art.runs, val_semana=val_week, n_features=len(FEATURE_COLS),
                      n_train_rows=n_train, n_val_rows=n_val,
-                     best_iteration=model.main.best_iteration, params=GBM_PARAMS,
+                     best_iteration=model.main.best_iteration,
+                     params={**{k: v for k, v in GBM_PARAMS.items() if k != "num_leaves"}, "num_rounds": num_rounds,
+                             "with_quantiles": with_quantiles, **(boost_kw or {})},
                      metrics={"gbm": m_gbm, "baseline_lag1": m_lag1, "baseline_ma": m_ma3})
     return {"gbm": m_gbm, "baseline_lag1": m_lag1, "baseline_ma": m_ma3,
             "best_iteration": model.main.best_iteration, "n_features": len(FEATURE_COLS),
@@ -150,20 +165,23 @@ def evaluation_reports(scored: DataFrame, model: boosting.BoostedTrees | None =
         reports[f"worst_segments_{seg}"] = evaluation.worst_segments(scored, y, p, seg, WORST_SEGMENTS)
     reports["error_histograms"] = evaluation.error_histograms(scored, y, p, ERROR_BINS)
     keys = [c for c in ("id", *pipeline.ID_COLS) if c in scored.columns]
-    # Four reports read the sample: select it once and write it.
+    # Points to draw are a sample; limits, histograms and means are of all rows.
     sample = materialize(evaluation.seeded_sample(scored, SCATTER_SAMPLE, keys, SAMPLE_SEED),
                          "scatter-sample")
     reports["scatter_sample"] = sample.select(F.col(y).alias("actual"), F.col(p).alias("predicted"))
-    reports["scatter_limits"] = evaluation.sample_limits(sample, y, p)
-    resid = evaluation.residuals(sample, y, p)
-    reports["residual_sample"] = resid
-    reports["residual_histogram"] = evaluation.histogram(resid, "residual", ERROR_BINS)
+    reports["scatter_limits"] = evaluation.sample_limits(scored, y, p)
+    reports["residual_sample"] = evaluation.residuals(sample, y, p)
+    reports["residual_histogram"] = evaluation.histogram(evaluation.residuals(scored, y, p), "residual", ERROR_BINS)
     if model is not None:
-        shap_rows = evaluation.seeded_sample(scored, ATTRIBUTION_SAMPLE, keys, SAMPLE_SEED)
-        reports["shap_importance"] = attribution.mean_abs_attribution(model, shap_rows)
+        reports["shap_importance"] = attribution.mean_abs_attribution(model, scored)
     return reports
 
 
+#: Reports of a few rows whatever the data; the others are written distributed.
+SMALL_REPORTS = {"metrics", "worst_segments_Producto_ID", "worst_segments_Agencia_ID", "error_histograms",
+                 "scatter_limits", "residual_histogram", "shap_importance"}
+
+
 def run_evaluation(spark: SparkSession, art: Artifacts, val_week: int = VAL_WEEK) -> dict:
     weeks = [w for w in files.available_weeks(spark, art.store) if w <= val_week]
     data = files.load_weeks(spark, art.store, weeks)
@@ -175,7 +193,7 @@ def run_evaluation(spark: SparkSession, art: Artifacts, val_week: int = VAL_WEEK
     scored = materialize(model.main.transform(feats), "scored-validation")
     reports = evaluation_reports(scored, model.main)
     for name, df in reports.items():
-        sinks.write_csv_report(df, art.report(name), single_file=name != "scatter_sample")
+        sinks.write_csv_report(df, art.report(name), single_file=name in SMALL_REPORTS)
     return reports["metrics"].first().asDict()
 
 
@@ -203,11 +221,17 @@ def score_frame(spark: SparkSession, art: Artifacts, requests: DataFrame,
 
 def run_inference(spark: SparkSession, art: Artifacts, requests: DataFrame,
                   out_path: str | None = None) -> DataFrame:
-    """Submission (id, units): half-even rounding, clipped at 0, ordered by id."""
-    scored, _ = score_frame(spark, art, requests)
+    """Submission (id, units): half-even rounding, clipped at 0, ordered by id.
+
+    With ``out_path``, it is written there, and the rejected requests with
+    their reasons to ``<out_path>_rejected``; the result is the written file
+    read back, so nothing is scored twice."""
+    scored, rejected = score_frame(spark, art, requests)
     sub = scoring.submission(scored)
     if out_path:
         sinks.write_csv_report(sub, out_path)
+        sinks.write_csv_report(rejected, f"{out_path}_rejected")
+        return spark.read.schema(sub.schema).option("header", True).csv(out_path)
     return sub
 
 

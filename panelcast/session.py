@@ -47,8 +47,9 @@ def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or a checkpoint dir already
-    set on the context). Only when neither is set -- local tests -- a fresh
-    local folder is created and registered as the checkpoint dir.
+    set on the context). When neither is set, a local session (one process,
+    as in tests) gets a fresh local folder; a cluster session raises, because
+    its executors would each write to their own disk.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None)
@@ -56,6 +57,9 @@ def scratch_dir(spark: SparkSession) -> str:
         cur = sc.getCheckpointDir()
         if cur:
             d = os.path.dirname(cur.rstrip("/"))
+    one_process = sc.master.startswith("local") and not sc.master.startswith("local-cluster")
+    if not d and not one_process:
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="panelcast-")
         sc.setCheckpointDir(d)

@@ -1,27 +1,43 @@
 """Typed CSV scans (S1, S3, S4) and the week-partitioned parquet store
 (S5-S10).
 
-CSV is read with declared schemas (no inference pass); the store is parquet
+CSV is read with declared schemas (no inference pass), columns by header name
+and in any order; a malformed value fails the read. The store is parquet
 partitioned by ``Semana`` so reading a list of weeks prunes directories
 instead of opening files by name.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from ..config import (CLIENT_SCHEMA, PRODUCT_SCHEMA, SALES_SCHEMA, SCORE_SCHEMA, STORE_WEEK_RANGE,
-                      TOWN_SCHEMA, WEEK_COL)
+from ..config import (CLIENT_SCHEMA, PRODUCT_SCHEMA, SALES_SCHEMA, SCORE_SCHEMA, TOWN_SCHEMA,
+                      WEEK_COL)
 
+#: Options of every CSV scan, batch and stream: headers are checked against
+#: the schema and a malformed value raises.
+CSV_OPTIONS = {"encoding": "UTF-8", "mode": "FAILFAST", "enforceSchema": "false"}
 
-def read_csv(spark: SparkSession, path: str, schema, header: bool = True) -> DataFrame:
-    return (spark.read.schema(schema).option("header", header).option("encoding", "UTF-8")
-                 .option("mode", "FAILFAST").csv(path))
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
+    """The columns of ``schema``, found by header name (any order, extra
+    columns ignored); a file with another header than the first, or without
+    one of the columns, raises. Without a header, columns go by position."""
+    if not header:
+        return spark.read.schema(schema).options(header=False, **CSV_OPTIONS).csv(path)
+    names = spark.read.options(header=True, encoding="UTF-8").csv(path).columns
+    missing = [f.name for f in schema.fields if f.name not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; its header is {names}")
+    kinds = {f.name: f.dataType for f in schema.fields}
+    found = T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in names])
+    return (spark.read.schema(found).options(header=True, **CSV_OPTIONS).csv(path)
+                 .select(*schema.names))
 
 
 def load_sales_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -47,45 +63,44 @@ def save_by_week(df: DataFrame, path: str, mode: str = "overwrite",
                  cluster_by: tuple[str, ...] = ("Cliente_ID", "Producto_ID")) -> None:
     """Parquet partitioned by week.
 
-    Rows are range-partitioned by (week, client, product): a week is spread
-    over as many tasks as its size needs (hash-partitioning by week alone
-    would give one task per week, i.e. a seventh of the data each), each task
-    writes files of one or two weeks only, and files are clustered by client
-    and product, so parquet min/max statistics can skip row groups on those
-    keys. A hot key is split too (see below).
+    Rows are dealt by (week, salt): a week is spread over several tasks (by
+    the week alone, one task would get a seventh of the data), each task
+    writes files of a few weeks only, and even a hot key or a group of
+    identical rows is split. A hash needs no sampling pass, so the upstream
+    plan (the CSV scan) runs once. Inside a file rows are sorted by client and
+    product, so parquet statistics can skip row groups on those keys.
     ``spark.sql.files.maxRecordsPerFile`` bounds file size at scale.
     """
     keys = [WEEK_COL] + [c for c in cluster_by if c in df.columns]
-    # The row id as last range key splits even one hot key, or a group of
-    # identical rows, over several tasks (stable for a deterministic input).
-    (df.repartitionByRange(*keys, F.monotonically_increasing_id()).sortWithinPartitions(*keys)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.pmod(F.xxhash64(*df.columns, F.monotonically_increasing_id()), F.lit(max(1, n // 8)))
+    (df.repartition(F.col(WEEK_COL), salt).sortWithinPartitions(*keys)
        .write.mode(mode).partitionBy(WEEK_COL).parquet(path))
 
 
 def available_weeks(spark: SparkSession, path: str,
-                    week_range: tuple[int, int] = STORE_WEEK_RANGE) -> list[int]:
-    """Weeks present in the store within the range.
+                    week_range: tuple[int, int] | None = None) -> list[int]:
+    """All weeks present in the store, or those within an explicit range.
 
-    Read from the partition directories the file index has already listed
-    (``Semana=<w>``), so no data file is opened and no job runs.
+    Only the partition column is read, so no column of a data file is; the
+    driver gets one value per week.
     """
     try:
         df = spark.read.parquet(path)
     except AnalysisException:
         return []
-    lo, hi = week_range
-    weeks = set()
-    for f in df.inputFiles():
-        m = re.search(rf"/{WEEK_COL}=(-?\d+)/", f)
-        if m and lo <= int(m.group(1)) <= hi:
-            weeks.add(int(m.group(1)))
-    return sorted(weeks)
+    if WEEK_COL not in df.columns:
+        return []
+    weeks = sorted(r[0] for r in df.select(WEEK_COL).distinct().collect() if r[0] is not None)
+    if week_range is not None:
+        weeks = [w for w in weeks if week_range[0] <= w <= week_range[1]]
+    return weeks
 
 
 def load_weeks(spark: SparkSession, path: str, weeks: Iterable[int]) -> DataFrame:
     """Rows of the listed weeks; raises if any week is missing."""
     weeks = sorted(set(int(w) for w in weeks))
-    have = set(available_weeks(spark, path, (min(weeks), max(weeks)))) if weeks else set()
+    have = set(available_weeks(spark, path)) if weeks else set()
     missing = [w for w in weeks if w not in have]
     if missing:
         raise FileNotFoundError(f"weeks {missing} not found in {path}; run preprocessing first")

@@ -1,9 +1,9 @@
 """Views that bring the driver's star-schema tables into the engine's shape.
 
 ``demand_events`` is a dense panel (weeks 3..7), ``demand_sales`` a sparse
-one (periods 3..9). ``products`` and ``towns`` are the dimensions; part keys
-divisible by 97 and nation 24 are left out on purpose so that unmatched keys
-occur. ``score_rows`` are the week-9 keys moved to week 10.
+one (periods 3..9). ``products`` and ``towns`` are the dimensions, whole; so
+that unmatched keys occur, sales of part keys divisible by 97 and of nation 24
+get keys that no dimension row has. ``score_rows`` are the week-9 keys moved to week 10.
 """
 
 from __future__ import annotations
@@ -53,13 +53,15 @@ def demand_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     seg = F.col("c_mktsegment")
     return j.select(
         F.least(F.lit(9), 3 + F.floor(dd / 358)).cast("int").alias("Semana"),
-        F.col("c_nationkey").alias("Agencia_ID"),
+        F.when(F.col("c_nationkey") == 24, F.col("c_nationkey") + 100)
+         .otherwise(F.col("c_nationkey")).alias("Agencia_ID"),
         F.when(seg == "AUTOMOBILE", 1).when(seg == "BUILDING", 2)
          .when(seg == "FURNITURE", 3).when(seg == "HOUSEHOLD", 4)
          .otherwise(5).alias("Canal_ID"),
         F.col("l_suppkey").alias("Ruta_SAK"),
         F.col("o_custkey").alias("Cliente_ID"),
-        F.col("l_partkey").alias("Producto_ID"),
+        F.when(F.col("l_partkey") % 97 == 0, F.col("l_partkey") + 10_000_000)
+         .otherwise(F.col("l_partkey")).alias("Producto_ID"),
         F.col("l_quantity").cast("int").alias("Venta_uni_hoy"),
         F.col("l_extendedprice").alias("Venta_hoy"),
         F.when(returned, F.col("l_quantity").cast("int")).otherwise(0).alias("Dev_uni_proxima"),
@@ -79,15 +81,13 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(size % 2 == 0, F.concat((size * 10).cast("string"), F.lit("g")))
          .otherwise(F.concat(size.cast("string"), F.lit("kg"))),
         F.lit(" "), F.col("p_brand"), F.lit(" "), F.col("p_partkey").cast("string"))
-    return (p.where(F.col("p_partkey") % 97 != 0)
-             .select(F.col("p_partkey").alias("Producto_ID"), name.alias("NombreProducto")))
+    return p.select(F.col("p_partkey").alias("Producto_ID"), name.alias("NombreProducto"))
 
 
 def towns(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    return (n.where(F.col("n_nationkey") != 24)
-             .join(r, n.n_regionkey == r.r_regionkey)
+    return (n.join(r, n.n_regionkey == r.r_regionkey)
              .select(F.col("n_nationkey").alias("Agencia_ID"),
                      F.col("n_name").alias("Town"), F.col("r_name").alias("State")))
 

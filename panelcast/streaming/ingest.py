@@ -1,7 +1,9 @@
 """Incremental ingest of sales files into the week-partitioned store.
 
 A file-source stream with a declared schema reads new CSV files in bounded
-micro-batches (``maxFilesPerTrigger``); the parquet file sink, partitioned
+micro-batches (``maxFilesPerTrigger``), with the options of the batch scan: a
+file whose header does not match, or a malformed value, fails the batch
+instead of being stored as null; the parquet file sink, partitioned
 by week, commits each batch through its own metadata log, so a retried batch
 after an executor or driver failure is written exactly once. ``availableNow``
 processes everything present and stops, which makes the same query usable
@@ -14,11 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import SALES_SCHEMA, WEEK_COL
+from ..sources.files import CSV_OPTIONS
 
 
 def sales_stream(spark: SparkSession, source_dir: str, files_per_batch: int = 1,
                  schema=SALES_SCHEMA) -> DataFrame:
-    return (spark.readStream.schema(schema).option("header", True)
+    return (spark.readStream.schema(schema).options(header=True, **CSV_OPTIONS)
                  .option("maxFilesPerTrigger", files_per_batch).csv(source_dir))
 
 

@@ -1,8 +1,9 @@
-"""Feature operators: unit cases on the 30-row panel, name parsing, and
-properties (no leakage, multi-week equals single-week)."""
+"""Feature operators on a panel with gaps, name parsing, and properties (no
+leakage, multi-week equals single-week)."""
+
+import statistics
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,90 +14,121 @@ from panelcast.operators import aggregates, lags, pipeline
 from panelcast.plans.prepare import Prepared
 from panelcast.sources import fixtures as fx
 
+PANEL_SCHEMA = ("Semana int, Agencia_ID int, Canal_ID int, Ruta_SAK int, Cliente_ID long, "
+                "Producto_ID int, Demanda_uni_equil int")
 
-@pytest.fixture(scope="module")
-def panel_pd():
-    rng = np.random.RandomState(42)
+
+def _panel_rows() -> list[tuple]:
+    """Weeks 2..11 without 6; five clients, three products; a client sells a
+    product only in some weeks, and sometimes twice in one."""
     rows = []
-    for week in range(3, 8):
-        for client in (1, 2, 3):
-            for product in (100, 200):
-                rows.append(dict(Semana=week, Agencia_ID=1000, Canal_ID=1, Ruta_SAK=500,
-                                 Cliente_ID=client, Producto_ID=product,
-                                 Demanda_uni_equil=int(rng.randint(1, 20))))
-    return pd.DataFrame(rows)
+    for week in (2, 3, 4, 5, 7, 8, 9, 10, 11):
+        for client in range(11, 16):
+            for product in (7, 8, 9):
+                if (week * client + product) % 3:
+                    for copy in range(1 + (week + client + product) % 2):
+                        rows.append((week, client % 2, 4, client % 3, client, product, (week * 5 + client * product + copy) % 23))
+    return rows
 
 
 @pytest.fixture(scope="module")
-def panel(spark, panel_pd):
-    return spark.createDataFrame(panel_pd)
+def panel(spark):
+    return spark.createDataFrame(_panel_rows(), PANEL_SCHEMA)
+
+
+def expected_lags(rows, week: int) -> dict:
+    """(client, product) -> feature -> value, by the definitions: weekly sums
+    per pair; lag k is the sum in week - k; a window of w covers the pair's
+    sums in the last w weeks that anybody observed."""
+    sums: dict = {}
+    for w, *_, client, product, demand in rows:
+        if w < week:
+            pair = sums.setdefault((client, product), {})
+            pair[w] = pair.get(w, 0) + demand
+    observed = sorted({w for pair in sums.values() for w in pair}, reverse=True)
+    out = {}
+    for key, pair in sums.items():
+        f = {f"lag_{k}": pair.get(week - k) for k in C.LAG_WEEKS}
+        for n in C.ROLLING_WINDOWS:
+            seen = [pair[w] for w in observed[:n] if w in pair]
+            f[f"rolling_mean_{n}"] = sum(seen) / len(seen) if seen else None
+            f[f"rolling_median_{n}"] = statistics.median(seen) if seen else None
+            f[f"rolling_std_{n}"] = statistics.stdev(seen) if len(seen) > 1 else 0.0
+        out[key] = f
+    return out
 
 
-def test_builds_lags(panel):
-    out = lags.lag_features(panel, 7)
-    assert out.count() == 6
-    assert {"lag_1", "lag_2"} <= set(out.columns)
+def _assert_lags(got, want):
+    assert {(r.Cliente_ID, r.Producto_ID) for r in got} == set(want)
+    for r in got:
+        for name, value in want[r.Cliente_ID, r.Producto_ID].items():
+            have = r[name]
+            assert (have is None) == (value is None), (name, r)
+            assert value is None or have == pytest.approx(value, abs=1e-9), (name, r)
 
 
-def test_no_future_leakage_lag3_null(panel):
-    out = lags.lag_features(panel, 5)
-    assert out.where(F.col("lag_3").isNotNull()).count() == 0
-    assert out.where(F.col("lag_1").isNotNull()).count() == 6
+@pytest.mark.parametrize("week", [3, 6, 7, 12, 14])
+def test_lags_equal_their_definition(panel, week):
+    _assert_lags(lags.lag_features(panel, week).collect(), expected_lags(_panel_rows(), week))
 
 
-def test_rolling_columns(panel):
-    out = lags.lag_features(panel, 7)
-    assert {"rolling_mean_2", "rolling_std_2", "rolling_median_2"} <= set(out.columns)
+def test_lag_of_an_unobserved_week_is_null(panel):
+    out = lags.lag_features(panel, 8)                       # nobody sold in week 6
+    assert out.where(F.col("lag_2").isNotNull()).count() == 0
+    assert out.where(F.col("lag_1").isNotNull()).count() > 0
 
 
-def test_empty_history(spark):
-    empty = spark.createDataFrame([], "Semana int, Cliente_ID long, Producto_ID long, Demanda_uni_equil int")
-    assert lags.lag_features(empty, 5).count() == 0
+def test_no_history_no_lags(spark):
+    assert lags.lag_features(spark.createDataFrame([], PANEL_SCHEMA), 9).count() == 0
 
 
-def _pandas_lags(h: pd.DataFrame, s: int) -> pd.DataFrame:
-    """Straight pandas statement of the lag/rolling semantics."""
-    h = h[h.Semana < s]
-    d = h.groupby(["Cliente_ID", "Producto_ID", "Semana"]).Demanda_uni_equil.sum().reset_index()
-    out = d[["Cliente_ID", "Producto_ID"]].drop_duplicates()
-    for k in C.LAG_WEEKS:
-        x = d[d.Semana == s - k][["Cliente_ID", "Producto_ID", "Demanda_uni_equil"]]
-        out = out.merge(x.rename(columns={"Demanda_uni_equil": f"lag_{k}"}), how="left")
-    weeks = sorted(d.Semana.unique())
-    for w in C.ROLLING_WINDOWS:
-        sub = d[d.Semana.isin(weeks[-w:])].groupby(["Cliente_ID", "Producto_ID"]).Demanda_uni_equil
-        agg = sub.agg(["mean", "std", "median"]).reset_index()
-        agg.columns = ["Cliente_ID", "Producto_ID", f"rolling_mean_{w}", f"rolling_std_{w}",
-                       f"rolling_median_{w}"]
-        out = out.merge(agg, how="left")
-        out[f"rolling_std_{w}"] = out[f"rolling_std_{w}"].fillna(0)
-    return out
+def test_aggregates_equal_their_definition(panel):
+    rows = [r for r in _panel_rows() if r[0] < 9]
+    got = aggregates.agg_features(panel, 9)
+    assert set(got) == set(C.AGG_GROUP_KEYS)
+    for r in got["agency_product"].collect():
+        own = [x[-1] for x in rows if (x[1], x[5]) == (r.Agencia_ID, r.Producto_ID)]
+        assert r.agency_product_count == len(own)
+        assert r.agency_product_mean == pytest.approx(statistics.fmean(own))
+        assert r.agency_product_std == pytest.approx(statistics.stdev(own) if len(own) > 1 else 0.0)
+
+
+def test_missing_key_column_skipped(panel):
+    out = aggregates.agg_features(panel.drop("Ruta_SAK"), 7)
+    assert "route" not in out and "route_product" not in out and "product" in out
 
 
-@pytest.mark.parametrize("s", [4, 5, 7, 8])
-def test_lags_equal_pandas_statement(panel, panel_pd, s):
-    got = lags.lag_features(panel, s).toPandas().sort_values(["Cliente_ID", "Producto_ID"])
-    want = _pandas_lags(panel_pd, s).sort_values(["Cliente_ID", "Producto_ID"])
-    cols = ["Cliente_ID", "Producto_ID"] + C.LAG_COLS + C.ROLLING_COLS
-    np.testing.assert_allclose(got[cols].to_numpy(float), want[cols].to_numpy(float), equal_nan=True)
+def test_squares_of_large_demands_do_not_overflow(spark):
+    rows = [(3, 1, 1, 1, 1, 1, 2_000_000_000 + i) for i in (0, 1, 2)]
+    h = spark.createDataFrame(rows, PANEL_SCHEMA)
+    one = pipeline.target_weeks_frame(spark, [4])
+    for tab in (aggregates.agg_table_multi(h, "product", ["Producto_ID"], one),
+                aggregates.key_set_stats(h, {"product": ["Producto_ID"]}, one)["product"]):
+        r = tab.first()
+        assert (r.product_mean, r.product_std, r.product_count) == (2_000_000_001.0, pytest.approx(1.0), 3)
 
 
-def test_builds_aggregations(panel):
-    out = aggregates.agg_features(panel, 7)
-    assert {"product", "client"} <= set(out)
-    assert "product_mean" in out["product"].columns
-    assert "client_std" in out["client"].columns
+def test_missing_values_become_zero_features(spark):
+    df = spark.createDataFrame([(float("nan"), None, 2)], "lag_1 double, lag_2 double, lag_3 int")
+    got = pipeline.align_features(df, ["lag_3", "lag_1", "lag_2", "absent"]).first()
+    assert tuple(got) == (2.0, 0.0, 0.0, 0.0)
+    assert tuple(pipeline.finalize_features(df, [], ["lag_1", "lag_2"]).first()) == (0.0, 0.0)
 
 
-def test_aggregates_only_use_earlier_weeks(panel):
-    c5 = aggregates.agg_features(panel, 5)["product"].agg(F.sum("product_count")).first()[0]
-    c7 = aggregates.agg_features(panel, 7)["product"].agg(F.sum("product_count")).first()[0]
-    assert (c5, c7) == (12, 24)
+def test_numeric_feature_columns(panel):
+    df = panel.withColumn("weight_g", F.lit(1.5)).withColumn("brand", F.lit("x")).withColumn("promo", F.lit(True))
+    assert pipeline.numeric_feature_columns(df) == ["weight_g", "promo"]
 
 
-def test_missing_key_column_skipped(panel):
-    out = aggregates.agg_features(panel.drop("Ruta_SAK"), 7)
-    assert "route" not in out and "route_product" not in out and "product" in out
+def test_raw_history_forms_an_unknown_brand_group(spark):
+    from panelcast.operators import backoff
+    h = spark.createDataFrame([(3, 1, 1, 1, 1, 100, 4), (3, 2, 1, 2, 2, 101, 8), (3, 3, 1, 3, 3, 5, 90)], PANEL_SCHEMA)
+    target = spark.createDataFrame([(4, 9, 1, 9, 9, 102, 0)], PANEL_SCHEMA)
+    brands = spark.createDataFrame([(5, "ABC")], "Producto_ID int, brand string")
+    r = backoff.backoff_features(target, h, brands, 4).first()
+    assert (r.backoff_level, r.backoff_estimate) == (4, 6.0)      # mean of the two unknown products
+    branded = h.withColumn("brand", F.when(F.col("Producto_ID") == 5, "ABC"))
+    assert backoff.backoff_features(target, branded, brands, 4).first().backoff_level == 5
 
 
 def _parse(spark, name):
@@ -185,10 +217,8 @@ def test_hot_client_third_of_rows(spark, prep):
         F.when(F.xxhash64("Cliente_ID", "Producto_ID", "Ruta_SAK") % 3 == 0, F.lit(7)).otherwise(F.col("Cliente_ID")))
     share = hot.where(F.col("Cliente_ID") == 7).count() / hot.count()
     assert 0.25 < share < 0.45
-    got = lags.lag_features(hot, 9).toPandas().sort_values(["Cliente_ID", "Producto_ID"])
-    want = _pandas_lags(hot.toPandas(), 9).sort_values(["Cliente_ID", "Producto_ID"])
-    cols = ["Cliente_ID", "Producto_ID"] + C.LAG_COLS + C.ROLLING_COLS
-    np.testing.assert_allclose(got[cols].to_numpy(float), want[cols].to_numpy(float), equal_nan=True)
+    rows = [tuple(r) for r in hot.select("Semana", "Cliente_ID", "Producto_ID", C.TARGET_COL).collect()]
+    _assert_lags(lags.lag_features(hot, 9).collect(), expected_lags(rows, 9))
     kw = prep.feature_kwargs()
     single = _sorted_pd(pipeline.build_features(hot.where(F.col("Semana") == 9), hot, 9, **kw))
     multi = _sorted_pd(pipeline.build_features_multi(hot, hot, [8, 9], **kw).where(F.col("Semana") == 9))

@@ -1,4 +1,6 @@
-"""Metrics (hand values), segments, histograms, quantiles, ECDF and KS."""
+"""Metrics, segments, histograms, quantiles, ECDF and KS."""
+
+import math
 
 import numpy as np
 import pytest
@@ -16,23 +18,76 @@ def _m(spark, y, p):
     return evaluation.evaluate(_df(spark, y, p), "actual", "predicted").first()
 
 
-def test_hand_values(spark):
-    assert _m(spark, [1, 2, 3], [1, 2, 3]).rmse == 0.0
-    assert _m(spark, [1, 2, 3], [2, 3, 4]).rmse == 1.0
-    assert _m(spark, [5, 10], [5, 10]).mae == 0.0
-    assert _m(spark, [1, 2, 3], [2, 4, 6]).mae == 2.0
-    assert _m(spark, [1, 2, 3], [2, 3, 4]).bias == 1.0
-    assert _m(spark, [2, 3, 4], [1, 2, 3]).bias == -1.0
-    assert _m(spark, [1, 2, 3], [1, 2, 3]).rmsle == 0.0
-    assert _m(spark, [0, 1], [-1, 1]).rmsle >= 0
-    assert set(_m(spark, [1, 2], [1, 2]).asDict()) == {"rmse", "mae", "bias", "rmsle"}
+def test_metrics_by_hand(spark):
+    m = _m(spark, [0, 10, 4], [3, 6, 4])                     # errors 3, -4, 0
+    assert m.rmse == pytest.approx((25 / 3) ** 0.5)
+    assert m.mae == pytest.approx(7 / 3)
+    assert m.bias == pytest.approx(-1 / 3)
+    logs = [math.log1p(3), math.log1p(6) - math.log1p(10), 0.0]
+    assert m.rmsle == pytest.approx((sum(x * x for x in logs) / 3) ** 0.5)
+    assert _m(spark, [2, 0], [2, -5]).rmsle == 0.0           # negative predictions count as 0
+
+
+@pytest.mark.parametrize("missing", [None, float("nan")])
+def test_metrics_use_the_same_known_rows(spark, missing):
+    rows = [(5.0, 5.0), (100.0, missing), (missing, 7.0), (8.0, 6.0)]
+    df = spark.createDataFrame(rows, "actual double, predicted double")
+    m = evaluation.evaluate(df, "actual", "predicted").first()
+    known = evaluation.evaluate(df.where("actual in (5, 8)"), "actual", "predicted").first()
+    assert m == known and m.bias == -1.0
+    none = evaluation.evaluate(df.where("actual = 100"), "actual", "predicted").first()
+    assert tuple(none) == (None, None, None, None)
 
 
-def test_segments(spark):
-    df = _df(spark, [1, 2, 3, 4, 5, 6], [1.1, 2.1, 3.1, 4.1, 5.1, 6.1], list("AAABBB"))
+def test_segments_are_ranked_by_error(spark):
+    df = _df(spark, [10, 20, 30, 40, 50], [10, 21, 33, 43, 50], ["s", "t", "u", "u", None])
     out = evaluation.evaluate_by_segment(df, "actual", "predicted", "segment").collect()
-    assert len(out) == 2 and {"segment", "n", "rmse"} <= set(out[0].asDict())
-    assert [r.segment for r in out] == ["A", "B"]          # equal RMSE: ties by key
+    assert [(r.segment, r.n, r.rmse) for r in out] == [("u", 2, 3.0), ("t", 1, 1.0), ("s", 1, 0.0)]
+    tied = _df(spark, [1, 1], [2, 2], ["z", "y"])
+    assert [r.segment for r in evaluation.evaluate_by_segment(tied, "actual", "predicted", "segment").collect()] == ["y", "z"]
+
+
+@pytest.mark.parametrize("lo,hi,bins", [(-60, -4, 100), (0, 49, 100), (-7, 13, 30), (1, 4, 3), (-59, 58, 37)])
+def test_histogram_of_integers_equals_numpy(spark, lo, hi, bins):
+    x = list(range(lo, hi + 1))
+    df = spark.createDataFrame([(float(v),) for v in [*x, x[0], x[-1]]] + [(None,), (float("nan"),)], "x double")
+    h = evaluation.histogram(df, "x", bins).orderBy("bin").toPandas()
+    counts, edges = np.histogram([*x, x[0], x[-1]], bins=bins)
+    assert h.n.tolist() == counts.tolist()
+    np.testing.assert_allclose(h.hi.to_numpy(), edges[1:], atol=1e-12)
+
+
+def test_drift_leaves_missing_values_out(spark):
+    nan = float("nan")
+    ref = spark.createDataFrame([(1.0,), (nan,), (2.0,), (None,)], "prediction double")
+    cur = spark.createDataFrame([(2.0,), (3.0,), (nan,)], "prediction double")
+    out = drift.prediction_drift(ref, cur).first()
+    assert (out.ks_statistic, out.reference_mean, out.current_mean) == (0.5, 1.5, 2.5)
+    feat = drift.feature_drift(ref, cur, ["prediction"]).first()
+    assert (feat.ks_statistic, feat.ref_mean, feat.cur_mean) == (0.5, 1.5, 2.5)
+
+
+def test_p_value_has_one_method_at_every_size(spark):
+    """The p-value of the same D and effective size does not jump at 10,000,
+    and no verdict is null; the exact option raises where it cannot run."""
+    def run(n, **kw):
+        ref = spark.range(n).select(F.col("id").cast("double").alias("prediction"))
+        cur = ref.select((F.col("prediction") + int(0.0193 * n)).alias("prediction"))
+        return drift.prediction_drift(ref, cur, **kw).first()
+    small, large = run(10_000), run(10_001)
+    assert small.p_value == pytest.approx(large.p_value, rel=0.02)
+    assert small.drift_detected is not None and large.drift_detected is not None
+    with pytest.raises(Exception, match="limited to 10000 values"):
+        run(10_001, method="exact")
+    with pytest.raises(ValueError):
+        run(10, method="auto")
+
+
+def test_buckets_follow_the_number_of_values(spark):
+    vc = spark.range(100).select(F.col("id").alias("v"), F.lit(1).alias("n"))
+    assert cumulative.bucket_count(vc) == cumulative.MIN_BUCKETS
+    many = spark.range(cumulative.BUCKET_ROWS * 100).select("id")
+    assert cumulative.bucket_count(many) == 100
 
 
 def test_histogram_matches_numpy(spark):
@@ -152,5 +207,3 @@ def test_exact_ks_through_spark(spark):
     d = _ks_d(np.array(a), np.array(b))
     assert out.ks_statistic == pytest.approx(d)
     assert out.p_value == pytest.approx(_brute_ks_p(round(d * 5 * 7), 5, 7))
-    auto = drift.prediction_drift(ref, cur).first()            # default "auto" = exact here
-    assert auto.p_value == pytest.approx(out.p_value)

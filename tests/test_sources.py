@@ -1,6 +1,7 @@
 """Sources and sinks: typed CSV scan, week store with pruning, streaming
 ingest equal to the batch scan, optional tables, run log."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -51,6 +52,61 @@ def test_streaming_ingest_equals_batch(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/st").count() == want.count()
 
 
+def _write(folder, name, text):
+    import os
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", "w") as f:
+        f.write(text)
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_dir):
+    _write(f"{tmp_dir}/p", "a.csv", "NombreProducto,extra,Producto_ID\n12 ABC 5,x,34\n")
+    got = files.read_csv(spark, f"{tmp_dir}/p", C.PRODUCT_SCHEMA)
+    assert got.schema == C.PRODUCT_SCHEMA and tuple(got.first()) == (34, "12 ABC 5")
+    _write(f"{tmp_dir}/q", "a.csv", "Producto,Nombre\n1,2\n")
+    with pytest.raises(ValueError, match="no column"):
+        files.read_csv(spark, f"{tmp_dir}/q", C.PRODUCT_SCHEMA)
+    _write(f"{tmp_dir}/p", "b.csv", "Producto_ID,NombreProducto,extra\n1,n,x\n")      # another header than a.csv
+    with pytest.raises(Exception):
+        files.read_csv(spark, f"{tmp_dir}/p", C.PRODUCT_SCHEMA).collect()
+
+
+def test_malformed_rows_fail_batch_and_stream_alike(spark, tmp_dir):
+    header = ",".join(C.SALES_SCHEMA.names)
+    _write(f"{tmp_dir}/bad", "a.csv", header + "\n3,1,1,1,1,x,1,1.0,0,0.0,1\n")
+    with pytest.raises(Exception):
+        files.load_sales_csv(spark, f"{tmp_dir}/bad").collect()
+    with pytest.raises(Exception):
+        ingest.ingest_available(spark, f"{tmp_dir}/bad", f"{tmp_dir}/bst", f"{tmp_dir}/bck", timeout_s=120)
+
+
+def test_every_stored_week_is_seen(spark, tmp_dir):
+    sales = fx.demand_sales(spark, SF_SMALL)
+    late = sales.where("Semana = 5").withColumn("Semana", F.lit(12))
+    files.save_by_week(sales.where("Semana = 3").unionByName(late), f"{tmp_dir}/late")
+    assert files.available_weeks(spark, f"{tmp_dir}/late") == [3, 12]
+    assert files.available_weeks(spark, f"{tmp_dir}/late", (1, 11)) == [3]
+    assert files.load_weeks(spark, f"{tmp_dir}/late", [12]).count() == late.count()
+    assert files.available_weeks(spark, f"{tmp_dir}/nowhere") == []
+
+
+def test_fixture_views_keep_every_dimension_row(spark):
+    for view, source in ((fx.products, "part"), (fx.towns, "nation")):
+        assert view(spark, SF_SMALL).count() == fx.table(spark, SF_SMALL, source).count()
+    sales = fx.demand_sales(spark, SF_SMALL)
+    assert sales.join(fx.products(spark, SF_SMALL), "Producto_ID", "left_anti").count() > 0
+    assert sales.join(fx.towns(spark, SF_SMALL), "Agencia_ID", "left_anti").count() > 0
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+    from panelcast.session import scratch_dir
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]", "yarn"):
+        sc = SimpleNamespace(master=master, getConf=lambda: {}, getCheckpointDir=lambda: None)
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_dir(SimpleNamespace(sparkContext=sc))
+
+
 def test_optional_table_and_runs(spark, tmp_dir):
     empty = files.load_table(spark, f"{tmp_dir}/nope", required=False,
                              empty_schema="Producto_ID int, brand string")
