@@ -667,12 +667,23 @@ def q_ecdf(spark, sf):
 _sc_l1_ctes, _sc_l1_body = D.lag1_sql("demand_sales", "score_rows", 10, "sc")
 
 
+_BAD = """SELECT id, CASE id % 7 WHEN 1 THEN 99 WHEN 4 THEN NULL ELSE Semana END AS Semana, Agencia_ID, Canal_ID,
+       CASE id % 7 WHEN 3 THEN NULL ELSE Ruta_SAK END AS Ruta_SAK,
+       CASE id % 7 WHEN 2 THEN -1 - Cliente_ID ELSE Cliente_ID END AS Cliente_ID, Producto_ID FROM score_rows"""
+
+
 @register("request_validation", "id:i, is_valid:b, reason:s",
-          D.with_ctes([], "SELECT id, Semana BETWEEN 3 AND 15 AND Agencia_ID >= 0 AND Canal_ID >= 0 "
-                          "AND Ruta_SAK >= 0 AND Cliente_ID >= 0 AND Producto_ID >= 0 AS is_valid, "
-                          "CAST(NULL AS VARCHAR) AS reason FROM score_rows"))
+          D.with_ctes([("requests", _BAD)], """
+SELECT id, id % 7 NOT IN (1, 2, 3, 4) AS is_valid,
+       CASE id % 7 WHEN 1 THEN 'Semana outside 3..15' WHEN 2 THEN 'Cliente_ID negative'
+                   WHEN 3 THEN 'Ruta_SAK missing' WHEN 4 THEN 'Semana missing' END AS reason FROM requests"""))
 def q_request_validation(spark, sf):
-    return scoring.validate_requests(view(spark, sf, "score_rows"))
+    kind = F.col("id") % 7
+    bad = (view(spark, sf, "score_rows")
+           .withColumn("Semana", F.when(kind == 1, 99).when(kind != 4, F.col("Semana")))
+           .withColumn("Ruta_SAK", F.when(kind != 3, F.col("Ruta_SAK")))
+           .withColumn("Cliente_ID", F.when(kind == 2, -1 - F.col("Cliente_ID")).otherwise(F.col("Cliente_ID"))))
+    return scoring.validate_requests(bad)
 
 
 @register("batch_scores_lag1", f"id:i, {Y}:i",
@@ -760,20 +771,150 @@ def q_shap_importance(spark, sf):
     return attribution.mean_abs_attribution(model.main, val)
 
 
-@register("scatter_sample", "actual:d, predicted:d", None)
+_SAMPLE_KEYS = [*C.ID_COLS, Y]
+
+
+def _sample_sql(n: int) -> str:
+    key = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in _SAMPLE_KEYS)
+    return (f"SELECT CAST({Y} AS DOUBLE) AS actual, prediction AS predicted FROM lag1 "
+            f"ORDER BY md5(concat_ws('|', '{C.SAMPLE_SEED}', {key})) LIMIT {n}")
+
+
+@register("scatter_sample", "actual:d, predicted:d", D.with_ctes(_eval_ctes, _sample_sql(C.SCATTER_SAMPLE)))
 def q_scatter_sample(spark, sf):
-    pred = _scored(spark, sf, "lag1")
-    keys = [c for c in C.ID_COLS] + [Y, "Venta_hoy", "Dev_proxima"]
-    s = evaluation.seeded_sample(pred, C.SCATTER_SAMPLE, keys)
+    s = evaluation.seeded_sample(_scored(spark, sf, "lag1"), C.SCATTER_SAMPLE, _SAMPLE_KEYS)
     return s.select(F.col(Y).alias("actual"), F.col("prediction").alias("predicted"))
 
 
-@register("residual_histogram", "bin:i, lo:d, hi:d, n:i", None)
+@register("seeded_sample", "actual:d, predicted:d", D.with_ctes(_eval_ctes, _sample_sql(500)))
+def q_seeded_sample(spark, sf):
+    """E9 with a size that is smaller than the table at every scale."""
+    s = evaluation.seeded_sample(_scored(spark, sf, "lag1"), 500, _SAMPLE_KEYS)
+    return s.select(F.col(Y).alias("actual"), F.col("prediction").alias("predicted"))
+
+
+_rs_c, _rs_b = D.histogram_sql("res", "residual", C.ERROR_BINS, "rs")
+
+
+@register("residual_histogram", "bin:i, lo:d, hi:d, n:i",
+          D.with_ctes(_eval_ctes + [("res", f"SELECT CAST({Y} AS DOUBLE) - prediction AS residual FROM lag1")] + _rs_c, _rs_b))
 def q_residual_histogram(spark, sf):
     pred = _scored(spark, sf, "lag1")
     return evaluation.histogram(evaluation.residuals(pred, Y, "prediction"), "residual", C.ERROR_BINS)
 
 
+_ih_c, _ih_b = D.histogram_sql("gap", "gap", 37, "ih")
+
+
+@register("integer_histogram", "bin:i, lo:d, hi:d, n:i",
+          D.with_ctes([("gap", f"SELECT {Y} - 2 * Venta_uni_hoy AS gap FROM demand_sales")] + _ih_c, _ih_b))
+def q_integer_histogram(spark, sf):
+    """E10 on integers, many of which lie on a bin's edge."""
+    gap = view(spark, sf, "demand_sales").select((F.col(Y) - 2 * F.col("Venta_uni_hoy")).alias("gap"))
+    return evaluation.histogram(gap, "gap", 37)
+
+
+@register("metrics_with_missing", METRIC_SHAPE,
+          D.with_ctes(_eval_ctes, f"SELECT {D.metrics_select(Y, 'prediction')} FROM lag1 "
+                                  "WHERE Producto_ID % 5 <> 0 AND Producto_ID % 7 <> 0 AND Cliente_ID % 11 <> 0"))
+def q_metrics_with_missing(spark, sf):
+    """E1-E5 when predictions are null or NaN and actual values are null."""
+    product, df = F.col("Producto_ID"), _scored(spark, sf, "lag1")
+    df = df.withColumn("prediction", F.when(product % 7 == 0, F.lit(float("nan"))).when(product % 5 != 0, F.col("prediction")))
+    return evaluation.evaluate(df.withColumn(Y, F.when(F.col("Cliente_ID") % 11 != 0, F.col(Y))), Y, "prediction")
+
+
+@register("aligned_features", "Cliente_ID:i, Producto_ID:i, State_encoded:d, absent:d, lag_1:d, product_mean:d",
+          D.with_ctes(_fm_ctes, f"SELECT Cliente_ID, Producto_ID, State_encoded, 0.0 AS absent, lag_1, product_mean "
+                                f"FROM ({_fm_body}) f"))
+def q_aligned_features(spark, sf):
+    """Another feature list, in another order, with an unknown feature."""
+    return pipeline.align_features(q_feature_matrix(spark, sf), ["State_encoded", "absent", "lag_1", "product_mean"],
+                                   ["Cliente_ID", "Producto_ID"])
+
+
+@register("csv_report", "Producto_ID:i, n:i, " + METRIC_SHAPE,
+          D.with_ctes(_eval_ctes, f"SELECT Producto_ID, count(*) AS n, {D.metrics_select(Y, 'prediction')} "
+                                  "FROM lag1 WHERE Producto_ID IS NOT NULL GROUP BY Producto_ID"))
+def q_csv_report(spark, sf):
+    """A report written as CSV and read back."""
+    from panelcast.session import scratch_path
+    from panelcast.sources import sinks
+    report, path = q_metrics_by_segment(spark, sf), scratch_path(spark, "report")
+    sinks.write_csv_report(report, path)
+    return spark.read.schema(report.schema).option("header", True).csv(path)
+
+
+@register("run_row", "val_semana:i, n_features:i, n_train_rows:i, n_val_rows:i, lag1_rmse:d, ma3_rmse:d",
+          D.with_ctes(_eval_ctes, f"""
+SELECT {VAL_WEEK} AS val_semana, {len(C.FEATURE_COLS)} AS n_features,
+       (SELECT count(*) FROM demand_sales WHERE Semana < {VAL_WEEK}) AS n_train_rows,
+       (SELECT count(*) FROM demand_sales WHERE Semana = {VAL_WEEK}) AS n_val_rows,
+       (SELECT sqrt(avg(power({Y} - prediction, 2))) FROM lag1) AS lag1_rmse,
+       (SELECT sqrt(avg(power({Y} - prediction, 2))) FROM ma3) AS ma3_rmse"""))
+def q_run_row(spark, sf):
+    """The run table with the baselines' metrics, read back."""
+    from panelcast.session import scratch_path
+    from panelcast.sources import sinks
+    sales, path = view(spark, sf, "demand_sales"), scratch_path(spark, "runs")
+    train, val = evaluation.temporal_split(sales, VAL_WEEK)
+    found = {r["model"]: r.asDict() for r in q_metrics_overall(spark, sf).collect()}
+    sinks.append_run(spark, path, val_semana=VAL_WEEK, n_features=len(C.FEATURE_COLS), n_train_rows=train.count(),
+                     n_val_rows=val.count(), best_iteration=0, params={}, metrics=found)
+    rmse = lambda m: F.get_json_object("metrics", f"$.{m}.rmse").cast("double").alias(f"{m}_rmse")
+    return spark.read.parquet(path).select("val_semana", "n_features", "n_train_rows", "n_val_rows", rmse("lag1"), rmse("ma3"))
+
+
+# --- a fixed ensemble: scoring, persistence and attribution have closed forms ----
+
+#: (feature, threshold, value at or below it, value above it, share of rows at or below it)
+_STUMPS = [("lag_1", 4.0, -0.6, 0.9, 0.7), ("product_mean", 20.0, -0.2, 0.5, 0.4), ("lag_1", 30.0, 0.1, 0.8, 0.9),
+           ("client_count", 6.0, 0.25, -0.35, 0.5)]
+_BASE, _RATE = 1.2, 0.5
+
+
+def _ensemble(objective: str, base: float):
+    from panelcast.operators.boosting import BoostedTrees, Tree
+    cols = sorted({s[0] for s in _STUMPS})
+    trees = [Tree(feature=[cols.index(f), -1, -1], threshold=[t, 0.0, 0.0], left=[1, -1, -1], right=[2, -1, -1],
+                  value=[0.0, lo, hi], gain=[1.0, 0.0, 0.0], cover=[100.0, 100 * share, 100 * (1 - share)])
+             for f, t, lo, hi, share in _STUMPS]
+    return BoostedTrees(cols, objective, base, _RATE, trees, best_iteration=len(trees))
+
+
+def _margin_sql(base: float) -> str:
+    return f"({base}" + "".join(f" + {_RATE} * CASE WHEN {f} <= {t} THEN {lo} ELSE {hi} END" for f, t, lo, hi, _ in _STUMPS) + ")"
+
+
+@register("ensemble_scores", "Cliente_ID:i, Producto_ID:i, Ruta_SAK:i, Agencia_ID:i, prediction:d, lower:d, upper:d",
+          D.with_ctes(_fm_ctes, f"SELECT Cliente_ID, Producto_ID, Ruta_SAK, Agencia_ID, exp({_margin_sql(_BASE)}) AS prediction, "
+                                f"greatest({_margin_sql(-0.4)}, 0.0) AS lower, greatest({_margin_sql(2.5)}, 0.0) AS upper "
+                                f"FROM ({_fm_body}) f"))
+def q_ensemble_scores(spark, sf):
+    """A model triple saved, loaded and applied to the features."""
+    from panelcast.operators.boosting import IntervalModel
+    from panelcast.session import scratch_path
+    path = scratch_path(spark, "model")
+    IntervalModel(_ensemble("tweedie", _BASE), _ensemble("quantile", -0.4), _ensemble("quantile", 2.5)).save(spark, path)
+    return IntervalModel.load(spark, path).transform(q_feature_matrix(spark, sf))
+
+
+def _attribution_sql() -> str:
+    parts = []
+    for name in sorted({s[0] for s in _STUMPS}):
+        phi = " + ".join(f"{_RATE} * (CASE WHEN {f} <= {t} THEN {lo} ELSE {hi} END - {share * lo + (1 - share) * hi})"
+                         for f, t, lo, hi, share in _STUMPS if f == name)
+        parts.append(f"SELECT '{name}' AS feature, avg(abs({phi})) AS mean_abs_shap FROM fm")
+    return " UNION ALL ".join(parts)
+
+
+@register("ensemble_attribution", "feature:s, mean_abs_shap:d", D.with_ctes(_fm_ctes + [("fm", _fm_body)], _attribution_sql()))
+def q_ensemble_attribution(spark, sf):
+    """M9 on stumps: a stump's Shapley value is its value less its mean."""
+    from panelcast.operators import attribution
+    return attribution.mean_abs_attribution(_ensemble("tweedie", _BASE), q_feature_matrix(spark, sf))
+
+
 # --- driver contract ---------------------------------------------------------
 
 def entry(spark: SparkSession) -> DataFrame:
