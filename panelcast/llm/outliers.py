@@ -119,9 +119,9 @@ def _vector(df: DataFrame) -> DataFrame:
                             for v, x in zip(parts, X, strict=True)))
 
 
-def _lookup(df: DataFrame, small: DataFrame, on) -> DataFrame:
+def _lookup(df: DataFrame, small: DataFrame, on, n: int | None = None) -> DataFrame:
     """Left join of a parameter table, broadcast when its counted rows allow."""
-    n = small.count()
+    n = small.count() if n is None else n
     return df.join(F.broadcast(small) if n <= SMALL else small, on, "left")
 
 
@@ -223,13 +223,14 @@ def fit(points: DataFrame) -> DataFrame:
     """Estimate (one row per cell) from points (cell, x0..)."""
     spark = points.sparkSession
     now, path = written(_starts(points), "mcd")
+    twice = points.withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
     mark = None
     for _ in range(STEPS):
-        seen = now.agg(F.round(F.sum("logdet"), 6), F.count(F.lit(1))).first()
+        seen = now.agg(F.round(F.sum("logdet"), 4), F.count(F.lit(1))).first()
         if seen == mark:
             break
         mark = seen
-        d = _distance(_lookup(points.join(_both(points), how="cross"), now, ["cell", "start"]))
+        d = _distance(_lookup(twice, now, ["cell", "start"], seen[1]))
         bins = (d.withColumn("bin", F.floor(32 * F.log2(F.col("d2") + F.lit(1e-3))))
                 .groupBy("cell", "start", "bin").agg(*_moments()))
         w = Window.partitionBy("cell", "start")
@@ -247,11 +248,6 @@ def fit(points: DataFrame) -> DataFrame:
     return final
 
 
-def _both(points: DataFrame) -> DataFrame:
-    """The two starts, one row each."""
-    return F.broadcast(points.sparkSession.range(2).select(F.col("id").cast("int").alias("start")))
-
-
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group_cols: tuple[str, str] = ("lang", "source"),
             cutoff: float = CUTOFF) -> DataFrame:
     """doc_id, row_key, base statistics, base_failed, kept and distance (null
