@@ -11,7 +11,7 @@ Everything is DataFrame expressions. One C-step is one aggregation: squared
 distances are binned finely, moments are summed per bin, and the bins up to
 the subset's size (the last one whole) give the next estimate. Two
 deterministic starts (coordinate-wise medians and quartile ranges; classical
-moments) run side by side until no determinant changes; the smaller
+moments) run side by side until the determinants settle; the smaller
 determinant wins and is reweighted once. Vectors are scaled to integers, so
 sums are exact whatever the partitioning. Covariances get a small diagonal
 floor, as most shares are exactly 0 in clean text.
@@ -32,7 +32,7 @@ from __future__ import annotations
 import math
 from statistics import NormalDist
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from panelcast.llm.scratch import forget, written
@@ -222,28 +222,31 @@ def _consistency() -> float:
 def fit(points: DataFrame) -> DataFrame:
     """Estimate (one row per cell) from points (cell, x0..)."""
     spark = points.sparkSession
-    now, path = written(_starts(points), "mcd")
+    def step(df: DataFrame) -> tuple[DataFrame, str, tuple]:
+        """Writes an estimate; its number of rows and sum of determinants."""
+        seen = Observation()
+        table, path = written(df.observe(seen, F.count(F.lit(1)).alias("n"), F.round(F.sum("logdet"), 4).alias("sum")), "mcd")
+        return table, path, (seen.get["n"], seen.get["sum"])
+
     twice = points.withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
-    mark = None
-    for _ in range(STEPS):
-        seen = now.agg(F.round(F.sum("logdet"), 4), F.count(F.lit(1))).first()
-        if seen == mark:
-            break
-        mark = seen
-        d = _distance(_lookup(twice, now, ["cell", "start"], seen[1]))
+    now, path, mark = step(_starts(points))
+    marks: set[tuple] = set()
+    while mark not in marks and len(marks) < STEPS:      # binned steps may end in a short cycle
+        marks.add(mark)
+        d = _distance(_lookup(twice, now, ["cell", "start"], mark[0]))
         bins = (d.withColumn("bin", F.floor(32 * F.log2(F.col("d2") + F.lit(1e-3))))
                 .groupBy("cell", "start", "bin").agg(*_moments()))
         w = Window.partitionBy("cell", "start")
         bins = (bins.withColumn("below", F.coalesce(F.sum("n").over(w.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                 .withColumn("all", F.sum("n").over(w)).where(F.col("below") < SUBSET * F.col("all")))
-        step = bins.groupBy("cell", "start").agg(*(F.sum(c).alias(c) for c in MOMENTS))
-        after, new_path = written(_estimate(step, ["cell", "start"]), "mcd")
+        closest = bins.groupBy("cell", "start").agg(*(F.sum(c).alias(c) for c in MOMENTS))
+        after, new_path, mark = step(_estimate(closest, ["cell", "start"]))
         forget(spark, path)
         now, path = after, new_path
     best = now.groupBy("cell").agg(F.min(F.struct("logdet", "start")).alias("b")).select("cell", F.col("b.start").alias("start"))
     raw = now.join(best, ["cell", "start"]).drop("start")
     # the raw estimate, made consistent, selects the vectors of the final one
-    near = _distance(_lookup(points, raw, "cell")).where(F.col("d2") <= _consistency() * chi_square(0.975, P))
+    near = _distance(_lookup(points, raw, "cell", mark[0])).where(F.col("d2") <= _consistency() * chi_square(0.975, P))
     final, _ = written(_estimate(near.groupBy("cell").agg(*_moments()), ["cell"], scale=1.0), "mcd-final")
     return final
 

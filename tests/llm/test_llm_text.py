@@ -44,18 +44,22 @@ def mcd_reference(rows):
         z = np.linalg.solve(np.linalg.cholesky(e[1]), (x - e[0]).T)
         return (z * z).sum(axis=0)
 
+    state = []
     for own in cells:
-        if len(own) < outliers.LEAST:
-            continue
-        x = np.array([rows[i][2] for i in own], dtype=float)
-        order = np.sort(x, axis=0)
-        at = lambda q: order[math.ceil(q * len(x)) - 1]  # noqa: E731,B023
-        starts = [(at(0.5), np.diag(((at(0.75) - at(0.25)) / 1.349) ** 2) + floor), estimate(x)]
-        for _ in range(outliers.STEPS):
+        if len(own) >= outliers.LEAST:
+            x = np.array([rows[i][2] for i in own], dtype=float)
+            order = np.sort(x, axis=0)
+            low, mid, high = (order[math.ceil(q * len(x)) - 1] for q in (0.25, 0.5, 0.75))
+            state.append((own, x, [(mid, np.diag(((high - low) / 1.349) ** 2) + floor), estimate(x)]))
+    mark = lambda: round(sum(np.linalg.slogdet(e[1])[1] / 2 for *_, starts in state for e in starts), 4)
+    marks = set()
+    while mark() not in marks and len(marks) < outliers.STEPS:
+        marks.add(mark())
+        for _, x, starts in state:
             for s in range(2):
                 bins = np.floor(32 * np.log2(squared(x, starts[s]) + 1e-3))
-                edge = np.sort(bins)[math.ceil(outliers.SUBSET * len(x)) - 1]
-                starts[s] = estimate(x[bins <= edge])
+                starts[s] = estimate(x[bins <= np.sort(bins)[math.ceil(outliers.SUBSET * len(x)) - 1]])
+    for own, x, starts in state:
         best = min(starts, key=lambda e: np.linalg.slogdet(e[1])[1])
         near = x[squared(x, best) <= outliers._consistency() * outliers.chi_square(0.975, outliers.P)]
         for i, d in zip(own, squared(x, estimate(near)), strict=True):
