@@ -19,11 +19,11 @@ def lookup(left: DataFrame, right: DataFrame, key: str, weight: str, row_id: Col
     by ``row_id`` there. Null keys find nothing.
     """
     values = [c for c in right.columns if c not in (key, weight)]
+    own = F.concat(F.lit("k"), F.col(key).cast("string"))
     hot = right.where(F.col(weight) * HOT_SHARE > total).select(F.col(key).alias("hot_key"), *(F.col(c).alias(f"hot_{c}") for c in values))
-    cold = (right.where(F.col(weight) * HOT_SHARE <= total)
-            .select(F.lit(0).alias("cold_salt"), F.col(key).alias("cold_key"), *(F.col(c).alias(f"cold_{c}") for c in values)))
+    cold = right.where(F.col(weight) * HOT_SHARE <= total).select(own.alias("cold_key"), *(F.col(c).alias(f"cold_{c}") for c in values))
     served = F.col("hot_key").isNotNull() | F.col(key).isNull()
     once = (left.join(F.broadcast(hot), left[key] == F.col("hot_key"), "left")
-            .withColumn("salt", F.when(served, row_id.bitwiseOR(F.lit(1).cast("long"))).otherwise(F.lit(0).cast("long"))))
-    both = once.join(cold, (F.col("salt") == F.col("cold_salt")) & (once[key] == F.col("cold_key")), "left")
+            .withColumn("dealt_by", F.when(served, F.concat(F.lit("r"), row_id.cast("string"))).otherwise(own)))
+    both = once.join(cold, F.col("dealt_by") == F.col("cold_key"), "left")
     return both.select(*left.columns, *(F.coalesce(f"hot_{c}", f"cold_{c}").alias(c) for c in values))
