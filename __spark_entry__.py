@@ -34,7 +34,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from checks import duck_sql as D  # noqa: E402
 from panelcast import config as C  # noqa: E402
 from panelcast.operators import (aggregates, backoff, baselines, clean, drift,  # noqa: E402
-                                 evaluation, lags, pipeline, scoring)
+                                 evaluation, lags, pipeline, scoring, summaries)
 from panelcast.plans.prepare import Prepared  # noqa: E402
 from panelcast.sources import fixtures as fx  # noqa: E402
 
@@ -162,15 +162,13 @@ def q_preprocess(spark, sf):
                           "(SELECT count(DISTINCT brand) FROM parsed) AS n_brands"))
 def q_distinct_counts(spark, sf):
     p = prepared(spark, sf)
-    s = p.state_map.agg(F.countDistinct("State").alias("n_states"))
-    b = p.meta.agg(F.countDistinct("brand").alias("n_brands"))
-    return s.crossJoin(b)
+    return summaries.distinct_counts(p.state_map, p.meta)
 
 
 @register("week_row_counts", "Semana:i, n_rows:i",
           D.with_ctes([], "SELECT Semana, count(*) AS n_rows FROM processed GROUP BY Semana"))
 def q_week_row_counts(spark, sf):
-    return prepared(spark, sf).processed.groupBy("Semana").agg(F.count(F.lit(1)).alias("n_rows"))
+    return summaries.week_counts(prepared(spark, sf).processed)
 
 
 # --- file sources, store and streaming ingest ------------------------------
@@ -371,8 +369,7 @@ def q_backoff_features(spark, sf):
 @register("backoff_level_counts", "backoff_level:i, n:i",
           D.with_ctes(_bo_sql_ctes, "SELECT backoff_level, count(*) AS n FROM bo GROUP BY 1"))
 def q_backoff_level_counts(spark, sf):
-    return _backoff(spark, sf).groupBy("backoff_level").agg(F.count(F.lit(1)).alias("n")) \
-        .orderBy("backoff_level")
+    return summaries.level_frequencies(_backoff(spark, sf))
 
 
 _fm_ctes, _fm_body = D.feature_matrix_ctes(VAL_WEEK)
@@ -713,9 +710,7 @@ def _scores(spark, sf):
                                              f"AS u FROM scp")],
                       "SELECT avg(u) AS mean_units, median(u) AS median_units, max(u) AS max_units FROM sub"))
 def q_prediction_summary(spark, sf):
-    sub = _scores(spark, sf)
-    return sub.agg(F.avg(Y).alias("mean_units"), F.median(Y).alias("median_units"),
-                   F.max(Y).alias("max_units"))
+    return summaries.prediction_summary(_scores(spark, sf))
 
 
 # --- model (rows-only checks: boosting is not SQL-expressible) --------------

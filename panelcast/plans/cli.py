@@ -17,6 +17,7 @@ import json
 import sys
 
 from ..config import GBM_NUM_ROUNDS, VAL_WEEK
+from ..operators import summaries
 from ..session import build_session
 from ..sources import files
 from . import jobs
@@ -69,7 +70,8 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if args.cmd == "infer":
         sub = jobs.run_inference(spark, art, files.load_score_csv(spark, args.requests), args.out)
-        print(json.dumps({"rows": sub.count(), "out": args.out}))
+        summary = summaries.prediction_summary(sub).first().asDict()
+        print(json.dumps({"rows": sub.count(), "out": args.out, **summary}, default=float))
         return 0
     return 2
 
