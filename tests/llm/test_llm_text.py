@@ -397,3 +397,18 @@ def test_pipeline_stages_take_edge_rows(spark):
         out = stage(spark, docs, SF_SMALL)
         assert out.dtypes == docs.dtypes and 0 < out.count() <= docs.count()
         assert stage(spark, docs.limit(0), SF_SMALL).count() == 0
+
+
+def test_pipeline_drops_lines_repeated_in_a_source(spark):
+    """A line on 8 % of a source's documents goes; a chance repeat in a small
+    source and one on 3 % of a large one stay."""
+    import corpus_pipeline
+    text = lambda i: "\n".join([f"own {i}", *(["follow us"] if i % 25 < 2 else []), *(["by chance"] if i % 100 < 3 else []), f"end {i}"])
+    docs = [(i, text(i), "en", "large") for i in range(400)] + [(1000 + i, f"own {i}\nfour times", "en", "small") for i in range(4)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    got = dict(corpus_pipeline.STAGES)["line_dedup"](spark, df, SF_SMALL).collect()
+    want = [(i, t.replace("follow us\n", "")) for i, t, _, _ in docs]
+    assert same([(r.doc_id, r.text) for r in got], want) and sum("follow us" in d[1] for d in docs) == 32
+    pages = [(i, s, t) for i, t, _, s in docs]
+    found = line_dedup.brute_force(pages, corpus_pipeline.LINE_RATIO, corpus_pipeline.LINE_COPIES, 1)
+    assert same([(w[0], w[4]) for w in found], want)
