@@ -12,10 +12,13 @@ point) and one separator for every run of anything else. Whole texts are
 parsed, in segments of ``SEGMENT`` symbols so that many parse in step; every
 segment begins a phrase for all languages alike.
 
-The sample is bounded: ``DOCS`` documents per language (the smallest hash of
-each slot of ids), ``PIECE`` characters from the middle of each, for the
-``LANGUAGES`` most frequent labels at most. Automata are built on the driver
-from this sample and broadcast (a few MB).
+Every label that occurs is learned. The sample is bounded per language:
+``DOCS`` documents (the smallest hash of each slot of ids), ``PIECE``
+characters from the middle of each. Automata are built on the driver from this
+sample and broadcast in blocks of ``BLOCK`` languages (below 2 MB a language).
+A worker expands one block's transition tables at a time (up to about 25 MB a
+language) and carries the two smallest phrase counts from block to block, so
+memory does not grow with the number of languages; time does.
 
 Defined results: null text or text without a letter: ``und``, score 0; ties go
 to the smaller language name; with one learned language it always wins with
@@ -36,7 +39,7 @@ from pyspark.sql import functions as F
 
 DOCS = 64
 PIECE = 512
-LANGUAGES = 100
+BLOCK = 16               # languages whose tables a worker holds at once
 LETTERS = 64
 BUCKETS = 32
 SEGMENT = 256
@@ -145,61 +148,75 @@ def count_phrases(codes: np.ndarray, counts: np.ndarray, tables: list[np.ndarray
     return out
 
 
-def fit(docs: DataFrame, use: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict:
-    """Letters and automaton edges per language, from the rows where ``use``."""
+def fit(docs: DataFrame, use: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], Iterator[tuple[list[str], list[np.ndarray]]]]:
+    """Letters, and blocks of (names, automaton edges) in the order of names,
+    from the rows where ``use``."""
     key = F.xxhash64(F.col(id_col).cast("string"), F.lit(17))
-    labelled = docs.where(use & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    slots = labelled.groupBy(F.col(lang_col).alias("lang"), F.pmod(key, F.lit(DOCS)).alias("slot")).agg(
-        F.min(key).alias("key"), F.count(F.lit(1)).alias("n"))
-    common = slots.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    names = sorted(r["lang"] for r in common)
-    chosen = [r["key"] for r in slots.where(F.col("lang").isin(names)).select("key").collect()] if names else []
-    texts: dict[str, list[str]] = {n: [] for n in names}
-    if chosen:
-        middle = F.greatest(F.lit(1), F.floor(F.length(text_col) / 2).cast("int") - PIECE // 2)
-        piece = F.substr(F.col(text_col), middle, F.lit(PIECE))
-        rows = (labelled.where(key.isin(chosen) & F.col(lang_col).isin(names))
-                .groupBy(F.col(lang_col).alias("lang"), key.alias("key")).agg(F.min(piece).alias("piece")).collect())
-        for r in sorted(rows, key=lambda r: (r["lang"], r["key"])):
-            texts[r["lang"]].append(r["piece"])
+    middle = F.greatest(F.lit(1), F.floor(F.length(text_col) / 2).cast("int") - PIECE // 2)
+    labelled = docs.where(use & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(lang_col).alias("lang"), key.alias("key"), F.substr(F.col(text_col), middle, F.lit(PIECE)).alias("piece"))
+    slot = F.pmod(F.col("key"), F.lit(DOCS)).alias("slot")
+    chosen = labelled.groupBy("lang", slot).agg(F.min("key").alias("key")).drop("slot")      # at most DOCS rows a language
+    pieces = labelled.join(F.broadcast(chosen), ["lang", "key"]).groupBy("lang", "key").agg(F.min("piece").alias("piece"))
+    texts: dict[str, list[str]] = {}
+    for r in sorted(pieces.collect(), key=lambda r: (r["lang"], r["key"])):
+        texts.setdefault(r["lang"], []).append(r["piece"])
     seen = Counter(c for own in texts.values() for t in own for c in t.lower() if c.isalpha())
     letters = [c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:LETTERS]]
-    alphabet = Alphabet(letters)
-    model: dict = {"token": uuid.uuid4().hex, "letters": letters, "names": [], "edges": []}
-    for name in names:
-        codes, counts = alphabet.symbols(texts[name])
-        parts = np.split(codes, np.cumsum(counts)[:-1])
-        sequence = [c for p in parts for c in (*p.tolist(), 0)]
-        if len(codes):
-            model["names"].append(name)
-            model["edges"].append(Automaton(sequence).edges())
-    return model
+
+    def blocks():
+        alphabet, names, edges = Alphabet(letters), [], []
+        for name, own in texts.items():
+            codes, counts = alphabet.symbols(own)
+            if len(codes):
+                parts = np.split(codes, np.cumsum(counts)[:-1])
+                names.append(name)
+                edges.append(Automaton([c for p in parts for c in (*p.tolist(), 0)]).edges())
+            if len(names) == BLOCK:
+                yield names, edges
+                names, edges = [], []
+        if names:
+            yield names, edges
+    return letters, blocks()
 
 
 _TABLES: dict = {}
+_NONE = np.iinfo(np.int64).max
+
+
+def _block(token: str, at: int, shared) -> tuple[list[str], list[np.ndarray]]:
+    """Names and tables of a block; a worker keeps the last one only."""
+    if (token, at) not in _TABLES:
+        _TABLES.clear()
+        names, edges = shared.value
+        _TABLES[token, at] = names, [transition_table(e) for e in edges]
+        shared.__dict__.pop("_value", None)      # read again from its file when it is needed
+    return _TABLES[token, at]
 
 
-def _predict(shared, id_type: pa.DataType):
+def _predict(token: str, letters: list[str], shared: list, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        if model["token"] not in _TABLES:        # once per Python worker
-            _TABLES.clear()
-            _TABLES[model["token"]] = Alphabet(model["letters"]), [transition_table(e) for e in model["edges"]]
-        alphabet, tables = _TABLES[model["token"]]
-        names = model["names"]
+        alphabet = Alphabet(letters)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                codes, counts = alphabet.symbols([t or "" for t in part.column("text").to_pylist()])
+            parts = [batch.slice(at, 512) for at in range(0, batch.num_rows, 512)]
+            symbols = [alphabet.symbols([t or "" for t in p.column("text").to_pylist()]) for p in parts]
+            # phrases of the best and the second language so far, and the best one's name
+            two = [np.full((len(counts), 2), _NONE) for _, counts in symbols]
+            best = [np.full(len(counts), UNDETERMINED, dtype=object) for _, counts in symbols]
+            for at, block in enumerate(shared):
+                names, tables = _block(token, at, block)
+                for k, (codes, counts) in enumerate(symbols):
+                    phrases = np.hstack([two[k], count_phrases(codes, counts, tables)]) if len(codes) else two[k]
+                    rank = np.argsort(phrases, axis=1, kind="stable")[:, :2]      # ties stay with the smaller name
+                    two[k] = np.take_along_axis(phrases, rank, axis=1)
+                    new = rank[:, 0] >= 2
+                    best[k][new] = np.array(names, dtype=object)[rank[new, 0] - 2]
+            for part, (_, counts), own, name in zip(parts, symbols, two, best, strict=True):
                 lang, score, fewest = [UNDETERMINED] * len(counts), [0.0] * len(counts), [None] * len(counts)
-                if names:
-                    phrases = count_phrases(codes, counts, tables)
-                    for d in np.flatnonzero(counts):
-                        rank = np.argsort(phrases[d], kind="stable")
-                        best = int(phrases[d, rank[0]])
-                        lang[d], fewest[d] = names[rank[0]], best / int(counts[d])
-                        second = int(phrases[d, rank[1]]) if len(names) > 1 else None
-                        score[d] = 1.0 if second is None else second / (best + second)
+                for d in np.flatnonzero(counts) if shared else ():
+                    first, second = own[d].tolist()
+                    lang[d], fewest[d] = name[d], first / int(counts[d])
+                    score[d] = 1.0 if second == _NONE else second / (first + second)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("held_out"), pa.array(lang), pa.array(score, pa.float64()),
                      pa.array(fewest, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score", "phrases_per_symbol"])
@@ -210,9 +227,9 @@ def identify(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col
     """doc_id, held_out, lang_pred, score, phrases_per_symbol of every row;
     labels are read only from rows where ``held_out`` is false."""
     from pyspark.sql.pandas.types import to_arrow_type
-    model = fit(docs, ~held_out, id_col, text_col, lang_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    letters, blocks = fit(docs, ~held_out, id_col, text_col, lang_col)
+    shared = [docs.sparkSession.sparkContext.broadcast(b) for b in blocks]
     rows = docs.select(F.col(id_col).alias("doc_id"), held_out.alias("held_out"), F.col(text_col).alias("text"))
-    run = _predict(shared, to_arrow_type(rows.schema["doc_id"].dataType))
+    run = _predict(uuid.uuid4().hex, letters, shared, to_arrow_type(rows.schema["doc_id"].dataType))
     return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, held_out boolean, lang_pred string, score double, "
                                 "phrases_per_symbol double")

@@ -3,6 +3,7 @@
 import gzip
 import io
 import math
+import random
 from collections import defaultdict
 
 import duckdb
@@ -308,6 +309,24 @@ def test_language_identification(spark):
     assert language_id.identify(spark.createDataFrame([], DOCS), held).count() == 0
 
 
+def test_every_label_is_learned(spark, monkeypatch):
+    """130 languages, each with words of its own: all are found, in one block
+    of automata or in many."""
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+    names = [f"l{i:03d}" for i in range(130)]
+    words = {n: [word() for _ in range(12)] for n in names}
+    docs = [(4 * i + j, " ".join(rng.choices(words[n], k=20)), n) for i, n in enumerate(names) for j in range(4)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    results = []
+    for block in (16, 200):
+        monkeypatch.setattr(language_id, "BLOCK", block)
+        results.append(sorted(map(tuple, language_id.identify(df, F.col("doc_id") % 4 == 2).collect())))
+    assert results[0] == results[1]
+    lang = {i: n for i, _, n in docs}
+    assert all(r[2] == lang[r[0]] for r in results[0])
+
+
 def test_network_gradients_equal_differences():
     rng = np.random.default_rng(2)
     chunks = rng.integers(32, 127, (7, quality_cnn.SPAN))
