@@ -613,11 +613,12 @@ def q_ks_features(spark, sf):
 
 
 @register("ks_prediction_exact", "ks_statistic:d, p_value:d, drift_detected:b, reference_mean:d, "
-                                 "current_mean:d, reference_std:d, current_std:d", None)
+                                 "current_mean:d, reference_std:d, current_std:d, p_method:s", None)
 def q_ks_prediction_exact(spark, sf):
-    """D1 with the exact lattice-path p-value, an option for samples of up to
-    10,000 values (checked against enumeration in the tests); raises beyond."""
-    return drift.prediction_drift(_scored(spark, sf, "lag1"), _scored(spark, sf, "ma3"), method="exact")
+    """D1 with the exact lattice-path p-value for samples of up to 10,000
+    values (checked against enumeration in the tests), else the asymptotic one;
+    ``p_method`` names it."""
+    return drift.prediction_drift(_scored(spark, sf, "lag1"), _scored(spark, sf, "ma3"), method="exact_if_small")
 
 
 @register("bias_by_segment", "Agencia_ID:i, n:i, bias:d, overall_bias:d, high_bias:b",

@@ -229,8 +229,10 @@ def ks_from_counts(vc: DataFrame, value: str, groups: list[str] = (),
 
     Ties are handled exactly because both CDFs step at each distinct value
     together. ``method``: "asymp" (Kolmogorov series, the same at every
-    size) or "exact" (lattice-path probability, which raises for samples of
-    more than ``EXACT_MAX_N`` values).
+    size), "exact" (lattice-path probability, which raises for samples of
+    more than ``EXACT_MAX_N`` values) or "exact_if_small" (exact for groups of
+    at most ``EXACT_MAX_N`` values a sample, "asymp" for the others; the column
+    ``p_method`` says which).
     """
     groups = list(groups)
     cum = cumulative_sums(vc, value, ["r", "c"], groups, buckets)
@@ -245,6 +247,12 @@ def ks_from_counts(vc: DataFrame, value: str, groups: list[str] = (),
         p = kolmogorov_pvalue(d1, a, b)
     elif method == "exact":
         p = ks_exact_pvalue(d1, a, b)
+    elif method == "exact_if_small":
+        small = F.greatest(a, b) <= EXACT_MAX_N
+        # The function runs on all rows; without D it does no work.
+        p = F.when(small, ks_exact_pvalue(F.when(small, d1), a, b)).otherwise(kolmogorov_pvalue(d1, a, b))
+        used = F.when(small, F.lit("exact")).otherwise(F.lit("asymp"))
+        return d.select(*groups, "n_ref", "n_cur", "ks_statistic", p.alias("p_value"), used.alias("p_method"))
     else:
         raise ValueError(f"unknown method {method!r}")
     return d.select(*groups, "n_ref", "n_cur", "ks_statistic", p.alias("p_value"))

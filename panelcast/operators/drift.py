@@ -27,7 +27,8 @@ def prediction_drift(ref: DataFrame, cur: DataFrame, ref_col: str = "prediction"
                      cur_col: str | None = None, threshold: float = DRIFT_THRESHOLD,
                      method: str = "asymp") -> DataFrame:
     """One row: ks_statistic, p_value, drift_detected, reference/current
-    mean and population std. ``method`` as in ``cumulative.ks_from_counts``."""
+    mean and population std; p_method with "exact_if_small". ``method`` as in
+    ``cumulative.ks_from_counts``."""
     cur_col = cur_col or ref_col
     vc = side_counts(_tagged(ref, ref_col, cur, cur_col), "value", "is_ref")
     ks = ks_from_counts(vc, "value", method=method)
@@ -36,7 +37,8 @@ def prediction_drift(ref: DataFrame, cur: DataFrame, ref_col: str = "prediction"
         F.col("ref_std").alias("reference_std"), F.col("cur_std").alias("current_std"))
     return ks.crossJoin(mom).select(
         "ks_statistic", "p_value", (F.col("p_value") < threshold).alias("drift_detected"),
-        "reference_mean", "current_mean", "reference_std", "current_std")
+        "reference_mean", "current_mean", "reference_std", "current_std",
+        *(["p_method"] if "p_method" in ks.columns else []))
 
 
 def _long(df: DataFrame, cols: list[str], is_ref: bool) -> DataFrame:

@@ -207,3 +207,15 @@ def test_exact_ks_through_spark(spark):
     d = _ks_d(np.array(a), np.array(b))
     assert out.ks_statistic == pytest.approx(d)
     assert out.p_value == pytest.approx(_brute_ks_p(round(d * 5 * 7), 5, 7))
+
+
+def test_exact_if_small_names_its_method_and_never_raises(spark):
+    """Small samples get the exact p-value, larger ones the asymptotic one."""
+    for n in (40, cumulative.EXACT_MAX_N + 1):
+        ref = spark.range(n).select(F.col("id").cast("double").alias("prediction"))
+        cur = ref.select((F.col("prediction") + n // 10).alias("prediction"))
+        method = "exact" if n == 40 else "asymp"
+        got = drift.prediction_drift(ref, cur, method="exact_if_small").first()
+        want = drift.prediction_drift(ref, cur, method=method).first()
+        assert got.p_method == method
+        assert (got.ks_statistic, got.p_value, got.drift_detected) == (want.ks_statistic, want.p_value, want.drift_detected)
