@@ -716,7 +716,6 @@ def q_prediction_summary(spark, sf):
 
 # --- model (rows-only checks: boosting is not SQL-expressible) --------------
 
-GBM_ROUNDS = 10          # a short run; the default 1500 rounds + early stopping is for clusters
 _MODELS: dict = {}
 
 
@@ -729,7 +728,7 @@ def _trained(spark, sf):
         hist, inputs = stored(spark, sf)
         fm = pipeline.build_features_multi(hist, hist, MULTI_WEEKS, **inputs).checkpoint()
         train, val = fm.where(F.col("Semana") < VAL_WEEK), fm.where(F.col("Semana") == VAL_WEEK)
-        model = boosting.train_interval_model(train, val, C.FEATURE_COLS, Y, num_rounds=GBM_ROUNDS)
+        model = boosting.train_interval_model(train, val, C.FEATURE_COLS, Y)
         _MODELS[key] = (model, val)
     return _MODELS[key]
 
