@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import (chat, language_id, line_dedup, ngram_join, outliers, packing, quality_cnn,
-                           substring_dedup, warc, winnowing)
+from panelcast.llm import (byte_bpe, chat, language_id, line_dedup, ngram_join, outliers, packing, periodic_runs,
+                           quality_cnn, signature_search, substring_dedup, warc, winnowing)
 from panelcast.llm.oracles import SQL as SQL
 
 
@@ -65,6 +65,21 @@ def op10_cross_parsing_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"), held_out=language_id.remainder("doc_id", 4) == 2)
 
 
+def op11_signature_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(periodic_runs.runs(table(spark, sf_dir, "documents"), plant=True))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return byte_bpe.digest(byte_bpe.decode(encoded, ranks))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -74,5 +89,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_mcd_outliers, op2_perspective_rotation, op3_warc_round_trip, op4_substring_dedup,
         op5_winnowing_decontamination, op6_byte_cnn_quality, op7_site_line_dedup, op8_ngram_trie_join,
-        op9_hierarchical_packing, op10_cross_parsing_langid, pipeline)
+        op9_hierarchical_packing, op10_cross_parsing_langid, op11_signature_search, op12_periodic_runs,
+        op13_byte_bpe, pipeline)
 }
