@@ -55,37 +55,6 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-class RankQueue:
-    """Positions by rank; ``pop`` gives the smallest rank that has any."""
-
-    def __init__(self, shift: int):
-        self.shift, self.low = shift, (1 << shift) - 1
-        self.top = 0                              # upper words that are not empty
-        self.words: dict[int, int] = {}           # upper number -> bitmap of ranks
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, positions: list[int]) -> None:
-        own = self.buckets.get(rank)
-        if own is None:
-            self.buckets[rank] = positions
-            upper = rank >> self.shift
-            self.top |= 1 << upper
-            self.words[upper] = self.words.get(upper, 0) | 1 << (rank & self.low)
-        else:
-            own += positions
-
-    def pop(self) -> tuple[int, list[int]]:
-        upper = (self.top & -self.top).bit_length() - 1
-        word = self.words[upper]
-        first = word & -word
-        word ^= first
-        self.words[upper] = word
-        if not word:
-            self.top ^= 1 << upper
-        rank = upper << self.shift | first.bit_length() - 1
-        return rank, self.buckets.pop(rank)
-
-
 class _Remembered:
     """Values by string; of the older generation only what is used again stays."""
 
@@ -118,6 +87,7 @@ class Codec:
         import regex
         self.ranks, self.blanks = ranks, blanks
         self.shift = (max(ranks.values(), default=0).bit_length() + 1) // 2
+        self.uppers = (max(ranks.values(), default=0) >> self.shift) + 1
         self.tokens = {r: t for t, r in ranks.items()}
         self.pattern = regex.compile(pattern)
         spans = (x.partition("-") for x in LATER.split())
@@ -127,50 +97,74 @@ class Codec:
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one pre-token."""
-        rank_of = self.ranks.get
+        rank_of, shift = self.ranks.get, self.shift
         if (whole := rank_of(data)) is not None:
             return [whole]
-        n = len(data)
-        numbers = list if n < 4096 else lambda x: array("i", x)
-        after, before = numbers(range(1, n + 1)), numbers(range(-1, n - 1))
-        pair = numbers([-1]) * n                       # rank of the pair that begins here, -1: none
-        first: dict[int, list[int]] = {}
-        for i in range(n - 1):
-            if (r := rank_of(data[i:i + 2])) is not None:
-                pair[i] = r
-                first.setdefault(r, []).append(i)
-        queue = RankQueue(self.shift)
-        for r, own in first.items():
-            queue.push(r, own)
-        while queue.top:
-            rank, bucket = queue.pop()
-            bucket.sort()
+        n, low = len(data), (1 << shift) - 1
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        pair = [rank_of(data[i:i + 2]) for i in range(n - 1)]      # rank of the pair that begins here
+        pair.append(None)
+        # the queue: positions by rank, ranks' bits by upper half, bits of upper halves
+        buckets: dict[int, list[int]] = {}
+        bits = [0] * self.uppers
+        uppers = 0
+        for i, r in enumerate(pair):
+            if r is not None:
+                if r in buckets:
+                    buckets[r].append(i)
+                else:
+                    buckets[r] = [i]
+                    uppers |= 1 << (r >> shift)
+                    bits[r >> shift] |= 1 << (r & low)
+        while uppers:
+            upper = (uppers & -uppers).bit_length() - 1            # find first set, twice
+            word = bits[upper]
+            first = word & -word
+            rank = upper << shift | first.bit_length() - 1
+            bits[upper] = word = word ^ first
+            if not word:
+                uppers ^= 1 << upper
+            bucket = buckets.pop(rank)
+            if len(bucket) > 1:
+                bucket.sort()
             for k, i in enumerate(bucket):
                 if pair[i] != rank:
-                    continue                           # stale
+                    continue                                       # stale
                 gone = after[i]
-                end = after[gone]
-                pair[gone] = -1
-                after[i] = end
+                after[i] = end = after[gone]
+                pair[gone] = None
                 least = rank
-                right = None
-                if end < n:
-                    before[end] = i
-                    right = rank_of(data[i:after[end]])
-                pair[i] = -1 if right is None else right
-                if right is not None:
-                    queue.push(right, [i])
-                    least = min(least, right)
                 p = before[i]
                 if p >= 0:
-                    left = rank_of(data[p:end])
-                    pair[p] = -1 if left is None else left
-                    if left is not None:
-                        queue.push(left, [p])
-                        least = min(least, left)
-                if least < rank:                       # a smaller rank comes first
+                    pair[p] = r = rank_of(data[p:end])
+                    if r is not None:
+                        if r < least:
+                            least = r
+                        if r in buckets:
+                            buckets[r].append(p)
+                        else:
+                            buckets[r] = [p]
+                            uppers |= 1 << (r >> shift)
+                            bits[r >> shift] |= 1 << (r & low)
+                if end < n:
+                    before[end] = i
+                    pair[i] = r = rank_of(data[i:after[end]])
+                    if r is not None:
+                        if r < least:
+                            least = r
+                        if r in buckets:
+                            buckets[r].append(i)
+                        else:
+                            buckets[r] = [i]
+                            uppers |= 1 << (r >> shift)
+                            bits[r >> shift] |= 1 << (r & low)
+                else:
+                    pair[i] = None
+                if least < rank:                                   # a smaller rank comes first
                     if rest := bucket[k + 1:]:
-                        queue.push(rank, rest)
+                        buckets[rank] = rest
+                        uppers |= 1 << upper
+                        bits[upper] |= 1 << (rank & low)
                     break
         out, i = [], 0
         while i < n:
@@ -188,7 +182,8 @@ class Codec:
         if not self.blanks or self._odd_blank.search(text):
             return self._pieces(text)
         head, *rest = text.split(" ")
-        return self._pieces(head) + b"".join(map(self.after_blank, rest))
+        known, make = self.after_blank.young.get, self.after_blank
+        return self._pieces(head) + b"".join([known(part) or make(part) for part in rest])
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))

@@ -175,16 +175,31 @@ def encoder():
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.load_ranks(RANKS), special_tokens={})
 
 
-def test_queue_gives_ranks_in_order():
-    rng, queue, want = random.Random(1), byte_bpe.RankQueue(8), {}
-    for i in range(2_000):
-        r = rng.randrange(50_256)
-        queue.push(r, [i])
-        want.setdefault(r, []).append(i)
-    got = []
-    while queue.top:
-        got.append(queue.pop())
-    assert got == sorted(want.items())
+def plain_merge(ranks, data):
+    """Smallest rank first, leftmost first, by a scan for every merge."""
+    parts = [data[i:i + 1] for i in range(len(data))]
+    while True:
+        found = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]
+        if not found:
+            return [ranks[p] for p in parts]
+        _, i = min(found)
+        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+
+
+def test_merges_of_any_ranks_equal_a_plain_scan():
+    """Vocabularies that no training would make: a merge may free a smaller rank."""
+    rng = random.Random(1)
+    for _ in range(300):
+        tokens = {bytes([b]) for b in b"abc"}
+        while len(tokens) < 30:
+            tokens.add(bytes(rng.choice(b"abc") for _ in range(rng.randrange(2, 6))))
+        order = sorted(tokens)
+        rng.shuffle(order)
+        ranks = {t: i * 37 for i, t in enumerate(order)}
+        codec = byte_bpe.Codec(ranks, r"\S+|\s+")
+        for _ in range(10):
+            data = bytes(rng.choice(b"abc") for _ in range(rng.randrange(1, 60)))
+            assert codec.merge(data) == ([ranks[data]] if data in ranks else plain_merge(ranks, data))
 
 
 def test_ids_equal_the_library(encoder):
