@@ -23,6 +23,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from importlib.util import find_spec
 
 _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
@@ -719,18 +720,23 @@ def q_prediction_summary(spark, sf):
 _MODELS: dict = {}
 
 
-def _trained(spark, sf):
-    """Features for weeks 4..9 (A7), Tweedie model with early stopping on
-    week 9 and the two quantile models; memoised per session and fixture."""
+def _trained(spark, sf, quantiles: bool = False):
+    """Features for weeks 4..9 (A7), the Tweedie model with early stopping on
+    week 9 and, when asked for, the two quantile models; memoised per session
+    and fixture, so each is trained once."""
     from panelcast.operators import boosting
     key = (spark.sparkContext.applicationId, sf)
     if key not in _MODELS:
         hist, inputs = stored(spark, sf)
         fm = pipeline.build_features_multi(hist, hist, MULTI_WEEKS, **inputs).checkpoint()
         train, val = fm.where(F.col("Semana") < VAL_WEEK), fm.where(F.col("Semana") == VAL_WEEK)
-        model = boosting.train_interval_model(train, val, C.FEATURE_COLS, Y)
-        _MODELS[key] = (model, val)
-    return _MODELS[key]
+        learner = boosting.BoostingRegressor(C.FEATURE_COLS, Y)
+        blocks = learner.bins(train, val)
+        _MODELS[key] = [boosting.IntervalModel(learner.fit_blocks(blocks, True)), val, blocks]
+    model, val, blocks = _MODELS[key]
+    if quantiles and model.lower is None:
+        model.lower, model.upper = boosting.quantile_models(blocks, model.main, C.FEATURE_COLS, Y)
+    return model, val
 
 
 @register("gbm_metrics", "model:s, " + METRIC_SHAPE, None)
@@ -743,7 +749,7 @@ def q_gbm_metrics(spark, sf):
 
 @register("gbm_interval_scores", "id:i, prediction:d, lower:d, upper:d, Demanda_uni_equil:i", None)
 def q_gbm_interval_scores(spark, sf):
-    model, _ = _trained(spark, sf)
+    model, _ = _trained(spark, sf, quantiles=True)
     hist, inputs = stored(spark, sf)
     valid, _ = scoring.split_requests(view(spark, sf, "score_rows"))
     feats = pipeline.build_features_multi(valid, hist, [10], include_target=False, keep=("id",),
@@ -753,7 +759,7 @@ def q_gbm_interval_scores(spark, sf):
                          scoring.round_units(F.col("prediction")).alias(Y))
 
 
-@register("feature_importance", "feature:s, importance:d", None)
+@register("feature_importance", "position:i, feature:s, importance:d", None)
 def q_feature_importance(spark, sf):
     model, _ = _trained(spark, sf)
     return model.main.importance_frame(spark, C.TOP_FEATURES)
@@ -766,6 +772,90 @@ def q_shap_importance(spark, sf):
     return attribution.mean_abs_attribution(model.main, val)
 
 
+# --- trees small enough for SQL: same bins, same sums, same order of growth ---------
+
+#: feature -> upper bin edges; features in the order of their ties
+_TREE_BINS = {"lag_1": [0, 4, 8, 15, 22, 30, 40], "product_mean": [20, 23, 24, 25, 25.5, 26, 27, 30],
+              "client_count": [5, 20, 30, 40, 50], "backoff_estimate": [5, 10, 20, 25, 30, 40], "target_semana": [9]}
+_L1, _L2, _LEAST_ROWS = C.GBM_PARAMS["lambda_l1"], C.GBM_PARAMS["lambda_l2"], C.GBM_PARAMS["min_child_samples"]
+
+
+def _small_tree(spark, sf, objective: str, leaves: int, **kw):
+    """One round on the feature matrix, without bagging or feature sampling."""
+    from panelcast.operators import boosting
+    fm = q_feature_matrix(spark, sf)
+    params = {"bagging_freq": 0, "feature_fraction": 1.0, "num_leaves": leaves}
+    return boosting.BoostingRegressor(list(_TREE_BINS), Y, objective, num_rounds=1, params=params,
+                                      edges=list(_TREE_BINS.values()), **kw).fit(fm)
+
+
+def _best_split_sql(src: str) -> str:
+    """Best split of each ``side`` of ``src`` (columns side, g, h and features)."""
+    score = lambda g, h: f"power(greatest(abs({g}) - {_L1}, 0), 2) / ({h} + {_L2})"
+    cases = " UNION ALL ".join(
+        f"SELECT side, {i} AS f, '{c}' AS feature, edge, sum(g) FILTER (WHERE {c} <= edge) AS gl, sum(h) FILTER (WHERE {c} <= edge) AS hl, "
+        f"count(*) FILTER (WHERE {c} <= edge) AS nl, sum(g) AS g, sum(h) AS h, count(*) AS n "
+        f"FROM {src}, (SELECT unnest({[float(e) for e in edges]}) AS edge) GROUP BY side, edge" for i, (c, edges) in enumerate(_TREE_BINS.items()))
+    return (f"SELECT * FROM (SELECT *, {score('gl', 'hl')} + {score('(g - gl)', '(h - hl)')} - {score('g', 'h')} AS gain FROM ({cases}) "
+            f"WHERE nl >= {_LEAST_ROWS} AND n - nl >= {_LEAST_ROWS}) WHERE gain > 1e-12 "
+            "QUALIFY row_number() OVER (PARTITION BY side ORDER BY gain DESC, f, edge) = 1")
+
+
+_goes_low = "CASE r.feature " + " ".join(f"WHEN '{c}' THEN w.{c}" for c in _TREE_BINS) + " END <= r.edge"
+_tweedie_ctes = [*_fm_ctes, ("fm", _fm_body), ("b", f"SELECT ln(avg({Y})) AS b FROM fm"),
+                 ("w", f"SELECT 'root' AS side, {Y} * exp(-0.5 * b) - exp(0.5 * b) AS g, 0.5 * {Y} * exp(-0.5 * b) + 0.5 * exp(0.5 * b) AS h, "
+                       + ", ".join(_TREE_BINS) + " FROM fm, b"),
+                 ("r", _best_split_sql("w")),
+                 ("w2", f"SELECT CASE WHEN {_goes_low} THEN 'low' ELSE 'high' END AS side, w.* EXCLUDE (side) FROM w, r"),
+                 ("r2", _best_split_sql("w2")),
+                 ("nodes", "SELECT * FROM r UNION ALL SELECT * FROM r2")]
+_leaf_sql = lambda g, h: f"sign({g}) * greatest(abs({g}) - {_L1}, 0) / ({h} + {_L2})"
+
+
+@register("gbm_tree", "node:s, feature:s, threshold:d, gain:d, n:i, low_n:i, low_value:d, high_value:d",
+          D.with_ctes(_tweedie_ctes, f"SELECT side AS node, feature, edge AS threshold, gain, n, nl AS low_n, "
+                                     f"CASE WHEN side <> 'root' THEN {_leaf_sql('gl', 'hl')} END AS low_value, "
+                                     f"CASE WHEN side <> 'root' THEN {_leaf_sql('(g - gl)', '(h - hl)')} END AS high_value FROM nodes"))
+def q_gbm_tree(spark, sf):
+    """M3: splits, gains and Newton leaves of a two-level Tweedie tree."""
+    nodes = _small_tree(spark, sf, "tweedie", 4, max_depth=2).nodes_frame(spark)
+    inner, low, high = (nodes.alias(a) for a in ("t", "l", "h"))
+    value = lambda side: F.when(F.col(f"{side}.feature").isNull(), F.col(f"{side}.value"))
+    side = F.when(F.col("t.node") == 0, "root").when(F.col("t.path") == "0", "low").otherwise("high")
+    return (inner.where("feature IS NOT NULL").join(low, F.col("t.low") == F.col("l.node")).join(high, F.col("t.high") == F.col("h.node"))
+            .select(side.alias("node"), "t.feature", "t.threshold", "t.gain", F.col("t.n").cast("long"), F.col("l.n").cast("long").alias("low_n"),
+                    F.when(side != "root", value("l")).alias("low_value"), F.when(side != "root", value("h")).alias("high_value")))
+
+
+@register("gbm_gain", "position:i, feature:s, importance:d",
+          D.with_ctes(_tweedie_ctes, "SELECT row_number() OVER (ORDER BY importance DESC, feature) AS position, feature, importance FROM ("
+                                     "SELECT f.feature, coalesce(sum(gain), 0) AS importance FROM (SELECT unnest("
+                                     f"{list(_TREE_BINS)}) AS feature) f LEFT JOIN nodes ON nodes.feature = f.feature GROUP BY f.feature)"))
+def q_gbm_gain(spark, sf):
+    """Gain of the boosting objective by feature, ranked."""
+    return _small_tree(spark, sf, "tweedie", 4, max_depth=2).importance_frame(spark, C.TOP_FEATURES)
+
+
+_alpha = C.QUANTILE_ALPHAS[1]
+
+
+@register("gbm_leaf_quantiles", "base:d, side:s, feature:s, threshold:d, n:i, value:d",
+          D.with_ctes([*_fm_ctes, ("fm", _fm_body), ("b", f"SELECT quantile_cont(CAST({Y} AS DOUBLE), {_alpha}) AS b FROM fm"),
+                       ("w", f"SELECT 'root' AS side, {Y} - b AS residual, CASE WHEN {Y} >= b THEN {_alpha} ELSE {_alpha} - 1 END AS g, 1.0 AS h, "
+                             + ", ".join(_TREE_BINS) + " FROM fm, b"),
+                       ("r", _best_split_sql("w"))],
+                      f"SELECT any_value(b) AS base, CASE WHEN {_goes_low} THEN 'low' ELSE 'high' END AS side, any_value(r.feature) AS feature, "
+                      f"any_value(r.edge) AS threshold, count(*) AS n, quantile_cont(residual, {_alpha}) AS value FROM w, r, b GROUP BY 2"))
+def q_gbm_leaf_quantiles(spark, sf):
+    """M5: both leaves of a stump hold the exact quantile of their residuals."""
+    model = _small_tree(spark, sf, "quantile", 2, alpha=_alpha)
+    nodes = model.nodes_frame(spark)
+    root = nodes.where("feature IS NOT NULL").select("feature", "threshold")
+    return nodes.where("feature IS NULL").crossJoin(root.alias("r")).select(
+        F.lit(model.base_score).alias("base"), F.when(F.col("path") == "0", "low").otherwise("high").alias("side"), "r.feature", "r.threshold",
+        F.col("n").cast("long"), "value")
+
+
 _SAMPLE_KEYS = [*C.ID_COLS, Y]
 
 
@@ -910,6 +1000,127 @@ def q_ensemble_attribution(spark, sf):
     return attribution.mean_abs_attribution(_ensemble("tweedie", _BASE), q_feature_matrix(spark, sf))
 
 
+#: A tree of three levels: (feature, threshold, low, high), leaves (value, training rows)
+_DEEP = ("lag_1", 12.0,
+         ("product_mean", 25.0, ("lag_1", 4.0, (-0.7, 30.0), (0.2, 25.0)), ("client_count", 30.0, (0.4, 11.0), (-0.1, 9.0))),
+         ("client_count", 25.0, ("product_mean", 26.0, (0.9, 14.0), (-0.4, 6.0)), ("lag_1", 33.0, (1.3, 7.0), (0.6, 18.0))))
+
+
+def _deep_cover(t) -> float:
+    return t[1] if len(t) == 2 else _deep_cover(t[2]) + _deep_cover(t[3])
+
+
+def _deep_model():
+    from panelcast.operators.boosting import BoostedTrees, Tree
+    cols = sorted({"lag_1", "product_mean", "client_count"})
+    tree = Tree([], [], [], [], [], [], [])
+
+    def add(t) -> int:
+        own = len(tree.feature)
+        leaf = len(t) == 2
+        for values, v in ((tree.feature, -1 if leaf else cols.index(t[0])), (tree.threshold, 0.0 if leaf else t[1]), (tree.left, -1),
+                          (tree.right, -1), (tree.value, t[0] if leaf else 0.0), (tree.gain, 0.0), (tree.cover, _deep_cover(t))):
+            values.append(v)
+        if not leaf:
+            tree.left[own], tree.right[own] = add(t[2]), add(t[3])
+        return own
+    add(_DEEP)
+    return BoostedTrees(cols, "tweedie", _BASE, _RATE, [tree], best_iteration=1)
+
+
+def _deep_sql(t, known: frozenset) -> str:
+    """Expected leaf value when the features in ``known`` are given."""
+    if len(t) == 2:
+        return str(t[0])
+    low, high = _deep_sql(t[2], known), _deep_sql(t[3], known)
+    if t[0] in known:
+        return f"CASE WHEN {t[0]} <= {t[1]} THEN {low} ELSE {high} END"
+    share = _deep_cover(t[2]) / _deep_cover(t)
+    return f"({share!r} * {low} + {1 - share!r} * {high})"
+
+
+def _shapley_sql() -> str:
+    from itertools import combinations
+    from math import factorial
+    cols, out = sorted({"lag_1", "product_mean", "client_count"}), []
+    for c in cols:
+        rest = [x for x in cols if x != c]
+        terms = [f"{factorial(len(s)) * factorial(len(rest) - len(s)) / factorial(len(cols))!r} * "
+                 f"({_deep_sql(_DEEP, frozenset((*s, c)))} - {_deep_sql(_DEEP, frozenset(s))})"
+                 for k in range(len(cols)) for s in combinations(rest, k)]
+        out.append(f"{_RATE} * ({' + '.join(terms)}) AS phi_{c}")
+    return ", ".join(out) + f", {_BASE} + {_RATE} * {_deep_sql(_DEEP, frozenset())} AS expected_value"
+
+
+_ROW_KEYS = "Cliente_ID:i, Producto_ID:i, Ruta_SAK:i, Agencia_ID:i"
+
+
+@register("row_attribution", _ROW_KEYS + ", phi_client_count:d, phi_lag_1:d, phi_product_mean:d, expected_value:d",
+          D.with_ctes(_fm_ctes, f"SELECT Cliente_ID, Producto_ID, Ruta_SAK, Agencia_ID, {_shapley_sql()} FROM ({_fm_body}) f"))
+def q_row_attribution(spark, sf):
+    """M9 per row, on a tree of three levels that asks for features twice; the
+    SQL side adds up all subsets of features."""
+    from panelcast.operators import attribution
+    return attribution.attribute(_deep_model(), q_feature_matrix(spark, sf), ["Cliente_ID", "Producto_ID", "Ruta_SAK", "Agencia_ID"])
+
+
+#: Full trees of seven levels, by rule: node i of tree k, children 2i + 1 and 2i + 2.
+_FULL_COLS = ["backoff_estimate", "client_count", "client_mean", "lag_1", "product_mean", "rolling_mean_3", "route_product_mean"]
+_FULL_TREES, _FULL_DEPTH = 3, 7
+
+
+def _full_split(k: int, i: int) -> tuple[int, float]:
+    return (5 * i + 3 * k + i // 7) % len(_FULL_COLS), float((37 * i + 11 * k) % 45) + 0.5
+
+
+def _full_value(k: int, i: int) -> float:
+    return ((13 * i + 5 * k) % 21 - 10) / 16
+
+
+def _full_model(objective: str):
+    from panelcast.operators.boosting import BoostedTrees, Tree
+    inner, trees = 2 ** _FULL_DEPTH - 1, []
+    for k in range(_FULL_TREES):
+        every = range(2 * inner + 1)
+        trees.append(Tree(feature=[_full_split(k, i)[0] if i < inner else -1 for i in every], threshold=[_full_split(k, i)[1] for i in every],
+                          left=[2 * i + 1 if i < inner else -1 for i in every], right=[2 * i + 2 if i < inner else -1 for i in every],
+                          value=[_full_value(k, i) if i >= inner else 0.0 for i in every], gain=[0.0 for _ in every],
+                          cover=[float(2 ** (_FULL_DEPTH + 1)) / (i + 1) for i in every]))
+    return BoostedTrees(_FULL_COLS, objective, _BASE, _RATE, trees, best_iteration=_FULL_TREES)
+
+
+def _full_sql() -> str:
+    def case(k: int, i: int) -> str:
+        if i >= 2 ** _FULL_DEPTH - 1:
+            return str(_full_value(k, i))
+        f, t = _full_split(k, i)
+        return f"CASE WHEN {_FULL_COLS[f]} <= {t} THEN {case(k, 2 * i + 1)} ELSE {case(k, 2 * i + 2)} END"
+    return f"({_BASE} + {_RATE} * (" + " + ".join(case(k, 0) for k in range(_FULL_TREES)) + "))"
+
+
+@register("deep_ensemble_scores", _ROW_KEYS + ", prediction:d, lower:d, upper:d",
+          D.with_ctes(_fm_ctes, "SELECT Cliente_ID, Producto_ID, Ruta_SAK, Agencia_ID, exp(m) AS prediction, greatest(m, 0.0) AS lower, "
+                                f"greatest(m, 0.0) AS upper FROM (SELECT *, {_full_sql()} AS m FROM ({_fm_body}) f)"))
+def q_deep_ensemble_scores(spark, sf):
+    """M6, M7: trees of seven levels on the compiled arrays."""
+    from panelcast.operators.boosting import IntervalModel
+    return IntervalModel(_full_model("tweedie"), _full_model("quantile"), _full_model("quantile")).transform(q_feature_matrix(spark, sf))
+
+
+_P12 = ["Venta_uni_hoy", "Venta_hoy", "Dev_uni_proxima", "Dev_proxima", "weight_g", "pieces", "has_promo", "State_encoded"]
+
+
+@register("numeric_columns", "feature:s, n:i, total:d",
+          D.with_ctes([], " UNION ALL ".join(f"SELECT '{c}' AS feature, count({c}) AS n, sum(CAST({c} AS DOUBLE)) AS total FROM processed" for c in _P12)))
+def q_numeric_columns(spark, sf):
+    """Every numeric column of the store that is neither id nor target."""
+    hist, _ = stored(spark, sf)
+    cols = pipeline.numeric_feature_columns(hist)
+    sums = hist.agg(*[F.count(c).alias(f"n_{c}") for c in cols], *[F.sum(F.col(c).cast("double")).alias(f"t_{c}") for c in cols])
+    rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"n_{c}").alias("n"), F.col(f"t_{c}").alias("total")) for c in cols])
+    return sums.select(F.explode(rows).alias("r")).select("r.*")
+
+
 # --- driver contract ---------------------------------------------------------
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -920,11 +1131,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _llm():
-    """The training-data queries, if their subpackage is there."""
-    try:
-        from panelcast.llm import queries as llm
-    except ImportError:
+    """The training-data queries, if their subpackage is there (a module that
+    it lacks raises as usual)."""
+    if find_spec("panelcast.llm") is None:
         return {}, {}
+    from panelcast.llm import queries as llm
     return llm.QUERIES, llm.SQL
 
 

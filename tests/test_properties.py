@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 
 from panelcast import config as C
 from panelcast.operators import aggregates, lags
-from test_features import _pandas_lags
+from test_features import expected_lags
 
 ROW = st.tuples(st.integers(3, 9), st.integers(1, 4), st.integers(1, 3), st.integers(0, 20))
 
@@ -30,14 +30,11 @@ def _frame(spark, rows):
 def test_lag_features_property(spark, rows, s):
     pdf, df = _frame(spark, rows)
     got = lags.lag_features(df, s).toPandas()
-    want = _pandas_lags(pdf, s)
-    assert len(got) == len(want)
-    if len(want):
-        key = ["Cliente_ID", "Producto_ID"]
-        cols = key + C.LAG_COLS + C.ROLLING_COLS
-        g = got.sort_values(key)[cols].to_numpy(float)
-        w = want.sort_values(key)[cols].to_numpy(float)
-        np.testing.assert_allclose(g, w, rtol=1e-9, atol=1e-9, equal_nan=True)
+    want = expected_lags([(w, c % 2, 1, p % 2, c, p, d) for w, c, p, d in rows], s)
+    assert set(zip(got.Cliente_ID, got.Producto_ID, strict=True)) == set(want)
+    for r in got.to_dict("records"):
+        for name, value in want[r["Cliente_ID"], r["Producto_ID"]].items():
+            assert np.isnan(r[name]) if value is None else r[name] == pytest.approx(value, abs=1e-9), name
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
