@@ -19,6 +19,7 @@ packed one by one; other columns are ignored; no rows, no sequences.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from bisect import bisect_left, bisect_right, insort
@@ -33,7 +34,7 @@ TIERS = (2048, 1024, 512, 256)
 STEP = 32_768            # tokens of one step group
 POOL = 4_096             # pieces that wait for a window before a round of packing
 END_ID = 1
-CACHE = 800_000          # distinct words whose ids a Python worker remembers
+CACHE = 300_000          # distinct words of one generation (two are kept) whose ids a Python worker remembers
 
 SCHEMA = ("doc_id {id}, start long, length long, ids binary, doc_tokens long, sequence_id long, "
           "offset long, sequence_tokens long, step_group long")
@@ -45,37 +46,73 @@ class WordTokenizer:
 
     Byte-level BPE starts a new piece at every blank or line end that a
     visible character follows, so a text is the concatenation of its words,
-    each with the blank or line end before it. Unknown words
-    are encoded together, a line end before each telling them apart. Texts
-    with other white space, or white space in a row or at the end (but for
-    one empty line, or a last line end), are encoded as they are.
+    each with the blank or line end before it; a mark after the letters of a
+    word is a piece as well. Unknown words are encoded laid end to end; the
+    bytes of each id tell where one ends. Texts with other white space, or
+    white space in a row or at the end (but for one empty line, or a last line
+    end), or with the string of an added token, are encoded as they are, and
+    so is every text if the file's tokenizer does not cut in this way.
     """
 
     _other = re.compile(r"[^\S \n]")
+    _marked = re.compile("(\n?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?])")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True      # their strings are ordinary text
-        self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
-        self.words = self._empty()
-
-    def _empty(self) -> dict[str, bytes]:
-        return {"\n": np.array([self.line_end], dtype="<u4").tobytes()}
+        about = json.loads(self.tokenizer.to_str())
+        cut = about["pre_tokenizer"] or {}
+        self.by_word = (about["normalizer"] is None and about["model"]["type"] == "BPE" and cut.get("type") == "ByteLevel"
+                        and not cut["add_prefix_space"] and cut.get("use_regex", True))
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        vocabulary = self.tokenizer.get_vocab()          # one character of a token is one byte
+        self.n_bytes = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)
+        self.n_bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        self.words: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}                  # words of the generation before
+        if self.by_word:
+            self.line_end = self._whole(["\n"])[0]
+            self.marks = {m: self._whole([m])[0] for m in ".,;:!?"}
 
     def _regular(self, text: str) -> bool:
         return not ("  " in text or " \n" in text or "\n " in text or "\n\n\n" in text
-                    or text.endswith((" ", "\n\n")) or self._other.search(text))
-
-    def _learn(self, words: list[str]) -> None:
-        texts = ["".join([w if w[0] == "\n" else "\n " + w for w in words[i:i + 256]]) for i in range(0, len(words), 256)]
-        ids = self._whole(texts)
-        for i, data in enumerate(ids):
-            own = np.frombuffer(data, dtype="<u4")
-            cut = np.flatnonzero(own == self.line_end).tolist() + [len(own)]
-            for w, x, y in zip(words[256 * i:], cut, cut[1:], strict=False):
-                self.words[w] = data[4 * x if w[0] == "\n" else 4 * x + 4:4 * y]
+                    or text.endswith((" ", "\n\n")) or self._other.search(text) or (self.added and self.added.search(text)))
+
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        """Ids of words (with the white space before them), laid end to end."""
+        if not words:
+            return []
+        data = b"".join(self._whole(["".join(words[at:at + 64]) for at in range(0, len(words), 64)]))
+        ends = np.cumsum(self.n_bytes[np.frombuffer(data, dtype="<u4")])
+        sizes = [len(w) if w.isascii() else len(w.encode()) for w in words]
+        cuts = (4 * (np.searchsorted(ends, np.cumsum(sizes)) + 1)).tolist()
+        return [data[x:y] for x, y in zip([0, *cuts], cuts, strict=False)]
+
+    def _learn(self, words: set[str]) -> None:
+        """Adds unknown words. A key has no blank before it; a line end counts as part of it."""
+        known, old = self.words, self.old
+        stems: dict[str, list[tuple[str, str]]] = {}
+        alone = []
+        for w in words:
+            if (data := old.get(w)) is not None:
+                known[w] = data
+            elif m := self._marked.fullmatch(w):
+                stem, mark = m.groups()
+                if (data := known.get(stem)) is not None:
+                    known[w] = data + self.marks[mark]
+                else:
+                    stems.setdefault(stem, []).append((w, mark))
+            else:
+                alone.append(w)
+        alone = [w for w in alone if w not in stems] + list(stems)
+        spaced = [w if w[:1] == "\n" else " " + w for w in alone]
+        for w, data in zip(alone, self._encoded(spaced), strict=True):
+            known[w] = data
+        for stem, own in stems.items():
+            for w, mark in own:
+                known[w] = known[stem] + self.marks[mark]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
@@ -83,18 +120,17 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        regular = [i for i, t in enumerate(texts) if self._regular(t)]
+        regular = [i for i, t in enumerate(texts) if self._regular(t)] if self.by_word else []
         # as if a line end came first, whose id is then cut off
         split = [("\n" + texts[i]).replace("\n", " \n").split(" ")[1:] for i in regular]
-        every = set().union(*split)
-        new = every.difference(self.words)
-        if len(self.words) + len(new) > CACHE:
-            self.words = self._empty()
-            new = every.difference(self.words)
-        self._learn(sorted(new))
+        if len(self.words) > CACHE:
+            self.old, self.words = self.words, {}
+        new = set().union(*split).difference(self.words)
+        self._learn(new)
         out: list[bytes] = [b""] * len(texts)
+        skip = len(self.line_end) if self.by_word else 0
         for i, w in zip(regular, split, strict=True):
-            out[i] = b"".join(map(self.words.__getitem__, w))[4:]
+            out[i] = b"".join(map(self.words.__getitem__, w))[skip:]
         rest = sorted(set(range(len(texts))) - set(regular))
         for i, data in zip(rest, self._whole([texts[i] for i in rest]), strict=True):
             out[i] = data

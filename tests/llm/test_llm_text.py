@@ -243,7 +243,6 @@ def check_packing(pieces, texts, tokenizer, tiers=packing.TIERS):
 def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(TOKENIZER)
-    t.encode_special_tokens = True
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").unionByName(
         spark.createDataFrame([(10_000 + i, x) for i, x in enumerate(edge_texts())], "doc_id long, text string"), allowMissingColumns=True).repartition(2)
     texts = {r.doc_id: r.text for r in docs.collect()}
@@ -261,7 +260,6 @@ def test_packing_round_trip(spark):
 def test_word_tokenizer_equals_the_tokenizer():
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(TOKENIZER)
-    t.encode_special_tokens = True
     texts = ["a\n\nb", "a\n\n\nb", "a\n", "a\n\n", "\n", "\n\n", "\na b\n c", "a\n.b", "a  b", "a \n b", " lead", "trail ", "\n\n x\t\t y", "it's they'll 12 345  ", "", "日本 語  x", "a\x1c b", "\n \n", " ", "　 a",
              "<|endoftext|> x", "x\r\n y 'S", *(x or "" for x in edge_texts())]
     for got, text in zip(packing.WordTokenizer(TOKENIZER).encode(texts), texts, strict=True):
@@ -400,7 +398,6 @@ def test_pipeline_equals_brute_force(spark):
     rows = [x for x, w in zip(rows, winnowing.brute_force(rows, items), strict=True) if not w[5]]
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(TOKENIZER)
-    t.encode_special_tokens = True
     got = corpus_pipeline.run(spark, SF_SMALL).collect()
     tokens = defaultdict(int)
     for p in got:
