@@ -10,7 +10,9 @@ no half-written or doubled archive in the result.
 Reading is sequential: an archive is streamed in pieces of ``PIECE`` bytes
 through one zlib stream per member; the record head ends at the first empty
 line, ``Content-Length`` frames the block, and the payload digest of a
-response is computed and compared.
+response is computed and compared. A revisit's digest and length are compared
+with those of the response that it refers to, by a Spark join over all
+archives (``verified``). After damage, reading goes on at the next gzip member.
 
 Paths may be local or any URI that ``pyarrow.fs`` opens (hdfs, s3, gs).
 
@@ -70,6 +72,7 @@ class Records:
 
     def __init__(self, stream):
         self.stream, self.raw, self.text, self.z, self.members = stream, b"", b"", None, 0
+        self.start = 0                       # where the current member begins
 
     def _more(self) -> bool:
         """Decompress a little more of the current member; False at its end."""
@@ -94,10 +97,26 @@ class Records:
             self.text = self.text[len(parts[-1]):]
         return b"".join(parts)
 
+    def resync(self) -> bool:
+        """After an error: to the next place behind the start of the failed
+        member that looks like the start of one; False if there is none.
+        (The failed member may have swallowed others, so it is searched too.)"""
+        self.stream.seek(self.start + 1)
+        held = b""
+        while more := self.stream.read(PIECE):
+            data = held + more
+            at = data.find(b"\x1f\x8b\x08")
+            if at >= 0:
+                self.raw = data[at:]
+                return True
+            held = data[-2:]
+        return False
+
     def __iter__(self) -> Iterator[tuple[dict[str, str], bytes]]:
         while self.raw or (piece := self.stream.read(PIECE)):
             if not self.raw:
                 self.raw = piece
+            self.start = self.stream.tell() - len(self.raw)
             self.z, self.text = zlib.decompressobj(31), b""
             self.members += 1
             while (end := self.text.find(b"\r\n\r\n")) < 0:
@@ -175,7 +194,7 @@ def _read(with_payload: bool):
     def row(archive: str, head: dict[str, str], block: bytes) -> tuple:
         kind, said = head.get("warc-type"), head.get("warc-payload-digest", "").removeprefix("sha256:")
         if kind == "revisit":
-            size, digest, ok, payload = int(head.get("x-payload-length", 0)), said, True, None
+            size, digest, ok, payload = int(head.get("x-payload-length", 0)), said, None, None
         else:
             payload = block.partition(b"\r\n\r\n")[2] if block.startswith(b"HTTP/") else block
             size, digest = len(payload), hashlib.sha256(payload).hexdigest()
@@ -192,33 +211,56 @@ def _read(with_payload: bool):
         for batch in batches:
             for archive in batch.column("archive").to_pylist():
                 files, path = _open(archive)
-                with files.open_input_stream(path, compression=None) as stream:
-                    records = Records(stream)
-                    try:
-                        for head, block in records:
-                            rows.append(row(archive, head, block))
-                            size += len(block) if with_payload else 100
-                            if size > 8 << 20:
-                                yield out()
-                                rows, size = [], 0
-                    except (ValueError, zlib.error) as e:
-                        rows.append((None, None, None, None, None, None, None, archive, f"record {records.members}: {e}", None))
+                with files.open_input_file(path) as stream:
+                    records, sound, reading = Records(stream), True, True
+                    while reading:
+                        try:
+                            for head, block in records:
+                                rows.append(row(archive, head, block))
+                                sound = True
+                                size += len(block) if with_payload else 100
+                                if size > 8 << 20:
+                                    yield out()
+                                    rows, size = [], 0
+                            reading = False
+                        except (ValueError, zlib.error) as e:
+                            if sound:                # one row for each damaged stretch
+                                rows.append((None, None, None, None, None, None, None, archive, f"record {records.members}: {e}", None))
+                            sound, reading = False, records.resync()
         yield out()
     return run
 
 
 def read_archives(archives: DataFrame, with_payload: bool = True) -> DataFrame:
-    """One row per record of the archives named in column ``archive``."""
+    """One row per record of the archives named in column ``archive``;
+    ``digest_ok`` is null for revisits (see ``verified``)."""
     n = max(1, archives.count())
     return archives.select("archive").repartition(n).mapInArrow(
         _read(with_payload), "page_id long, url string, record_type string, payload_bytes long, payload_digest string, digest_ok boolean, "
                              "refers_to long, archive string, problem string, payload binary")
 
 
+def verified(records: DataFrame) -> DataFrame:
+    """``records`` (a written table of ``read_archives``) with ``digest_ok`` of
+    revisits: does a sound response of the page they refer to have the digest
+    and length that they state? Revisits of one response may be a third of
+    all rows, so they are looked up by ``skew.lookup``."""
+    said = lambda page: F.concat_ws(":", page, "payload_digest", "payload_bytes")
+    is_revisit = F.coalesce(F.col("record_type") == "revisit", F.lit(False))
+    rows = records.withColumn("claim", F.when(is_revisit, said("refers_to")))
+    claims = rows.where(is_revisit).groupBy("claim").agg(F.count(F.lit(1)).alias("n"))
+    there = (records.where((F.col("record_type") == "response") & F.col("digest_ok")).select(said("page_id").alias("response"))
+             .distinct().withColumn("found", F.lit(True)))
+    known = claims.join(there, claims["claim"] == there["response"], "left").select("claim", "n", "found")
+    looked = lookup(rows, known, "claim", "n", F.xxhash64("page_id", "url", "archive"), records.count())
+    ok = F.when(is_revisit, F.coalesce("found", F.lit(False))).otherwise(F.col("digest_ok"))
+    return looked.withColumn("digest_ok", ok).select(*records.columns)
+
+
 def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Pages written to archives in the shared folder, and read back."""
-    back = read_archives(write_archives(pages, scratch_path(spark, "warc")), with_payload=False)
-    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok", "problem")
+    back, _ = written(read_archives(write_archives(pages, scratch_path(spark, "warc")), with_payload=False), "warc-records")
+    return verified(back).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok", "problem")
 
 
 SQL = """

@@ -195,8 +195,10 @@ def test_warc_round_trip(spark, tmp_dir):
              (9, "u", None), (8, "u", ""), (7, "u\r\nEvil: 1", big), (None, "u", big), (3, None, "y" * 100)]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
     manifest = warc.write_archives(df, f"{tmp_dir}/warc", roll=50_000)
-    back = warc.read_archives(manifest).collect()
-    assert len(back) == len(pages) and all(r.digest_ok and r.problem is None for r in back)
+    records = warc.read_archives(manifest)
+    back = records.collect()
+    assert len(back) == len(pages) and all(r.problem is None and r.digest_ok is (None if r.record_type == "revisit" else True) for r in back)
+    assert all(r.digest_ok for r in warc.verified(records.drop("payload")).collect())
     kinds = sorted((r.page_id or 0, r.record_type, r.refers_to) for r in back)
     assert kinds == [(0, "revisit", 7), (1, "response", None), (2, "response", None), (3, "response", None), (3, "response", None),
                      (4, "revisit", 3), (5, "revisit", 3), (7, "response", None), (8, "response", None), (9, "response", None)]
@@ -216,6 +218,42 @@ def test_every_record_is_a_gzip_member_and_damage_is_reported():
             list(warc.Records(io.BytesIO(broken)))
 
 
+def test_revisits_are_held_against_their_responses(spark):
+    rows = [(1, "response", 200, "d1", True, None), (2, "revisit", 200, "d1", None, 1), (3, "revisit", 200, "d1", None, 9),      # 9: missing
+            (4, "revisit", 200, "d2", None, 1), (5, "revisit", 201, "d1", None, 1), (6, "response", 300, "d3", False, None),
+            (7, "revisit", 300, "d3", None, 6), (8, "revisit", 200, "d1", None, None), (None, None, None, None, None, None)]
+    rows += [(100 + i, "revisit", 200, "d1", None, 1) for i in range(300)]                                                      # a hot response
+    df = spark.createDataFrame(rows, "page_id long, record_type string, payload_bytes long, payload_digest string, digest_ok boolean, "
+                                     "refers_to long").selectExpr("*", "'u' AS url", "'a' AS archive", "CAST(NULL AS STRING) AS problem").checkpoint()
+    got = {r.page_id: r.digest_ok for r in warc.verified(df).collect()}
+    assert {k: got[k] for k in (1, 2, 3, 4, 5, 6, 7, 8, None)} == {1: True, 2: True, 3: False, 4: False, 5: False, 6: False, 7: False, 8: False, None: None}
+    assert all(got[100 + i] for i in range(300)) and len(got) == len(rows)
+
+
+@pytest.mark.parametrize("kind", ["flipped", "cut", "framing", "garbage"])
+def test_reading_goes_on_after_damage(spark, tmp_dir, kind):
+    rng = random.Random(5)
+    payloads = [bytes(rng.randrange(256) for _ in range(30_000 if i == 2 else 300)) for i in range(6)]
+    data = [warc.record(i, "u", p, warc.hashlib.sha256(p).hexdigest(), None) for i, p in enumerate(payloads)]
+    if kind == "flipped":
+        data[2] = data[2][:400] + bytes(200) + data[2][600:]
+    elif kind == "cut":
+        data[2] = data[2][:9_000]
+    elif kind == "framing":
+        data[2] = gzip.compress(b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc")
+    else:
+        data[2] = b"not a member at all " * 7_000
+    path = f"{tmp_dir}/damaged.warc.gz"
+    with open(path, "wb") as f:
+        f.write(b"".join(data))
+    got = warc.read_archives(spark.createDataFrame([(f"file://{path}",)], "archive string")).collect()
+    sound = [r for r in got if r.problem is None]
+    # damage may look sound but for its digest; the others are all there
+    assert {r.page_id for r in sound if r.digest_ok} == {0, 1, 3, 4, 5}
+    assert len(got) in (6, 7) and sum(r.problem is not None for r in got) <= 1
+    assert all(r.payload == payloads[r.page_id] for r in sound if r.digest_ok)
+
+
 # --- packing -----------------------------------------------------------------------
 
 def check_packing(pieces, texts, tokenizer, tiers=packing.TIERS):
