@@ -613,15 +613,6 @@ def q_ks_features(spark, sf):
                                DRIFT_FEATURES)
 
 
-@register("ks_prediction_exact", "ks_statistic:d, p_value:d, drift_detected:b, reference_mean:d, "
-                                 "current_mean:d, reference_std:d, current_std:d, p_method:s", None)
-def q_ks_prediction_exact(spark, sf):
-    """D1 with the exact lattice-path p-value for samples of up to 10,000
-    values (checked against enumeration in the tests), else the asymptotic one;
-    ``p_method`` names it."""
-    return drift.prediction_drift(_scored(spark, sf, "lag1"), _scored(spark, sf, "ma3"), method="exact_if_small")
-
-
 @register("bias_by_segment", "Agencia_ID:i, n:i, bias:d, overall_bias:d, high_bias:b",
           D.with_ctes(_eval_ctes, f"""
 SELECT Agencia_ID, count(*) AS n, avg(prediction - {Y}) AS bias,
@@ -1028,15 +1019,19 @@ def _deep_model():
     return BoostedTrees(cols, "tweedie", _BASE, _RATE, [tree], best_iteration=1)
 
 
+def _real(x: float) -> str:
+    return f"CAST({x!r} AS DOUBLE)"
+
+
 def _deep_sql(t, known: frozenset) -> str:
     """Expected leaf value when the features in ``known`` are given."""
     if len(t) == 2:
-        return str(t[0])
+        return _real(t[0])
     low, high = _deep_sql(t[2], known), _deep_sql(t[3], known)
     if t[0] in known:
         return f"CASE WHEN {t[0]} <= {t[1]} THEN {low} ELSE {high} END"
     share = _deep_cover(t[2]) / _deep_cover(t)
-    return f"({share!r} * {low} + {1 - share!r} * {high})"
+    return f"({_real(share)} * {low} + {_real(1 - share)} * {high})"
 
 
 def _shapley_sql() -> str:
@@ -1045,7 +1040,7 @@ def _shapley_sql() -> str:
     cols, out = sorted({"lag_1", "product_mean", "client_count"}), []
     for c in cols:
         rest = [x for x in cols if x != c]
-        terms = [f"{factorial(len(s)) * factorial(len(rest) - len(s)) / factorial(len(cols))!r} * "
+        terms = [f"{_real(factorial(len(s)) * factorial(len(rest) - len(s)) / factorial(len(cols)))} * "
                  f"({_deep_sql(_DEEP, frozenset((*s, c)))} - {_deep_sql(_DEEP, frozenset(s))})"
                  for k in range(len(cols)) for s in combinations(rest, k)]
         out.append(f"{_RATE} * ({' + '.join(terms)}) AS phi_{c}")
@@ -1110,14 +1105,14 @@ def q_deep_ensemble_scores(spark, sf):
 _P12 = ["Venta_uni_hoy", "Venta_hoy", "Dev_uni_proxima", "Dev_proxima", "weight_g", "pieces", "has_promo", "State_encoded"]
 
 
-@register("numeric_columns", "feature:s, n:i, total:d",
-          D.with_ctes([], " UNION ALL ".join(f"SELECT '{c}' AS feature, count({c}) AS n, sum(CAST({c} AS DOUBLE)) AS total FROM processed" for c in _P12)))
+@register("numeric_columns", "feature:s, n:i, mean:d",
+          D.with_ctes([], " UNION ALL ".join(f"SELECT '{c}' AS feature, count({c}) AS n, avg(CAST({c} AS DOUBLE)) AS mean FROM processed" for c in _P12)))
 def q_numeric_columns(spark, sf):
     """Every numeric column of the store that is neither id nor target."""
     hist, _ = stored(spark, sf)
     cols = pipeline.numeric_feature_columns(hist)
-    sums = hist.agg(*[F.count(c).alias(f"n_{c}") for c in cols], *[F.sum(F.col(c).cast("double")).alias(f"t_{c}") for c in cols])
-    rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"n_{c}").alias("n"), F.col(f"t_{c}").alias("total")) for c in cols])
+    sums = hist.agg(*[F.count(c).alias(f"n_{c}") for c in cols], *[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in cols])
+    rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"n_{c}").alias("n"), F.col(f"m_{c}").alias("mean")) for c in cols])
     return sums.select(F.explode(rows).alias("r")).select("r.*")
 
 

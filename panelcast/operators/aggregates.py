@@ -13,7 +13,7 @@ re-aggregation per (key set, target week), written once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import AGG_GROUP_KEYS, TARGET_COL, WEEK_COL
@@ -88,20 +88,26 @@ def agg_table_multi(history: DataFrame, name: str, keys: list[str], targets: Dat
     return g.select(*keys, "S", *moments_to_stats(F.col("n"), F.col("s1"), F.col("s2"), name))
 
 
-def key_set_stats(history: DataFrame, key_sets: dict[str, list[str]], targets: DataFrame,
-                  y: str = TARGET_COL, nonnull_keys: tuple[str, ...] = ("brand",)
-                  ) -> dict[str, DataFrame]:
-    """Mean / std / count over weeks < S for many key sets and target weeks,
-    from ONE scan of the history.
+LAST_WEEK = (1 << 31) - 1
+
+
+def running_moments(history: DataFrame, key_sets: dict[str, list[str]], y: str = TARGET_COL,
+                    nonnull_keys: tuple[str, ...] = ("brand",)) -> dict[str, DataFrame]:
+    """Mean / std / count of all rows so far, one row per key and observed
+    week, for many key sets from ONE scan of the history.
+
+    A row holds from the week after ``__after`` (its own week) up to
+    ``__until`` (the key's next observed week), so exactly one row of a key
+    answers a target week (``as_of``); nothing is copied per target week.
 
     A GROUPING SETS aggregate computes the weekly moments (n, sum y, sum y^2)
     of every key set together: Spark's Expand feeds the map-side partial
     aggregate, so the shuffle carries partial rows only, and the history is
-    read once instead of once per key set. The weekly rows then meet the
-    small target-week table (week < S) and one re-aggregation by
-    (grouping id, keys, S) yields every table; it is written once to the
-    shared scratch folder (``spark.checkpoint.dir``), partitioned by grouping
-    id, and each set reads its own partition. Key sets in ``nonnull_keys`` (brand) drop the null group.
+    read once instead of once per key set. The weekly rows are dealt by key
+    once more for the running sums (a key has as many rows as weeks) and
+    written to the shared scratch folder (``spark.checkpoint.dir``), partitioned
+    by grouping id; each set reads its own partition. Key sets in
+    ``nonnull_keys`` (brand) drop the null group.
     """
     dims: list[str] = []
     for ks in key_sets.values():
@@ -114,10 +120,11 @@ def key_set_stats(history: DataFrame, key_sets: dict[str, list[str]], targets: D
                      .groupingSets([[*ks, WEEK_COL] for ks in key_sets.values()], *cols)
                      .agg(F.count(F.lit(1)).alias("n"), F.sum(yl).alias("s1"),
                           F.sum(_square(yl)).alias("s2"), F.grouping_id().alias("__gid")))
-    x = weekly.join(F.broadcast(targets), F.col(WEEK_COL) < F.col("S"))
-    tot = x.groupBy("__gid", *dims, "S").agg(
-        F.sum("n").alias("n"), F.sum("s1").alias("s1"),
-        F.sum("s2").alias("s2"))
+    by_week = Window.partitionBy("__gid", *dims).orderBy(WEEK_COL)
+    so_far = by_week.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = weekly.select("__gid", *dims, F.col(WEEK_COL).cast("int").alias("__after"),
+                        F.coalesce(F.lead(WEEK_COL).over(by_week), F.lit(LAST_WEEK)).cast("int").alias("__until"),
+                        *[F.sum(c).over(so_far).alias(c) for c in ("n", "s1", "s2")])
     # Written once as parquet under the shared scratch folder and read back:
     # every key set below reads it. Left lazy, the optimizer would push each
     # set's selection and column pruning into the aggregate and give every
@@ -127,15 +134,40 @@ def key_set_stats(history: DataFrame, key_sets: dict[str, list[str]], targets: D
     from ..session import scratch_path
     path = scratch_path(history.sparkSession, "key-set-stats")
     # One folder per grouping id: each key set reads its own files only.
-    tot.write.partitionBy("__gid").parquet(path)
-    tot = history.sparkSession.read.schema(tot.schema).parquet(path)
+    run.write.partitionBy("__gid").parquet(path)
+    run = history.sparkSession.read.schema(run.schema).parquet(path)
     out = {}
     width = len(cols)
     for name, ks in key_sets.items():
         gid = sum(1 << (width - 1 - i) for i, c in enumerate(cols) if c not in ks and c != WEEK_COL)
-        sub = tot.where(F.col("__gid") == gid)
+        sub = run.where(F.col("__gid") == gid)
         for k in ks:
             if k in nonnull_keys:
                 sub = sub.where(F.col(k).isNotNull())
-        out[name] = sub.select(*ks, "S", *moments_to_stats(F.col("n"), F.col("s1"), F.col("s2"), name))
+        out[name] = sub.select(*ks, "__after", "__until", *moments_to_stats(F.col("n"), F.col("s1"), F.col("s2"), name))
     return out
+
+
+def as_of(df: DataFrame, running: DataFrame, keys: list[str], week: str = WEEK_COL) -> DataFrame:
+    """``df`` with the values that a table of ``running_moments`` has for each
+    row's keys before its week (null: the key was not observed before)."""
+    values = [c for c in running.columns if c not in (*keys, "__after", "__until")]
+    side = running.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__after", "__until", *values)
+    holds = (F.col(week) > F.col("__after")) & (F.col(week) <= F.col("__until"))
+    for k in keys:
+        holds = (df[k] == F.col(f"__k_{k}")) & holds
+    # Without keys the table has one row per observed week.
+    return df.join(side if keys else F.broadcast(side), holds, "left").select(*df.columns, *values)
+
+
+def at_weeks(running: DataFrame, targets: DataFrame) -> DataFrame:
+    """keys, S, values: a table of ``running_moments`` at each target week."""
+    holds = (F.col("S") > F.col("__after")) & (F.col("S") <= F.col("__until"))
+    return running.join(F.broadcast(targets), holds).drop("__after", "__until")
+
+
+def key_set_stats(history: DataFrame, key_sets: dict[str, list[str]], targets: DataFrame,
+                  y: str = TARGET_COL, nonnull_keys: tuple[str, ...] = ("brand",)
+                  ) -> dict[str, DataFrame]:
+    """``running_moments`` at each target week (a column S), by key set."""
+    return {name: at_weeks(run, targets) for name, run in running_moments(history, key_sets, y, nonnull_keys).items()}

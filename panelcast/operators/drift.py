@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DRIFT_BINS, DRIFT_THRESHOLD, HIGH_BIAS_FACTOR
-from ..functions.values import known
+from ..functions.values import known, number
 from .cumulative import ecdf, ks_from_counts, side_counts, side_moments
 from .evaluation import histogram
 
@@ -27,8 +27,7 @@ def prediction_drift(ref: DataFrame, cur: DataFrame, ref_col: str = "prediction"
                      cur_col: str | None = None, threshold: float = DRIFT_THRESHOLD,
                      method: str = "asymp") -> DataFrame:
     """One row: ks_statistic, p_value, drift_detected, reference/current
-    mean and population std; p_method with "exact_if_small". ``method`` as in
-    ``cumulative.ks_from_counts``."""
+    mean and population std. ``method`` as in ``cumulative.ks_from_counts``."""
     cur_col = cur_col or ref_col
     vc = side_counts(_tagged(ref, ref_col, cur, cur_col), "value", "is_ref")
     ks = ks_from_counts(vc, "value", method=method)
@@ -37,8 +36,7 @@ def prediction_drift(ref: DataFrame, cur: DataFrame, ref_col: str = "prediction"
         F.col("ref_std").alias("reference_std"), F.col("cur_std").alias("current_std"))
     return ks.crossJoin(mom).select(
         "ks_statistic", "p_value", (F.col("p_value") < threshold).alias("drift_detected"),
-        "reference_mean", "current_mean", "reference_std", "current_std",
-        *(["p_method"] if "p_method" in ks.columns else []))
+        "reference_mean", "current_mean", "reference_std", "current_std")
 
 
 def _long(df: DataFrame, cols: list[str], is_ref: bool) -> DataFrame:
@@ -74,10 +72,11 @@ def feature_drift(ref: DataFrame, cur: DataFrame, feature_cols: list[str],
 def bias_monitor(df: DataFrame, y: str, p: str, segment: str,
                  factor: float = HIGH_BIAS_FACTOR) -> DataFrame:
     """Per segment: bias, the overall bias, and high_bias when
-    |segment bias| > factor * |overall bias|."""
-    e = (F.col(p).cast("double") - F.col(y).cast("double"))
+    |segment bias| > factor * |overall bias|. ``n`` and both biases are of the
+    rows in which actual and predicted value are known."""
+    e = number(F.col(p)) - number(F.col(y))
     overall = df.agg(F.avg(e).alias("overall_bias"))
-    seg = df.groupBy(segment).agg(F.count(F.lit(1)).alias("n"), F.avg(e).alias("bias"))
+    seg = df.groupBy(segment).agg(F.count(e).alias("n"), F.avg(e).alias("bias"))
     return (seg.crossJoin(F.broadcast(overall))
                .withColumn("high_bias",
                            F.abs(F.col("bias")) > F.lit(factor) * F.abs(F.col("overall_bias"))))

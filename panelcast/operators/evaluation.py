@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import CLIP_PERCENTILE, CV_MIN_TRAIN_WEEKS, ERROR_BINS, SAMPLE_SEED, WEEK_COL
 from ..functions.metrics import all_metrics
-from ..functions.values import known
+from ..functions.values import known, number
 from ..session import materialize
 from .cumulative import exact_quantile
 
@@ -22,14 +22,15 @@ def evaluate(df: DataFrame, y: str, p: str) -> DataFrame:
 
 
 def evaluate_by_segment(df: DataFrame, y: str, p: str, segment: str) -> DataFrame:
-    """Segment, n, metrics; worst RMSE first, ties by segment key.
+    """Segment, n (rows that the metrics use), metrics; worst RMSE first,
+    ties by segment key.
 
     Rows with a null segment are dropped (they form no group in the
     reference semantics).
     """
     return (df.where(F.col(segment).isNotNull())
               .groupBy(segment)
-              .agg(F.count(F.lit(1)).alias("n"), *all_metrics(y, p))
+              .agg(F.count(F.when(known(F.col(y)) & known(F.col(p)), 1)).alias("n"), *all_metrics(y, p))
               .orderBy(F.desc("rmse"), F.asc(segment)))
 
 
@@ -161,8 +162,7 @@ def sample_limits(df: DataFrame, y: str, p: str, q: float = CLIP_PERCENTILE) ->
     max of both and the q-quantiles of actual and predicted."""
     ya = exact_quantile(df.select(F.col(y).cast("double").alias("v")), "v", q, "actual_p99")
     pa = exact_quantile(df.select(F.col(p).cast("double").alias("v")), "v", q, "predicted_p99")
-    mx = df.agg(F.greatest(F.max(F.col(y).cast("double")), F.max(F.col(p).cast("double")))
-                .alias("max_value"))
+    mx = df.agg(F.greatest(F.max(number(F.col(y))), F.max(number(F.col(p)))).alias("max_value"))
     return mx.crossJoin(ya).crossJoin(pa)
 
 

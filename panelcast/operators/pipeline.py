@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..config import (AGG_GROUP_KEYS, FEATURE_COLS, ID_COLS, PAIR, TARGET_COL, UNKNOWN_BRAND,
                       WEEK_COL)
 from ..functions.values import number
-from .aggregates import key_set_stats
+from .aggregates import as_of, at_weeks, key_set_stats, running_moments
 from .backoff import backoff_from_means, history_unknown, with_brand
 from .clean import attach_state
 from .joins import broadcast_if_small
@@ -121,17 +121,16 @@ def build_features_multi(rows: DataFrame, history: DataFrame, target_weeks: Iter
     bm = broadcast_if_small(brand_map)
     sets = {k: v for k, v in AGG_GROUP_KEYS.items() if k != PAIR_AGG and all(c in history.columns for c in v)}
     sets.update({"brand": ["brand"], "global": []})
-    stats = key_set_stats(with_brand(history, bm, history_unknown(history)), sets, targets, y)
+    stats = running_moments(with_brand(history, bm, history_unknown(history)), sets, y)
     for name in JOIN_ORDER:
         if name in stats:
-            df = df.join(stats[name].withColumnRenamed("S", WEEK_COL),
-                         [*AGG_GROUP_KEYS[name], WEEK_COL], "left")
+            df = as_of(df, stats[name], AGG_GROUP_KEYS[name])
     df = df.join(broadcast_if_small(product_feats), "Producto_ID", "left")
     df = attach_state(df, towns, state_map)
     df = with_brand(df, bm, UNKNOWN_BRAND)
-    brand_tab = stats["brand"].select("brand", F.col("S").alias(WEEK_COL),
-                                      F.col("brand_mean").alias("backoff_est_4"))
-    glob = stats["global"].select(F.col("S").alias(WEEK_COL), F.col("global_mean").alias("backoff_est_5"))
+    brand_tab = at_weeks(stats["brand"], targets).select("brand", F.col("S").alias(WEEK_COL),
+                                                         F.col("brand_mean").alias("backoff_est_4"))
+    glob = at_weeks(stats["global"], targets).select(F.col("S").alias(WEEK_COL), F.col("global_mean").alias("backoff_est_5"))
     df = backoff_from_means(df, brand_tab, glob, [WEEK_COL])
     df = df.withColumn("target_semana", F.col(WEEK_COL))
     head = [c for c in base.columns if c != y or include_target]

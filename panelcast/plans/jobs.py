@@ -104,8 +104,7 @@ def write_training_set(history: DataFrame, inputs: dict, val_week: int, path: st
                        weeks_per_job: int | None = None) -> None:
     """S10 + A7: write the training set, partitioned by target week.
 
-    In one job, every weekly history row is replicated once per later target
-    week. ``weeks_per_job`` bounds that factor for long week lists: the
+    ``weeks_per_job`` bounds the rows of one job for long week lists: the
     target weeks are processed in chunks, each one distributed job appending
     its own partitions.
     """
@@ -146,7 +145,7 @@ def run_training(spark: SparkSession, art: Artifacts, val_week: int = VAL_WEEK,
     sinks.append_run(spark, art.runs, val_semana=val_week, n_features=len(FEATURE_COLS),
                      n_train_rows=n_train, n_val_rows=n_val,
                      best_iteration=model.main.best_iteration,
-                     params={**{k: v for k, v in GBM_PARAMS.items() if k != "num_leaves"}, "num_rounds": num_rounds,
+                     params={**GBM_PARAMS, "num_rounds": num_rounds,
                              "with_quantiles": with_quantiles, **(boost_kw or {})},
                      metrics={"gbm": m_gbm, "baseline_lag1": m_lag1, "baseline_ma": m_ma3})
     return {"gbm": m_gbm, "baseline_lag1": m_lag1, "baseline_ma": m_ma3,

@@ -108,6 +108,28 @@ def test_squares_of_large_demands_do_not_overflow(spark):
         assert (r.product_mean, r.product_std, r.product_count) == (2_000_000_001.0, pytest.approx(1.0), 3)
 
 
+def test_key_set_table_holds_one_row_per_key_and_week(spark, panel):
+    """However many target weeks ask: rows are not copied per target week."""
+    sets = {"product": ["Producto_ID"], "agency_product": ["Agencia_ID", "Producto_ID"], "global": []}
+    running = aggregates.running_moments(panel, sets)
+    for name, keys in sets.items():
+        assert running[name].count() == panel.select(*keys, "Semana").distinct().count()
+        at = aggregates.at_weeks(running[name], pipeline.target_weeks_frame(spark, range(1, 30)))
+        for s in (2, 3, 7, 12, 29):
+            own = panel.where(F.col("Semana") < s).groupBy(*keys).agg(F.avg(C.TARGET_COL).alias("m"), F.count(F.lit(1)).alias("n"))
+            want = sorted((*r[:-2], round(r.m, 9), r.n) for r in own.collect() if r.n)
+            got = at.where(F.col("S") == s).select(*keys, f"{name}_mean", f"{name}_count").collect()
+            assert sorted((*r[:-2], round(r[-2], 9), r[-1]) for r in got) == want
+
+
+def test_as_of_takes_the_last_week_before(spark, panel):
+    running = aggregates.running_moments(panel, {"client": ["Cliente_ID"]})["client"]
+    rows = spark.createDataFrame([(1, 11, 2), (2, 11, 3), (3, 11, 7), (4, 11, 40), (5, 999, 9), (6, None, 9)], "i int, Cliente_ID long, Semana int")
+    got = {r.i: r.client_count for r in aggregates.as_of(rows, running, ["Cliente_ID"]).collect()}
+    own = [r[0] for r in _panel_rows() if r[4] == 11]
+    assert got == {1: None, 2: sum(w < 3 for w in own), 3: sum(w < 7 for w in own), 4: len(own), 5: None, 6: None}
+
+
 def test_missing_values_become_zero_features(spark):
     df = spark.createDataFrame([(float("nan"), None, 2)], "lag_1 double, lag_2 double, lag_3 int")
     got = pipeline.align_features(df, ["lag_3", "lag_1", "lag_2", "absent"]).first()

@@ -209,13 +209,12 @@ def test_exact_ks_through_spark(spark):
     assert out.p_value == pytest.approx(_brute_ks_p(round(d * 5 * 7), 5, 7))
 
 
-def test_exact_if_small_names_its_method_and_never_raises(spark):
-    """Small samples get the exact p-value, larger ones the asymptotic one."""
-    for n in (40, cumulative.EXACT_MAX_N + 1):
-        ref = spark.range(n).select(F.col("id").cast("double").alias("prediction"))
-        cur = ref.select((F.col("prediction") + n // 10).alias("prediction"))
-        method = "exact" if n == 40 else "asymp"
-        got = drift.prediction_drift(ref, cur, method="exact_if_small").first()
-        want = drift.prediction_drift(ref, cur, method=method).first()
-        assert got.p_method == method
-        assert (got.ks_statistic, got.p_value, got.drift_detected) == (want.ks_statistic, want.p_value, want.drift_detected)
+def test_missing_values_in_bias_limits_and_segments(spark):
+    """Null and NaN are left out alike, and n counts the rows that are used."""
+    from panelcast.operators import evaluation
+    rows = [(1.0, 2.0, "a"), (3.0, float("nan"), "a"), (4.0, 6.0, "b"), (5.0, None, "b"), (None, 1.0, "b")]
+    df = spark.createDataFrame(rows, "y double, p double, s string")
+    bias = {r.s: (r.n, r.bias, r.overall_bias, r.high_bias) for r in drift.bias_monitor(df, "y", "p", "s", factor=1.2).collect()}
+    assert bias == {"a": (1, 1.0, 1.5, False), "b": (1, 2.0, 1.5, True)}
+    assert evaluation.sample_limits(df, "y", "p").first().max_value == 6.0
+    assert {r.s: (r.n, r.rmse) for r in evaluation.evaluate_by_segment(df, "y", "p", "s").collect()} == {"a": (1, 1.0), "b": (1, 2.0)}
