@@ -34,7 +34,7 @@ TIERS = (2048, 1024, 512, 256)
 STEP = 32_768            # tokens of one step group
 POOL = 4_096             # pieces that wait for a window before a round of packing
 END_ID = 1
-CACHE = 300_000          # distinct words of one generation (two are kept) whose ids a Python worker remembers
+CACHE = 500_000          # distinct words of one generation (two are kept) whose ids a Python worker remembers
 
 SCHEMA = ("doc_id {id}, start long, length long, ids binary, doc_tokens long, sequence_id long, "
           "offset long, sequence_tokens long, step_group long")
@@ -46,16 +46,14 @@ class WordTokenizer:
 
     Byte-level BPE starts a new piece at every blank or line end that a
     visible character follows, so a text is the concatenation of its words,
-    each with the blank or line end before it; a mark after the letters of a
-    word is a piece as well. Unknown words are encoded laid end to end; the
-    bytes of each id tell where one ends. Texts with other white space, or
+    each with the blank or line end before it. Unknown words are encoded laid
+    end to end; the bytes of each id tell where one ends. Texts with other white space, or
     white space in a row or at the end (but for one empty line, or a last line
     end), or with the string of an added token, are encoded as they are, and
     so is every text if the file's tokenizer does not cut in this way.
     """
 
     _other = re.compile(r"[^\S \n]")
-    _marked = re.compile("(\n?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?])")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -74,7 +72,6 @@ class WordTokenizer:
         self.old: dict[str, bytes] = {}                  # words of the generation before
         if self.by_word:
             self.line_end = self._whole(["\n"])[0]
-            self.marks = {m: self._whole([m])[0] for m in ".,;:!?"}
 
     def _regular(self, text: str) -> bool:
         return not ("  " in text or " \n" in text or "\n " in text or "\n\n\n" in text
@@ -92,27 +89,11 @@ class WordTokenizer:
 
     def _learn(self, words: set[str]) -> None:
         """Adds unknown words. A key has no blank before it; a line end counts as part of it."""
-        known, old = self.words, self.old
-        stems: dict[str, list[tuple[str, str]]] = {}
-        alone = []
-        for w in words:
-            if (data := old.get(w)) is not None:
-                known[w] = data
-            elif m := self._marked.fullmatch(w):
-                stem, mark = m.groups()
-                if (data := known.get(stem)) is not None:
-                    known[w] = data + self.marks[mark]
-                else:
-                    stems.setdefault(stem, []).append((w, mark))
-            else:
-                alone.append(w)
-        alone = [w for w in alone if w not in stems] + list(stems)
-        spaced = [w if w[:1] == "\n" else " " + w for w in alone]
-        for w, data in zip(alone, self._encoded(spaced), strict=True):
-            known[w] = data
-        for stem, own in stems.items():
-            for w, mark in own:
-                known[w] = known[stem] + self.marks[mark]
+        old = self.old
+        again = {w: old[w] for w in words if w in old}
+        new = [w for w in words if w not in again]
+        self.words.update(again)
+        self.words.update(zip(new, self._encoded([w if w[:1] == "\n" else " " + w for w in new]), strict=True))
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
