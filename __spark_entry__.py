@@ -941,6 +941,27 @@ def q_run_row(spark, sf):
     return spark.read.parquet(path).select("val_semana", "n_features", "n_train_rows", "n_val_rows", rmse("lag1"), rmse("ma3"))
 
 
+
+@register("training_job", "val_semana:i, n_features:i, n_train_rows:i, n_val_rows:i, lag1_rmse:d, ma3_rmse:d, rule_followed:b",
+          D.with_ctes(_eval_ctes, f"""
+SELECT {VAL_WEEK} AS val_semana, {len(C.FEATURE_COLS)} AS n_features,
+       (SELECT count(*) FROM demand_sales WHERE Semana < {VAL_WEEK} AND Semana > (SELECT min(Semana) FROM demand_sales)) AS n_train_rows,
+       (SELECT count(*) FROM demand_sales WHERE Semana = {VAL_WEEK}) AS n_val_rows,
+       (SELECT sqrt(avg(power({Y} - prediction, 2))) FROM lag1) AS lag1_rmse,
+       (SELECT sqrt(avg(power({Y} - prediction, 2))) FROM ma3) AS ma3_rmse, TRUE AS rule_followed"""))
+def q_training_job(spark, sf):
+    """The whole training job (training set, baselines, the main model
+    until early stopping, report, saved model), told by its run row; the
+    job accepts the model if its RMSE is below that of lag 1."""
+    from panelcast.plans import jobs
+    stored(spark, sf)
+    art = _STORES[spark.sparkContext.applicationId, sf]
+    accepted = jobs.run_training(spark, art, with_quantiles=False)["accepted"]
+    rmse = lambda m: F.get_json_object("metrics", f"$.{m}.rmse").cast("double")
+    runs = spark.read.parquet(art.runs).orderBy(F.desc("run_ts")).limit(1)          # of this run
+    return runs.select("val_semana", "n_features", "n_train_rows", "n_val_rows", rmse("baseline_lag1").alias("lag1_rmse"),
+                       rmse("baseline_ma").alias("ma3_rmse"), ((rmse("gbm") < rmse("baseline_lag1")) == F.lit(accepted)).alias("rule_followed"))
+
 # --- a fixed ensemble: scoring, persistence and attribution have closed forms ----
 
 #: (feature, threshold, value at or below it, value above it, share of rows at or below it)

@@ -31,7 +31,7 @@ def _store_scans(plan: str, art) -> int:
     return len(re.findall(r"Location: InMemoryFileIndex\(1 paths\)\[file:" + re.escape(art.store), plan))
 
 
-def test_feature_matrix_scans_store_at_most_twice(store):
+def test_feature_matrix_scans_store_at_most_three_times(store):
     art, hist, inputs = store
     fm = pipeline.build_features(hist.where(F.col("Semana") == 9), hist, 9, **inputs)
     plan = _final_plan(fm)
