@@ -2,13 +2,16 @@
 exact quantiles, empirical CDFs and two-sample KS statistics.
 
 A plain ``sum(..) OVER (PARTITION BY g ORDER BY v)`` puts every value of a
-group into one task. Here the values are first reduced to distinct values
-with counts, then cut into ranges per group (as many as the number of distinct
-values asks for) at approximate quantiles (``percentile_approx``); a window runs inside each (group, bucket)
-only, and each bucket is shifted by the total of the buckets before it. The
-only tables that pass through one task are the cut points and the bucket
-totals: ``groups x buckets`` rows. Use it with a bounded number of groups
-(features, samples), never with a group per entity.
+group into one task. Here the values are first reduced to distinct values with
+counts; these are range-partitioned by (group, value), as many ranges as their
+number asks for, and written with the number of their range. A window runs
+inside each (group, range) only. The totals of the ranges go up a tree (every
+``FAN`` neighbours become one node of the next level) until a group has at most
+``FAN`` nodes, and come down again as the sums of all earlier ranges; each range
+meets its own sum in a join on (group, range). No step holds more than ``FAN``
+totals of a group or one range in a task, and nothing is broadcast that grows
+with the values. Totals per group are broadcast: use it with a bounded number of
+groups (features, samples), never with a group per entity.
 """
 
 from __future__ import annotations
@@ -22,63 +25,60 @@ from pyspark.sql import types as T
 from ..functions.values import known
 from ..session import materialize
 
-BUCKET_ROWS = 20_000     # distinct values that one window task should hold
-MIN_BUCKETS = 64
+BUCKET_ROWS = 20_000     # distinct values that one range should hold
+FAN = 1_024              # neighbouring totals that one task adds up
 
 
-def bucket_count(df: DataFrame, groups: list[str] = ()) -> int:
-    """Ranges per group such that those of the largest group hold about
-    ``BUCKET_ROWS`` distinct values each (``df``: one row per group and value)."""
-    largest = df.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
-    return max(MIN_BUCKETS, -(-largest // BUCKET_ROWS))
+def bucket_count(df: DataFrame) -> int:
+    """Ranges such that each holds about ``BUCKET_ROWS`` rows of ``df`` (one
+    row per group and value)."""
+    return max(1, -(-df.count() // BUCKET_ROWS))
 
 
 def cumulative_sums(df: DataFrame, value: str, weights: list[str], groups: list[str] = (),
-                    buckets: int | None = None) -> DataFrame:
+                    buckets: int | None = None, fan: int = FAN) -> DataFrame:
     """Add ``cum_<w>``: the sum of ``w`` over rows with a value <= this row's
     value in its group. ``df`` must hold one row per (groups, value)."""
     groups = list(groups)
-    buckets = buckets or bucket_count(df, groups)
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = df.groupBy(*groups).agg(
-        F.percentile_approx(F.col(value).cast("double"), probs, 10000).alias("__cuts"))
-    x = df.join(F.broadcast(cuts), groups) if groups else df.crossJoin(F.broadcast(cuts))
-    x = bucket_of(x, F.col(value).cast("double"), "__cuts", buckets - 1, "__b").drop("__cuts")
-    tot = x.groupBy(*groups, "__b").agg(*[F.sum(w).alias(f"__t_{w}") for w in weights])
-    before = Window.partitionBy(*groups).orderBy("__b").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offs = tot.select(*groups, "__b", *[F.coalesce(F.sum(f"__t_{w}").over(before), F.lit(0))
-                                        .alias(f"__o_{w}") for w in weights])
-    x = x.join(F.broadcast(offs), [*groups, "__b"])
+    buckets = buckets or bucket_count(df)
+    # Written, so that totals and ranks see the same ranges.
+    x = materialize(df.repartitionByRange(buckets, *groups, value)
+                      .withColumn("__b", F.spark_partition_id()), "ranges")
+    tot = x.groupBy(*groups, "__b").agg(*[F.sum(w).alias(f"__o_{w}") for w in weights])
+    offs = sums_before(tot, "__b", [f"__o_{w}" for w in weights], groups, buckets, fan)
     run = Window.partitionBy(*groups, "__b").orderBy(value).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    return x.select(*df.columns, *[(F.col(f"__o_{w}") + F.sum(w).over(run)).alias(f"cum_{w}")
-                                   for w in weights])
-
-
-def bucket_of(df: DataFrame, v: Column, cuts: str, n_cuts: int, out: str) -> DataFrame:
-    """``out`` = number of entries of the ascending array ``cuts`` below v.
-
-    A binary search in log2(n_cuts) steps, one projected column per step
-    (plain codegen'd expressions; a lambda over the array would be
-    interpreted and cost n_cuts comparisons per row).
-    """
-    step = 1
-    while step * 2 <= n_cuts:
-        step *= 2
-    df = df.withColumn(out, F.lit(0))
-    while step >= 1:
-        cand = F.col(out) + step
-        df = df.withColumn(out, F.when(F.coalesce(F.try_element_at(cuts, cand) < v, F.lit(False)),
-                                       cand).otherwise(F.col(out)))
-        step //= 2
-    return df
+    # The window first: its exchange and its sort serve the join as well.
+    x = x.select(*df.columns, "__b", *[F.sum(w).over(run).alias(f"__r_{w}") for w in weights])
+    return (x.join(offs, [*groups, "__b"])
+             .select(*df.columns, *[(F.col(f"__o_{w}") + F.col(f"__r_{w}")).alias(f"cum_{w}")
+                                    for w in weights]))
+
+
+def sums_before(tot: DataFrame, pos: str, sums: list[str], groups: list[str], n: int,
+                fan: int = FAN) -> DataFrame:
+    """Replace each of ``sums`` by its total over the rows of the same group
+    with a smaller ``pos`` (0 .. n-1, one row per group and position)."""
+    def before(*keys):
+        w = Window.partitionBy(*groups, *keys).orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
+        return [F.coalesce(F.sum(c).over(w), F.lit(0)).alias(c) for c in sums]
+
+    if n <= fan:
+        return tot.select(*groups, pos, *before())
+    node = F.floor(F.col(pos) / fan).cast("int")
+    nodes = (tot.select(*groups, node.alias("__node"), *sums)
+                .groupBy(*groups, "__node").agg(*[F.sum(c).alias(f"__up_{c}") for c in sums]))
+    nodes = sums_before(nodes.withColumnRenamed("__node", pos), pos, [f"__up_{c}" for c in sums],
+                        groups, -(-n // fan), fan).withColumnRenamed(pos, "__node")
+    inside = tot.withColumn("__node", node).select(*groups, pos, "__node", *before("__node"))
+    return (inside.join(nodes, [*groups, "__node"])
+                  .select(*groups, pos, *[(F.col(c) + F.col(f"__up_{c}")).alias(c) for c in sums]))
 
 
 def value_counts(df: DataFrame, value: str, groups: list[str] = ()) -> DataFrame:
     """(groups, value, n): null and NaN dropped. Written once to the scratch folder:
-    the cumulative plan reads it several times (cut points, totals, ranks)
-    and the input is computed only once."""
+    its rows are counted before they are dealt to ranges, and the input is
+    computed only once."""
     vc = (df.where(known(F.col(value)))
             .groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n")))
     return materialize(vc, "value-counts")

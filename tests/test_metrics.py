@@ -85,9 +85,27 @@ def test_p_value_has_one_method_at_every_size(spark):
 
 def test_buckets_follow_the_number_of_values(spark):
     vc = spark.range(100).select(F.col("id").alias("v"), F.lit(1).alias("n"))
-    assert cumulative.bucket_count(vc) == cumulative.MIN_BUCKETS
-    many = spark.range(cumulative.BUCKET_ROWS * 100).select("id")
-    assert cumulative.bucket_count(many) == 100
+    assert cumulative.bucket_count(vc) == 1
+    many = spark.range(cumulative.BUCKET_ROWS * 100 + 1).select("id")
+    assert cumulative.bucket_count(many) == 101
+
+
+@pytest.mark.parametrize("fan", [2, 3, 1_024])
+def test_cumulative_sums_over_levels_of_ranges(spark, fan):
+    """One, several and many levels of range totals give NumPy's running sums;
+    one group has a single value, one most of them."""
+    rng = np.random.RandomState(11)
+    rows = [(g, float(v), int(rng.randint(1, 9)), int(rng.randint(0, 3)))
+            for g, n in (("a", 400), ("b", 1), ("c", 37)) for v in rng.permutation(1000)[:n] / 7 - 60]
+    df = spark.createDataFrame(rows, "g string, v double, n int, k int").repartition(5)
+    got = cumulative.cumulative_sums(df, "v", ["n", "k"], ["g"], buckets=23, fan=fan).toPandas()
+    assert len(got) == len(rows)
+    for g, part in got.sort_values(["g", "v"]).groupby("g"):
+        np.testing.assert_array_equal(part.cum_n, part.n.cumsum())
+        np.testing.assert_array_equal(part.cum_k, part.k.cumsum())
+    alone = cumulative.cumulative_sums(df.where("g = 'a'").drop("g"), "v", ["n"], buckets=9, fan=fan).toPandas().sort_values("v")
+    np.testing.assert_array_equal(alone.cum_n, alone.n.cumsum())
+    assert cumulative.cumulative_sums(df.limit(0), "v", ["n"], ["g"], fan=fan).count() == 0
 
 
 def test_histogram_matches_numpy(spark):

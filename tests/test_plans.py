@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from panelcast.operators import aggregates, drift, pipeline
+from panelcast.operators import aggregates, cumulative, drift, pipeline
 from panelcast.plans import jobs
 from panelcast.sources import files, fixtures as fx
 
@@ -63,6 +63,24 @@ def test_ks_has_no_window_over_all_values(store):
                               ["Venta_hoy", "Demanda_uni_equil"])
     plan = _final_plan(out)
     specs = [m.group(1) for m in re.finditer(r"Window \[[^\n]*?\], \[([^\]]*)\]", plan)]
-    assert specs, "expected the bucketed cumulative windows in the plan"
+    assert specs, "expected the windows over ranges in the plan"
     for spec in specs:
         assert spec.strip(), "a window without PARTITION BY would run in one task"
+
+
+def test_cumulative_sums_broadcast_nothing_of_the_values(spark):
+    """Offsets meet their ranges in a shuffle join unless the measured size
+    allows otherwise; no sketch decides the cuts."""
+    vc = spark.range(5_000).select((F.col("id") % 3).alias("g"), F.col("id").alias("v"), F.lit(1).alias("n"))
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        plan = _final_plan(cumulative.cumulative_sums(vc, "v", ["n"], ["g"], buckets=8, fan=2))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "Broadcast" not in plan and "percentile_approx" not in plan and "SinglePartition" not in plan
+    # the rows of the values are moved once: window and join share one exchange
+    assert len(re.findall(r"Exchange hashpartitioning\(g[^)]*__b", plan)) <= 2 + 2 * 2
