@@ -88,15 +88,55 @@ def test_ngram_join_on_the_mid_fixture(spark):
     assert same(got, ngram_join.brute_force([(r.doc_id, r.text) for r in docs.collect()]))
 
 
+def expected_first(rows: list[tuple]) -> list[tuple]:
+    """(id, text) of the rows that stay: one of each linked group, and those without words."""
+    ids = [(i, t) for i, (_, t) in enumerate(rows)]
+    stay, groups = [], {}
+    for (n, t), (_, size, c) in zip(ids, ngram_join.brute_force(ids), strict=True):
+        if size:
+            groups.setdefault(c, set()).add(rows[n])
+        else:
+            stay.append(rows[n])
+    for g in groups.values():
+        least = min((i for i, _ in g if i is not None), default=None)
+        stay.append((least, {t for i, t in g if i == least}))
+    return stay
+
+
+def check_first(got: list[tuple], rows: list[tuple]) -> None:
+    want = expected_first(rows)
+    assert len(got) == len(want)
+    left = list(want)
+    for i, t in got:
+        hit = next(w for w in left if w[0] == i and (t in w[1] if isinstance(w[1], set) else t == w[1]))
+        left.remove(hit)
+    assert not left
+
+
 def test_keep_first_keeps_one_of_each_group_and_all_columns(spark):
     docs = edge_docs(spark)
     out = ngram_join.keep_first(docs)
     assert out.columns == docs.columns and out.dtypes == docs.dtypes
-    want = {i for i, _, c in ngram_join.brute_force(id_text(edge_rows())) if i is None or i == c}
-    assert {r.doc_id for r in out.collect()} == want
+    check_first([(r.doc_id, r.text) for r in out.collect()], id_text(edge_rows()))
     assert ngram_join.keep_first(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_keep_first_keeps_one_of_equal_rows_shared_ids_and_rows_without_id(spark):
+    t = " ".join(f"w{i}" for i in range(60))
+    near, other = t + " x", " ".join(f"v{i}" for i in range(30))
+    rows = ([(1, t)] * 300 + [(2, t), (None, t), (None, near)]          # equal rows and copies without id
+            + [(7, other), (7, other + " y"), (7, "alone in its group with words enough")]   # one id, three texts
+            + [(None, "no id at all but the same words")] * 3 + [(None, None), (3, ""), (3, ""), (4, " ")])
+    docs = spark.createDataFrame([(i, x, n % 3) for n, (i, x) in enumerate(rows)], "doc_id long, text string, the_id int").repartition(5)
+    out = ngram_join.keep_first(docs)
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    assert out.columns == docs.columns
+    check_first(got, rows)
+    assert got.count((1, t)) == 1 and sum(i == 7 for i, _ in got) == 2 and sum(i is None for i, _ in got) == 2
+    equal = out.where("doc_id = 1").first()
+    assert equal.the_id == 0                        # of equal rows the smallest in all columns
+
+
 def test_trie_probe_equals_pairwise_overlaps():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 60, rng.integers(3, 30))) for _ in range(80)]
