@@ -244,7 +244,7 @@ def q_store_roundtrip(spark, sf):
 
 
 @register("available_weeks", "Semana:i",
-          D.with_ctes([], "SELECT DISTINCT Semana FROM processed WHERE Semana BETWEEN 3 AND 11"))
+          D.with_ctes([], "SELECT DISTINCT Semana FROM processed"))
 def q_available_weeks(spark, sf):
     from panelcast.sources import files
     weeks = files.available_weeks(spark, _store(spark, sf))
@@ -282,6 +282,33 @@ def q_ingest_stream_preprocessed(spark, sf):
     return spark.read.parquet(store)
 
 
+@register("ingest_with_rejects", "kind:s, Semana:i, n:i, demand:i", D.with_ctes([], """
+SELECT 'stored' AS kind, Semana, count(*) AS n, sum(Demanda_uni_equil) AS demand FROM demand_sales
+WHERE Cliente_ID % 4 < 2 OR (Cliente_ID % 4 = 2 AND Producto_ID % 5 <> 0) GROUP BY Semana
+UNION ALL SELECT 'malformed row', NULL, count(*), NULL FROM demand_sales
+WHERE Cliente_ID % 4 = 2 AND Producto_ID % 5 = 0 HAVING count(*) > 0
+UNION ALL SELECT 'missing columns: Demanda_uni_equil', NULL, count(*), NULL FROM demand_sales
+WHERE Cliente_ID % 4 = 3 HAVING count(*) > 0"""))
+def q_ingest_with_rejects(spark, sf):
+    """S2 over files with reordered and extra columns, malformed values and a
+    missing column, run twice: rows stored by week, rows rejected by reason."""
+    from panelcast.session import scratch_path
+    from panelcast.streaming import ingest
+    sales, src = view(spark, sf, "demand_sales"), scratch_path(spark, "mixed-csv")
+    broken = F.concat(F.when(F.col("Producto_ID") % 5 == 0, "x").otherwise(""), F.col("Canal_ID").cast("string"))
+    for i, part in enumerate((sales, sales.select(F.lit("n").alias("nota"), *reversed(sales.columns)),
+                              sales.withColumn("Canal_ID", broken), sales.drop("Demanda_uni_equil"))):
+        part.where(F.col("Cliente_ID") % 4 == i).repartition(2).write.option("header", True).csv(f"{src}/{i}")
+    store, rejects, ckpt = (scratch_path(spark, f"mixed-{k}") for k in ("store", "rejects", "ckpt"))
+    for _ in range(2):
+        ingest.ingest_with_rejects(spark, f"{src}/*", store, rejects, ckpt, files_per_batch=3, timeout_s=600)
+    stored = spark.read.parquet(store).groupBy("Semana").agg(F.count(F.lit(1)).alias("n"), F.sum(Y).alias("demand"))
+    rejected = ingest.rejected_rows(spark, rejects).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return (stored.select(F.lit("stored").alias("kind"), "Semana", "n", "demand")
+                  .unionByName(rejected.select(F.col("reason").alias("kind"), F.lit(None).cast("int").alias("Semana"), "n",
+                                               F.lit(None).cast("long").alias("demand"))))
+
+
 # --- features ---------------------------------------------------------------
 
 @register("weekly_demand", "Cliente_ID:i, Producto_ID:i, Semana:i, Demanda_uni_equil:i",

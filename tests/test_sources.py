@@ -80,6 +80,35 @@ def test_malformed_rows_fail_batch_and_stream_alike(spark, tmp_dir):
         ingest.ingest_available(spark, f"{tmp_dir}/bad", f"{tmp_dir}/bst", f"{tmp_dir}/bck", timeout_s=120)
 
 
+def test_rejected_rows_and_reordered_headers(spark, tmp_dir):
+    """Any column order, extra columns; malformed values, short rows and files
+    without a column are rejected with their line; a batch run again replaces its rows."""
+    names = C.SALES_SCHEMA.names
+    good = "3,1,1,1,{c},1,1,1.5,0,0.0,{d}"
+    _write(f"{tmp_dir}/m", "a.csv", ",".join(names) + "\n" + good.format(c=1, d=5) + "\n" + good.format(c="x", d=1) + "\n3,1\n")
+    _write(f"{tmp_dir}/m", "b.csv", ",".join(["nota", *reversed(names)]) + "\nn,7,0.0,0,1.5,1,1,2,1,1,1,4\n")
+    _write(f"{tmp_dir}/m", "c.csv", ",".join(names[:-1]) + "\n3,1,1,1,3,1,1,1.5,0,0.0\n")
+    _write(f"{tmp_dir}/m", "d.csv", "")
+    _write(f"{tmp_dir}/m", "e.csv", ",".join(names) + "\n")
+    paths = [f"{tmp_dir}/m/{k}.csv" for k in "abcde"]
+
+    def tables(store, rejects):
+        rows = spark.read.parquet(store).select("Semana", "Cliente_ID", C.TARGET_COL, "Venta_hoy").collect()
+        bad = ingest.rejected_rows(spark, rejects).collect()
+        return sorted(map(tuple, rows)), sorted((r.file[-5:], r.line, r.reason) for r in bad)
+
+    want = ([(3, 1, 5, 1.5), (4, 2, 7, 1.5)],
+            [("a.csv", "3,1", "malformed row"), ("a.csv", good.format(c="x", d=1), "malformed row"),
+             ("c.csv", "3,1,1,1,3,1,1,1.5,0,0.0", f"missing columns: {names[-1]}")])
+    ingest.ingest_with_rejects(spark, f"{tmp_dir}/m", f"{tmp_dir}/ms", f"{tmp_dir}/mr", f"{tmp_dir}/mc", timeout_s=300)
+    assert tables(f"{tmp_dir}/ms", f"{tmp_dir}/mr") == want
+    ingest.ingest_with_rejects(spark, f"{tmp_dir}/m", f"{tmp_dir}/ms", f"{tmp_dir}/mr", f"{tmp_dir}/mc", timeout_s=300)
+    assert tables(f"{tmp_dir}/ms", f"{tmp_dir}/mr") == want
+    for _ in range(2):                               # one batch, run twice as after a failure
+        ingest.store_batch(spark, paths, 0, f"{tmp_dir}/s2", f"{tmp_dir}/r2")
+        assert tables(f"{tmp_dir}/s2", f"{tmp_dir}/r2") == want
+
+
 def test_every_stored_week_is_seen(spark, tmp_dir):
     sales = fx.demand_sales(spark, SF_SMALL)
     late = sales.where("Semana = 5").withColumn("Semana", F.lit(12))
