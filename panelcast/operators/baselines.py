@@ -20,8 +20,10 @@ def naive_lag1(history: DataFrame, target: DataFrame, target_week: int,
     h = history.where(F.col(WEEK_COL) < target_week)
     last = (history.where(F.col(WEEK_COL) == target_week - 1)
                    .groupBy(*PAIR).agg(F.sum(y).alias("__last")))
-    pmean = h.groupBy("Producto_ID").agg(F.avg(y).alias("__pmean"))
-    gmean = h.agg(F.avg(y).alias("__gmean"))
+    # The global mean follows from the product sums, so both share one scan.
+    sums = h.groupBy("Producto_ID").agg(F.sum(y).alias("__sum"), F.count(y).alias("__n"))
+    pmean = sums.select("Producto_ID", F.try_divide(F.col("__sum").cast("double"), F.col("__n")).alias("__pmean"))
+    gmean = sums.agg(F.try_divide(F.sum("__sum").cast("double"), F.sum("__n")).alias("__gmean"))
     out = (target.join(last, PAIR, "left")
                  .join(pmean, "Producto_ID", "left")
                  .crossJoin(F.broadcast(gmean)))
