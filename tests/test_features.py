@@ -284,3 +284,17 @@ def test_empty_history_gives_zero_features(spark, prep):
     multi = pipeline.build_features_multi(proc.where(F.col("Semana") >= 8), empty, [8, 9],
                                           **prep.feature_kwargs()).toPandas()
     assert (multi[history_cols] == 0).all().all()
+
+
+# --- what grows with the input ------------------------------------------------
+
+def test_lines_are_joined_after_orders_met_their_customers(spark):
+    """With no table small enough to broadcast, the lines are shuffled once."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = fx.demand_sales(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert len(joins) == 2 and "l_orderkey" in joins[0] and "o_custkey" in joins[1]
