@@ -288,6 +288,18 @@ def test_empty_history_gives_zero_features(spark, prep):
 
 # --- what grows with the input ------------------------------------------------
 
+def test_stats_before_equal_groupby_and_skip_empty_history(panel):
+    sets = {"agency_product": ["Agencia_ID", "Producto_ID"], "brand": ["brand"], "global": []}
+    branded = panel.withColumn("brand", F.when(F.col("Producto_ID") % 2 == 0, "EVEN"))
+    got = aggregates.stats_before(panel, sets, 7, branded=branded)
+    for name, rows in (("agency_product", panel), ("brand", branded.where("brand IS NOT NULL")), ("global", panel)):
+        want = aggregates.agg_table(rows, name, sets[name], 7)
+        assert got[name].columns == want.columns
+        assert (sorted(tuple(map(str, r[:-3])) + (round(r[-3], 6), round(r[-2], 6), r[-1]) for r in got[name].collect())
+                == sorted(tuple(map(str, r[:-3])) + (round(r[-3], 6), round(r[-2], 6), r[-1]) for r in want.collect()))
+    assert all(t.count() == 0 for t in aggregates.stats_before(panel, sets, 0, branded=branded).values())
+
+
 def test_lines_are_joined_after_orders_met_their_customers(spark):
     """With no table small enough to broadcast, the lines are shuffled once."""
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
