@@ -300,6 +300,26 @@ def test_stats_before_equal_groupby_and_skip_empty_history(panel):
     assert all(t.count() == 0 for t in aggregates.stats_before(panel, sets, 0, branded=branded).values())
 
 
+def test_wanted_pairs_equal_the_full_table_where_asked(spark, panel):
+    """Weeks of a pair without a later target row are dropped before they are
+    copied; a target row finds the values it finds in the whole table."""
+    targets = pipeline.target_weeks_frame(spark, [5, 8])
+    asked = panel.where(F.col("Semana").isin(5, 8)).select(*C.PAIR, F.col("Semana").alias("S"))
+    full = lags.pair_features_multi(panel, targets)
+    some = lags.pair_features_multi(panel, targets, wanted=asked.unionByName(asked))
+    keys = [*C.PAIR, "S"]
+    by = lambda df: sorted(map(str, df.join(asked.distinct(), keys, "left_semi").select(full.columns).collect()))
+    assert by(some) == by(full)
+    none = lags.pair_features_multi(panel, targets, wanted=asked.where("S < 0"))
+    assert none.count() == 0 < some.count() <= full.count()
+
+
+def test_tasks_follow_the_rows(spark):
+    least = spark.sparkContext.defaultParallelism
+    assert lags.tasks_for(10, spark) == lags.tasks_for(0, spark) == least
+    assert lags.tasks_for(1000 * lags.ROWS_PER_TASK + 1, spark) == 1001
+
+
 def test_lines_are_joined_after_orders_met_their_customers(spark):
     """With no table small enough to broadcast, the lines are shuffled once."""
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
