@@ -330,3 +330,9 @@ def test_lines_are_joined_after_orders_met_their_customers(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
     assert len(joins) == 2 and "l_orderkey" in joins[0] and "o_custkey" in joins[1]
+
+
+def test_csv_files_follow_the_rows(spark):
+    import __spark_entry__ as entry
+    assert entry._csv_files(spark.range(25), 4, 5) == 5
+    assert entry._csv_files(spark.range(25), 4, 100) == 4 and entry._csv_files(spark.range(0), 2) == 2
