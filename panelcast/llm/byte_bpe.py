@@ -7,14 +7,19 @@ the lower one, gives the smallest rank. Its bucket is worked off from left to
 right; entries whose pair has changed since are stale and skipped. A merge
 costs a constant number of steps whatever the length, so a pre-token of
 millions of bytes takes time in proportion, where a scan for the smallest
-rank would take the square.
+rank would take the square. The pre-tokens that some documents bring anew lie
+end to end in one such list, with borders between them that no pair crosses:
+a bucket holds the positions of all of them, and one step of the queue serves
+many merges. Where a merge frees a smaller rank, the rest of its pre-token
+waits for that.
 
 Texts are cut by the tokenizer's pattern. Most pre-tokens repeat, so a worker
 remembers the ids of those met lately (two generations of ``CACHE`` entries;
 long ones are not kept). With ``blanks`` (right for patterns that put the
-blank before a word into its match, as the public one does) a text is first
-cut at blanks before visible characters, where every match ends anyway, and
-the parts are remembered as a whole.
+blank before a word into its match and cut such a match the same wherever it
+stands, as the public one does) a text is first cut at blanks before visible
+characters, where every match ends anyway, and the parts are remembered as a
+whole; only unknown parts are cut by the pattern.
 
 Defined results: a null or empty text has no ids and decodes to nothing;
 repeated rows are encoded one by one; other columns are ignored. Ids outside
@@ -25,17 +30,22 @@ from __future__ import annotations
 
 import base64
 import re
-from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 200_000          # remembered strings of one generation
+from panelcast.llm.words import together
+
+CACHE = 300_000          # remembered strings of one generation
 SHORT = 64               # longer strings are not remembered
-ROWS = 256               # documents of one Arrow batch that goes back
+ROWS = 256               # decoded documents of one Arrow batch that goes back
+LETTERS = 1 << 20        # code points of texts that are encoded together, unless one has more
 
 #: Code points that became letters or numbers after Unicode 16. The
 #: encoder to be matched has the tables of Unicode 16; there they are neither.
@@ -58,23 +68,23 @@ def load_ranks(path: str) -> dict[bytes, int]:
 class _Remembered:
     """Values by string; of the older generation only what is used again stays."""
 
-    def __init__(self, make, size: int):
-        self.make, self.size = make, size
+    def __init__(self, size: int):
+        self.size = size
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def __call__(self, key: str) -> bytes:
+    def find(self, key: str) -> bytes | None:
         value = self.young.get(key)
-        if value is None:
-            value = self.old.get(key)
-            if value is None:
-                value = self.make(key)
-            if len(key) <= SHORT:
-                if len(self.young) >= self.size:
-                    self.old, self.young = self.young, {}
-                self.young[key] = value
+        if value is None and (value := self.old.get(key)) is not None:
+            self.add(key, value)
         return value
 
+    def add(self, key: str, value: bytes) -> None:
+        if len(key) <= SHORT:
+            if len(self.young) >= self.size and key not in self.young:
+                self.old, self.young = self.young, {}
+            self.young[key] = value
+
 
 class Codec:
     """Encoder and decoder of one rank file. Encoded ids are packed
@@ -86,107 +96,209 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str, blanks: bool = True):
         import regex
         self.ranks, self.blanks = ranks, blanks
-        self.shift = (max(ranks.values(), default=0).bit_length() + 1) // 2
-        self.uppers = (max(ranks.values(), default=0) >> self.shift) + 1
-        self.tokens = {r: t for t, r in ranks.items()}
+        top = max(ranks.values(), default=0)
+        self.shift = (top.bit_length() + 1) // 2
+        self.uppers = (top >> self.shift) + 1
+        tokens = sorted((r, t) for t, r in ranks.items())
+        self.place = np.full(top + 3, -1, dtype=np.int64)          # of an id's bytes
+        self.place[[r for r, _ in tokens]] = np.arange(len(tokens))
+        self.token_bytes = pa.array([t for _, t in tokens], type=pa.large_binary())
         self.pattern = regex.compile(pattern)
         spans = (x.partition("-") for x in LATER.split())
         self.later = re.compile("[" + "".join(f"{chr(int(a, 16))}-{chr(int(b or a, 16))}" for a, _, b in spans) + "]")
-        self.piece = _Remembered(lambda s: array("i", self.merge(s.encode())).tobytes(), CACHE)
-        self.after_blank = _Remembered(lambda s: self._pieces(" " + s), CACHE)
+        self.after_blank = _Remembered(CACHE)                      # by what follows the blank
+        self.piece = _Remembered(max(1, CACHE // 4))               # other pre-tokens
+        # symbols are ids; a byte that is no token has a number above them while it waits for its merge
+        self.top = top
+        symbols = {bytes([b]): top + 1 + b for b in range(256)} | ranks
+        self.border = 1 << (top + 257).bit_length()                # the symbol between pre-tokens; no pair holds it
+        self.wide = self.border.bit_length()
+        self.bytes = np.array([symbols[bytes([b])] for b in range(256)], dtype=np.int64)
+        self.byte_pairs = np.full(1 << 16, -1, dtype=np.int64)
+        self.pairs: dict[int, int] = {}                            # rank of two symbols laid end to end, if it has one
+        for token, rank in ranks.items():
+            if len(token) == 2:
+                self.byte_pairs[token[0] << 8 | token[1]] = rank
+            for at in range(1, len(token)):
+                if (left := symbols.get(token[:at])) is not None and (right := symbols.get(token[at:])) is not None:
+                    self.pairs[left << self.wide | right] = rank
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one pre-token."""
-        rank_of, shift = self.ranks.get, self.shift
-        if (whole := rank_of(data)) is not None:
-            return [whole]
-        n, low = len(data), (1 << shift) - 1
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        pair = [rank_of(data[i:i + 2]) for i in range(n - 1)]      # rank of the pair that begins here
-        pair.append(None)
+        return np.frombuffer(self.merge_all([data])[0], dtype="<i4").tolist()
+
+    def merge_all(self, data: list[bytes]) -> list[bytes]:
+        """Packed ids of each pre-token. Those that are no token lie end to
+        end in one linked list and share the queue."""
+        rank_of = self.ranks.get
+        whole = [rank_of(d) for d in data]
+        rest = iter(self._merged([d for d, r in zip(data, whole, strict=True) if r is None]))
+        return [next(rest) if r is None else r.to_bytes(4, "little") for r in whole]
+
+    def _merged(self, data: list[bytes]) -> list[bytes]:
+        if not data:
+            return []
+        raw = np.frombuffer(b"\0" + b"\0".join(data) + b"\0", dtype=np.uint8).astype(np.int64)
+        borders = np.concatenate([[0], np.cumsum([len(d) + 1 for d in data])])
+        n, wide, shift, rank_of = len(raw), self.wide, self.shift, self.pairs.get
+        low = (1 << shift) - 1
+        symbols = self.bytes[raw]
+        symbols[borders] = self.border
+        first = np.append(self.byte_pairs[raw[:-1] << 8 | raw[1:]], -1)
+        first[borders] = first[borders[1:] - 1] = -1
+        symbol, pair = symbols.tolist(), first.tolist()            # pair: rank of the pair that begins here
+        after, before, ends = list(range(1, n + 1)), list(range(-1, n - 1)), borders.tolist()
         # the queue: positions by rank, ranks' bits by upper half, bits of upper halves
-        buckets: dict[int, list[int]] = {}
+        order = np.argsort(first, kind="stable")
+        order = order[np.searchsorted(first[order], 0):]
+        found, starts = np.unique(first[order], return_index=True)
+        order, starts = order.tolist(), [*starts.tolist(), len(order)]
+        buckets = {r: order[x:y] for r, x, y in zip(found.tolist(), starts, starts[1:], strict=False)}
+        waiting_at = buckets.get
         bits = [0] * self.uppers
         uppers = 0
-        for i, r in enumerate(pair):
-            if r is not None:
-                if r in buckets:
-                    buckets[r].append(i)
-                else:
-                    buckets[r] = [i]
-                    uppers |= 1 << (r >> shift)
-                    bits[r >> shift] |= 1 << (r & low)
+        for r in buckets:
+            uppers |= 1 << (r >> shift)
+            bits[r >> shift] |= 1 << (r & low)
         while uppers:
             upper = (uppers & -uppers).bit_length() - 1            # find first set, twice
             word = bits[upper]
-            first = word & -word
-            rank = upper << shift | first.bit_length() - 1
-            bits[upper] = word = word ^ first
+            lowest = word & -word
+            rank = upper << shift | lowest.bit_length() - 1
+            bits[upper] = word = word ^ lowest
             if not word:
                 uppers ^= 1 << upper
             bucket = buckets.pop(rank)
             if len(bucket) > 1:
                 bucket.sort()
-            for k, i in enumerate(bucket):
+            stop, waiting, high = -1, [], rank << wide
+            for i in bucket:
                 if pair[i] != rank:
                     continue                                       # stale
-                gone = after[i]
+                if i < stop:
+                    waiting.append(i)
+                    continue
+                gone, p = after[i], before[i]
                 after[i] = end = after[gone]
-                pair[gone] = None
+                before[end] = i
+                symbol[i] = rank
+                symbol[gone] = pair[gone] = -1
                 least = rank
-                p = before[i]
-                if p >= 0:
-                    pair[p] = r = rank_of(data[p:end])
-                    if r is not None:
-                        if r < least:
-                            least = r
-                        if r in buckets:
-                            buckets[r].append(p)
-                        else:
-                            buckets[r] = [p]
-                            uppers |= 1 << (r >> shift)
-                            bits[r >> shift] |= 1 << (r & low)
-                if end < n:
-                    before[end] = i
-                    pair[i] = r = rank_of(data[i:after[end]])
-                    if r is not None:
-                        if r < least:
-                            least = r
-                        if r in buckets:
-                            buckets[r].append(i)
-                        else:
-                            buckets[r] = [i]
-                            uppers |= 1 << (r >> shift)
-                            bits[r >> shift] |= 1 << (r & low)
+                r = rank_of(symbol[p] << wide | rank)
+                if r is None:
+                    pair[p] = -1
+                else:
+                    pair[p] = r
+                    if r < least:
+                        least = r
+                    if (others := waiting_at(r)) is not None:
+                        others.append(p)
+                    else:
+                        buckets[r] = [p]
+                        uppers |= 1 << (r >> shift)
+                        bits[r >> shift] |= 1 << (r & low)
+                r = rank_of(high | symbol[end])
+                if r is None:
+                    pair[i] = -1
                 else:
-                    pair[i] = None
-                if least < rank:                                   # a smaller rank comes first
-                    if rest := bucket[k + 1:]:
-                        buckets[rank] = rest
-                        uppers |= 1 << upper
-                        bits[upper] |= 1 << (rank & low)
-                    break
-        out, i = [], 0
-        while i < n:
-            out.append(self.ranks[data[i:after[i]]])
-            i = after[i]
-        return out
-
-    def _pieces(self, text: str) -> bytes:
+                    pair[i] = r
+                    if r < least:
+                        least = r
+                    if (others := waiting_at(r)) is not None:
+                        others.append(i)
+                    else:
+                        buckets[r] = [i]
+                        uppers |= 1 << (r >> shift)
+                        bits[r >> shift] |= 1 << (r & low)
+                if least < rank:                                   # a smaller rank comes first in this pre-token
+                    stop = ends[bisect_right(ends, i)]
+            if waiting:
+                buckets[rank] = waiting
+                uppers |= 1 << upper
+                bits[upper] |= 1 << (rank & low)
+        out = np.array(symbol, dtype=np.int64)
+        out[borders] = -1
+        kept = out >= 0
+        cuts = (4 * np.cumsum(kept)[borders]).tolist()
+        ids = out[kept]
+        if len(ids) and ids.max() > self.top:
+            raise KeyError(bytes([int(ids.max()) - self.top - 1]))
+        packed = ids.astype("<i4").tobytes()
+        return [packed[x:y] for x, y in zip(cuts, cuts[1:], strict=False)]
+
+    def _cut(self, text: str) -> list[str]:
         if text.isascii() or not self.later.search(text):
-            return b"".join(map(self.piece, self.pattern.findall(text)))
+            return self.pattern.findall(text)
         known = self.later.sub(_NEITHER, text)
-        return b"".join([self.piece(text[m.start():m.end()]) for m in self.pattern.finditer(known)])
+        return [text[m.start():m.end()] for m in self.pattern.finditer(known)]
+
+    def _store(self, piece: str) -> tuple[_Remembered, str]:
+        """Where a pre-token is remembered, and its key there."""
+        return (self.after_blank, piece[1:]) if self.blanks and piece[0] == " " else (self.piece, piece)
+
+    def _pieces(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of texts, cut by the pattern; what none of them has met is merged together."""
+        cut = [self._cut(t) for t in texts]
+        known: dict[str, bytes] = {}
+        new: set[str] = set()
+        for piece in chain.from_iterable(cut):
+            if piece not in known and piece not in new:
+                store, key = self._store(piece)
+                if (value := store.find(key)) is None:
+                    new.add(piece)
+                else:
+                    known[piece] = value
+        learned = dict(zip(new, self.merge_all([s.encode() for s in new]), strict=True))
+        for piece, value in learned.items():
+            store, key = self._store(piece)
+            store.add(key, value)
+        known.update(learned)
+        return [known[c[0]] if len(c) == 1 else b"".join([known[s] for s in c]) for c in cut]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of each text."""
+        heads, tails, owners = [], [], []
+        for n, text in enumerate(texts):
+            head, blank, tail = (text, "", "") if not self.blanks or self._odd_blank.search(text) else text.partition(" ")
+            heads.append(head)
+            if blank:
+                tails.append(tail)
+                owners.append(n)
+        cut = pc.split_pattern(pa.array(tails, type=pa.large_string()), " ")
+        coded = cut.flatten().dictionary_encode()                  # each part is looked up once for all these texts
+        parts = coded.dictionary.to_pylist()
+        ids = [*map(self.after_blank.young.get, parts)]
+        for i in [i for i, v in enumerate(ids) if v is None]:
+            ids[i] = self.after_blank.find(parts[i])
+        unknown = [i for i, v in enumerate(ids) if v is None]
+        out = self._pieces([*heads, *(" " + parts[i] for i in unknown)])
+        for i, value in zip(unknown, out[len(heads):], strict=True):
+            ids[i] = value
+            self.after_blank.add(parts[i], value)
+        laid = pa.array(ids, type=pa.large_binary()).take(coded.indices)
+        ends = np.frombuffer(laid.buffers()[1], dtype=np.int64)[cut.offsets.to_numpy()].tolist()
+        data = laid.buffers()[2]
+        for n, start, end in zip(owners, ends, ends[1:], strict=False):
+            out[n] += data[start:end].to_pybytes()
+        return out[:len(heads)]
 
     def encode(self, text: str) -> bytes:
-        if not self.blanks or self._odd_blank.search(text):
-            return self._pieces(text)
-        head, *rest = text.split(" ")
-        known, make = self.after_blank.young.get, self.after_blank
-        return self._pieces(head) + b"".join([known(part) or make(part) for part in rest])
+        return self.encode_all([text])[0]
 
     def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
+        return b"".join(self.decode_all(pa.array([ids], type=pa.list_(pa.int32()))).to_pylist())
+
+    def decode_all(self, ids: pa.ListArray) -> pa.Array:
+        """The bytes of each list of ids; null of a null list."""
+        flat = ids.flatten().to_numpy(zero_copy_only=False)
+        places = self.place[np.clip(flat, -1, len(self.place) - 2)]   # the last one stands for all others
+        if (places < 0).any():
+            raise KeyError(flat[places < 0][0].item())
+        laid = self.token_bytes.take(pa.array(places))
+        sizes = ids.value_lengths().fill_null(0).to_numpy()
+        ends = np.frombuffer(laid.buffers()[1], dtype=np.int64)[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])]
+        out = pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(ends), laid.buffers()[2]])
+        return pc.if_else(ids.is_valid(), out, None).cast(pa.binary())
 
 
 _CODECS: dict[tuple, Codec] = {}
@@ -210,13 +322,14 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, blanks: bool = True,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks_path, pattern, blanks)
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
-                data = [codec.encode(t.as_py()) if t.is_valid else b"" for t in part.column("text")]
+            at = 0
+            for texts in together(batch.column("text"), LETTERS):
+                data = codec.encode_all(texts)
+                doc_ids, at = batch.column("doc_id").slice(at, len(texts)), at + len(texts)
                 offsets = np.zeros(len(data) + 1, dtype=np.int32)
                 np.cumsum([len(d) // 4 for d in data], out=offsets[1:])
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(data), dtype="<i4")))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(id_type), ids], names=["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([doc_ids.cast(id_type), ids], names=["doc_id", "ids"])
     return rows.mapInArrow(run, f"doc_id {kind.simpleString()}, ids array<int>")
 
 
@@ -231,9 +344,8 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
-                texts = [codec.decode(x.values.to_numpy()) if x.is_valid else None for x in part.column("ids")]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(id_type), part.column("ids"),
-                                                  pa.array(texts, type=pa.binary())], names=["doc_id", "ids", "decoded"])
+                                                  codec.decode_all(part.column("ids"))], names=["doc_id", "ids", "decoded"])
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind.simpleString()}, ids array<int>, decoded binary")
 
 

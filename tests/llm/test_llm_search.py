@@ -202,6 +202,25 @@ def test_merges_of_any_ranks_equal_a_plain_scan():
             assert codec.merge(data) == ([ranks[data]] if data in ranks else plain_merge(ranks, data))
 
 
+def test_pre_tokens_share_one_queue(monkeypatch, encoder):
+    """What some texts bring anew is merged in one go, with the ids of a plain scan."""
+    rng = random.Random(3)
+    for _ in range(40):
+        order = sorted({bytes(rng.choice(b"abc") for _ in range(rng.randrange(2, 6))) for _ in range(30)} | {b"a", b"b", b"c"})
+        rng.shuffle(order)
+        ranks = {t: i * 37 for i, t in enumerate(order)}
+        data = [bytes(rng.choice(b"abc") for _ in range(rng.randrange(1, 40))) for _ in range(60)]
+        got = byte_bpe.Codec(ranks, r"\S+|\s+").merge_all(data)
+        assert [np.frombuffer(g, dtype="<i4").tolist() for g in got] == [[ranks[d]] if d in ranks else plain_merge(ranks, d) for d in data]
+    codec = byte_bpe.Codec(byte_bpe.load_ranks(RANKS), public_tokenizers.PATTERN)
+    calls, merged = [], codec._merged
+    monkeypatch.setattr(codec, "_merged", lambda data: calls.append(len(data)) or merged(data))
+    texts = [" ".join("".join(rng.choice("abcdefgh.é") for _ in range(rng.randrange(1, 15))) for _ in range(40)) for _ in range(50)]
+    texts += ["", "odd  blanks ", texts[0]]
+    assert [np.frombuffer(g, dtype="<i4").tolist() for g in codec.encode_all(texts)] == [encoder.encode_ordinary(t) for t in texts]
+    assert len(calls) == 1
+
+
 def test_ids_equal_the_library(encoder):
     codec = byte_bpe.Codec(byte_bpe.load_ranks(RANKS), public_tokenizers.PATTERN)
     rng = random.Random(6)
