@@ -27,14 +27,19 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.llm.words import together
+
 TIERS = (2048, 1024, 512, 256)
 STEP = 32_768            # tokens of one step group
 POOL = 4_096             # pieces that wait for a window before a round of packing
 END_ID = 1
 CACHE = 500_000          # distinct words of one generation (two are kept) whose ids a Python worker remembers
+MARKS = "!#$%&*),.:;?"    # fixed value: visible characters that are neither letters, digits nor apostrophes
+LETTERS = 1 << 23        # code points of texts that are encoded together, unless one has more
 
 SCHEMA = ("doc_id {id}, start long, length long, ids binary, doc_tokens long, sequence_id long, "
           "offset long, sequence_tokens long, step_group long")
@@ -46,9 +51,10 @@ class WordTokenizer:
 
     Byte-level BPE starts a new piece at every blank or line end that a
     visible character follows, so a text is the concatenation of its words,
-    each with the blank or line end before it. Unknown words are encoded laid
-    end to end; the bytes of each id tell where one ends. Texts with other white space, or
-    white space in a row or at the end (but for one empty line, or a last line
+    each with the blank or line end before it. A word whose end is a mark
+    after a letter is remembered without the mark, which is a piece of its
+    own. Unknown words are encoded laid end to end; the bytes of each id tell
+    where one ends. Texts with other white space, or white space in a row or at the end (but for one empty line, or a last line
     end), or with the string of an added token, are encoded as they are, and
     so is every text if the file's tokenizer does not cut in this way.
     """
@@ -64,7 +70,7 @@ class WordTokenizer:
         self.by_word = (about["normalizer"] is None and about["model"]["type"] == "BPE" and cut.get("type") == "ByteLevel"
                         and not cut["add_prefix_space"] and cut.get("use_regex", True))
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        self.added = [a for a in added if a]
         vocabulary = self.tokenizer.get_vocab()          # one character of a token is one byte
         self.n_bytes = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)
         self.n_bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
@@ -72,10 +78,11 @@ class WordTokenizer:
         self.old: dict[str, bytes] = {}                  # words of the generation before
         if self.by_word:
             self.line_end = self._whole(["\n"])[0]
+            self.marks = dict(zip(MARKS, self._whole(list(MARKS)), strict=True))
 
     def _regular(self, text: str) -> bool:
         return not ("  " in text or " \n" in text or "\n " in text or "\n\n\n" in text
-                    or text.endswith((" ", "\n\n")) or self._other.search(text) or (self.added and self.added.search(text)))
+                    or text.endswith((" ", "\n\n")) or self._other.search(text) or any(a in text for a in self.added))
 
     def _encoded(self, words: list[str]) -> list[bytes]:
         """Ids of words (with the white space before them), laid end to end."""
@@ -87,13 +94,28 @@ class WordTokenizer:
         cuts = (4 * (np.searchsorted(ends, np.cumsum(sizes)) + 1)).tolist()
         return [data[x:y] for x, y in zip([0, *cuts], cuts, strict=False)]
 
-    def _learn(self, words: set[str]) -> None:
-        """Adds unknown words. A key has no blank before it; a line end counts as part of it."""
-        old = self.old
-        again = {w: old[w] for w in words if w in old}
-        new = [w for w in words if w not in again]
-        self.words.update(again)
-        self.words.update(zip(new, self._encoded([w if w[:1] == "\n" else " " + w for w in new]), strict=True))
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words. A key has no blank before it; a line end counts as part of it."""
+        if len(self.words) > CACHE:
+            self.old, self.words = self.words, {}
+        known, marks, young, old = {}, self.marks, self.words, self.old
+        ids = [*map(young.get, words)]
+        missing = [i for i, v in enumerate(ids) if v is None]
+        new = []
+        for i in missing:
+            word = words[i]
+            if word[-1] in marks and "a" <= word[-2:-1] <= "z":    # such a mark is a piece of its own
+                word = word[:-1]
+            if word not in young and word not in known:
+                if (value := old.get(word)) is None:
+                    new.append(word)
+                known[word] = value
+        known.update(zip(new, self._encoded([w if w[:1] == "\n" else " " + w for w in new]), strict=True))
+        young.update(known)
+        for i in missing:
+            word = words[i]
+            ids[i] = young[word] if word in young else young[word[:-1]] + marks[word[-1]]
+        return ids
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
@@ -102,16 +124,17 @@ class WordTokenizer:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         regular = [i for i, t in enumerate(texts) if self._regular(t)] if self.by_word else []
-        # as if a line end came first, whose id is then cut off
-        split = [("\n" + texts[i]).replace("\n", " \n").split(" ")[1:] for i in regular]
-        if len(self.words) > CACHE:
-            self.old, self.words = self.words, {}
-        new = set().union(*split).difference(self.words)
-        self._learn(new)
         out: list[bytes] = [b""] * len(texts)
-        skip = len(self.line_end) if self.by_word else 0
-        for i, w in zip(regular, split, strict=True):
-            out[i] = b"".join(map(self.words.__getitem__, w))[skip:]
+        if regular:
+            # as if a line end came first, whose id is then cut off
+            skip = len(self.line_end)
+            cut = pc.split_pattern(pa.array([("\n" + texts[i]).replace("\n", " \n")[1:] for i in regular], type=pa.large_string()), " ")
+            coded = cut.flatten().dictionary_encode()    # each word is looked up once for all these texts
+            laid = pa.array(self._ids(coded.dictionary.to_pylist()), type=pa.large_binary()).take(coded.indices)
+            ends = np.frombuffer(laid.buffers()[1], dtype=np.int64)[cut.offsets.to_numpy()].tolist()
+            data = laid.buffers()[2]
+            for i, start, end in zip(regular, ends, ends[1:], strict=False):
+                out[i] = data[start + skip:end].to_pybytes()
         rest = sorted(set(range(len(texts))) - set(regular))
         for i, data in zip(rest, self._whole([texts[i] for i in rest]), strict=True):
             out[i] = data
@@ -275,9 +298,10 @@ def _run(path: str, end_id: int, tiers: tuple[int, ...], step: int, pool: int, i
         packer = Packer(emit, tiers, pool)
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            for at in range(0, len(ids), 256):
-                some = [t or "" for t in texts.slice(at, 256).to_pylist()]
-                for doc_id, data in zip(ids[at:at + 256], tokenizer.encode(some), strict=True):
+            at = 0
+            for some in together(texts, LETTERS):
+                own, at = ids[at:at + len(some)], at + len(some)
+                for doc_id, data in zip(own, tokenizer.encode(some), strict=True):
                     packer.add((doc_id, data + end, len(data) // 4 + 1))
                 if len(rows[0]) >= 2048:
                     yield batch_out()

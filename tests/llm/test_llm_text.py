@@ -466,3 +466,17 @@ def test_pipeline_drops_lines_repeated_in_a_source(spark):
     pages = [(i, s, t) for i, t, _, s in docs]
     found = line_dedup.brute_force(pages, corpus_pipeline.LINE_RATIO, corpus_pipeline.LINE_COPIES, 1)
     assert same([(w[0], w[4]) for w in found], want)
+
+
+def test_words_are_remembered_without_end_marks(monkeypatch):
+    """Ids are the library's with any mark, in one group or many, and when words are forgotten."""
+    monkeypatch.setattr(packing, "CACHE", 20)
+    tokenizer = packing.WordTokenizer(TOKENIZER)
+    tokenizer.encode(["house, house. house"])
+    assert "house" in tokenizer.words and not {"house,", "house."} & set(tokenizer.words)
+    rng = random.Random(4)
+    parts = ["house", "it's", "a", "", "7", "é", "don'", "x's", "Ä", "\nThe", "..", "<|endoftext|"]
+    for _ in range(60):
+        texts = [" ".join(rng.choice(parts) + rng.choice(["", *packing.MARKS, "'", ".,", "!?", "-", "²"]) for _ in range(12)) for _ in range(9)]
+        for got, text in zip(tokenizer.encode(texts), texts, strict=True):
+            assert np.frombuffer(got, dtype="<u4").tolist() == tokenizer.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
